@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 WORD_CHAR = r"[\p{L}\p{M}\p{N}_]"
@@ -61,6 +61,20 @@ def words(text: Column) -> Column:
     return F.coalesce(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)), F.array().cast("array<string>"))
 
 
+def each(df: DataFrame, array: str | Column, *keep: str | Column, name: str, position: str | None = None) -> DataFrame:
+    """One row per element of ``array``, next to the ``keep`` columns.
+
+    For arrays that are costly to make. A plain explode lets the optimiser derive the test
+    "array not empty" and push it to the scan, where the text would be cut up a second
+    time. The outer form does not, and its null rows are dropped afterwards.
+    """
+    if position is None:
+        rows = df.select(*keep, F.explode_outer(array).alias(name))
+    else:
+        rows = df.select(*keep, F.posexplode_outer(array).alias(position, name))
+    return rows.filter(F.col(name).isNotNull())
+
+
 def terms(text: Column) -> Column:
     """The words of ``text`` in lower case, as the search index keeps them."""
     return words(F.lower(text))
@@ -108,21 +122,30 @@ def squeeze(text: Column) -> Column:
     return F.trim(F.regexp_replace(text, BLANKS, " "))
 
 
+def without_tags(html: Column) -> Column:
+    """A page without tags, comments, scripts, styles and title; entities are left."""
+    return F.regexp_replace(html, HTML_DROP, " ")
+
+
 def html_text(html: Column) -> Column:
-    """Visible text of an HTML page: no tags, comments, scripts, styles or title."""
-    return squeeze(decode_entities(F.regexp_replace(html, HTML_DROP, " ")))
+    """Visible text of a page."""
+    return squeeze(decode_entities(without_tags(html)))
 
 
-def _absent_if_empty(text: Column) -> Column:
-    return F.nullif(squeeze(decode_entities(text)), F.lit(""))
+def html_head(html: Column) -> Column:
+    """The page up to the end of its head; all of it if that end is not marked."""
+    return F.split(html, r"(?i)</head\s*>", 2)[0]
 
 
-def html_title(html: Column) -> Column:
-    return _absent_if_empty(F.regexp_extract(html, r"(?is)<title\b[^>]*>(.*?)</title\s*>", 1))
+def raw_title(head: Column) -> Column:
+    return F.regexp_extract(head, r"(?is)<title\b[^>]*>(.*?)</title\s*>", 1)
 
 
-def html_meta(html: Column, name: str) -> Column:
-    """The content of ``<meta name="...">``; null when absent."""
-    found = F.regexp_extract(html, rf'(?is)<meta\s+name="{name}"\s+content="([^"]*)"', 1)
-    return _absent_if_empty(found)
+def raw_meta(head: Column, name: str) -> Column:
+    """The content of ``<meta name="...">``, ``''`` when absent."""
+    return F.regexp_extract(head, rf'(?is)<meta\s+name="{name}"\s+content="([^"]*)"', 1)
 
+
+def present(text: Column) -> Column:
+    """Tidied text, null if nothing is left."""
+    return F.nullif(squeeze(decode_entities(text)), F.lit(""))

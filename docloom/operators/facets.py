@@ -13,6 +13,8 @@ from math import ceil
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from docloom.functions.text import each
+
 # Options of ``other`` and of ``include``.
 OTHERS = ["before", "after", "between"]
 INCLUDES = ["lower", "upper", "edge", "outer"]
@@ -89,42 +91,43 @@ def _range_counts(
 ) -> DataFrame:
     """Rows per range ``edges[b] .. edges[b + 1]`` and per wanted outer range, zeros included.
 
-    ``guess`` is the number of the range a value is in, give or take one. Whether an end
-    belongs to a range depends on ``include``, so a value on an edge is in up to two.
+    ``guess`` is the number of the range a value is in, give or take one. The rows are only
+    counted by range and by whether they lie exactly on its lower edge: at most two groups
+    per range, so the shuffle is tiny. Which ranges an edge belongs to is settled on those
+    counts afterwards.
     """
     size = len(names)
     lower, upper, edge, outer = (bool({option, "all"} & include) for option in INCLUDES)
     bounds = F.array(*[F.lit(e) for e in edges])
+    near = F.greatest(F.lit(0), F.least(F.lit(size - 1), guess))
+    step = F.when(value < F.get(bounds, near), -1).when(value >= F.get(bounds, near + 1), 1).otherwise(0)
+    place = F.when(value < F.lit(edges[0]), -1).when(value >= F.lit(edges[-1]), size).otherwise(near + step)
+    flag = F.lit(True) if hit is None else F.coalesce(hit, F.lit(False))
+    placed = df.filter(value.isNotNull()).select(place.alias("b"), value.alias("v"), flag.alias("hit"))
+    groups = (
+        placed.groupBy("b", (F.col("v") == F.get(bounds, F.greatest(F.lit(0), "b"))).alias("on_edge"))
+        .agg(F.count_if("hit").alias("n"))
+    )
 
-    def holds(b: Column) -> Column:
-        low, high = F.get(bounds, b), F.get(bounds, b + 1)
-        low_closed = F.lit(lower) | (F.lit(edge) & (b == 0))
-        high_closed = F.lit(upper) | (F.lit(edge) & (b == size - 1))
-        above = (value > low) | ((value == low) & low_closed)
-        below = (value < high) | ((value == high) & high_closed)
-        return (b >= 0) & (b < size) & above & below
-
-    start, end = F.lit(edges[0]), F.lit(edges[-1])
-    below = (value < start) | ((value == start) & F.lit(outer or not (lower or edge)))
-    above = (value > end) | ((value == end) & F.lit(outer or not (upper or edge)))
-    inside = in_range(value, start, end, lower or edge, upper or edge)
-    outside = {"before": (-1, below), "after": (-2, above), "between": (-3, inside)}
+    b, on_edge = F.col("b"), F.col("on_edge")
+    start, end = (b == 0) & on_edge, (b == size) & on_edge
+    in_start, in_end = lower or edge, upper or edge
+    member = [
+        F.when((b >= 0) & (b < size) & (~on_edge | F.lit(lower) | (start & F.lit(edge))), b),
+        F.when((b >= 1) & on_edge & (F.lit(upper) | (end & F.lit(edge))), b - 1),
+    ]
+    outside = {
+        "before": (-1, (b == -1) | (start & F.lit(outer or not in_start))),
+        "after": (-2, (b == size) & (~on_edge | F.lit(outer or not in_end))),
+        "between": (-3, ((b >= 0) & (b < size) & (~start | F.lit(in_start))) | (end & F.lit(in_end))),
+    }
     wanted = [name for name in OTHERS if {name, "all"} & other]
+    member += [F.when(outside[name][1], F.lit(outside[name][0])) for name in wanted]
+    counts = each(groups, F.array(*member), "n", name="range").groupBy("range").agg(F.sum("n").alias("count"))
 
-    places = [F.filter(F.array(guess - 1, guess, guess + 1), holds)]
-    none = F.array().cast("array<int>")
-    for name in wanted:
-        number, condition = outside[name]
-        places.append(F.when(condition, F.array(F.lit(number))).otherwise(none))
-    counts = (
-        df.filter(value.isNotNull())
-        .select(F.explode(F.concat(*places)).alias("bucket"), (F.lit(True) if hit is None else hit).alias("hit"))
-        .groupBy("bucket")
-        .agg(F.count_if("hit").alias("count"))
-    )
     rows = [*enumerate(names), *[(outside[name][0], name) for name in wanted]]
-    ranges = df.sparkSession.createDataFrame(rows, "bucket int, facet string")
-    return ranges.join(counts, "bucket", "left").select("facet", F.coalesce("count", F.lit(0)).alias("count"))
+    ranges = df.sparkSession.createDataFrame(rows, "range int, facet string")
+    return ranges.join(counts, "range", "left").select("facet", F.coalesce("count", F.lit(0)).alias("count"))
 
 
 def _options(include: str | list[str], other: str | list[str]) -> tuple[set[str], set[str]]:

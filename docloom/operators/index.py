@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from docloom.functions import text as T
 from docloom.functions.paths import doc_id, path_words
+from docloom.session import setting
 
 # What a document gets when no language or cluster table is given.
 NO_LANGUAGE = ""
@@ -21,6 +22,11 @@ SEND_BATCH = 100
 
 FIELDS = ["text", "path"]
 BUCKETS = 64
+SHARD_CHARS = 2
+
+# Groups that a task of the postings aggregate holds in memory before it sorts instead.
+# The engine's default is for states much larger than a few word positions.
+_GROUPS_IN_MEMORY = ("spark.sql.objectHashAggregate.sortBased.fallbackThreshold", "100000")
 
 
 def with_defaults(parsed: DataFrame, use_parsed_lang: bool = False) -> DataFrame:
@@ -100,15 +106,18 @@ def latest(docs: DataFrame, version: Column | None = None) -> DataFrame:
     return kept.select(*[F.col("_row")[c].alias(c) for c in docs.columns])
 
 
-def shard(id_column: Column) -> Column:
-    """The folder of an id. Ids are hashes, so the 256 folders are even."""
-    return F.substring(id_column, 1, 2)
+def shard(id_column: Column, chars: int = SHARD_CHARS) -> Column:
+    """The folder of an id, after its first characters. Ids are hashes, so folders are even.
+
+    The leading letter keeps a name such as ``00`` from being read back as a number.
+    """
+    return F.concat(F.lit("s"), F.substring(id_column, 1, chars))
 
 
-def write_index(docs: DataFrame, path: str, mode: str = "errorifexists") -> None:
+def write_index(docs: DataFrame, path: str, mode: str = "errorifexists", shard_chars: int = SHARD_CHARS) -> None:
     """Write index rows into one folder per shard; sizes are evened out while writing."""
     (
-        docs.withColumn("shard", shard(F.col("id")))
+        docs.withColumn("shard", shard(F.col("id"), shard_chars))
         .hint("rebalance", "shard")
         .write.partitionBy("shard")
         .mode(mode)
@@ -117,18 +126,17 @@ def write_index(docs: DataFrame, path: str, mode: str = "errorifexists") -> None
     )
 
 
-def upsert_index(batch: DataFrame, path: str) -> None:
+def upsert_index(batch: DataFrame, path: str, shard_chars: int = SHARD_CHARS) -> None:
     """Add a batch to a written index. A row replaces the stored one with the same id.
 
-    Only the shards that the batch touches are read and rewritten, at most 256 of them,
-    so only that many names come to the driver.
+    Only the shards that the batch touches are read and rewritten. Their names are
+    collected: 16 to the power of ``shard_chars`` at most.
     """
-    spark = batch.sparkSession
-    stored = spark.read.parquet(path)
-    touched = [r[0] for r in batch.select(shard(F.col("id"))).distinct().collect()]
+    stored = batch.sparkSession.read.parquet(path)
+    touched = [r[0] for r in batch.select(shard(F.col("id"), shard_chars)).distinct().collect()]
     old = stored.filter(F.col("shard").isin(touched)).select(*batch.columns, F.lit(0).alias("_version"))
     both = old.unionByName(batch.withColumn("_version", F.lit(1)))
-    write_index(latest(both, F.col("_version")).drop("_version"), path, mode="overwrite")
+    write_index(latest(both, F.col("_version")).drop("_version"), path, "overwrite", shard_chars)
 
 
 def push_documents(docs: DataFrame, sender: Callable[[], Callable[[list[Row]], None]], batch_size: int = SEND_BATCH) -> None:
@@ -165,7 +173,7 @@ def postings(docs: DataFrame, buckets: int = BUCKETS) -> DataFrame:
         F.struct(F.lit("path").alias("field"), T.terms(path_words(F.col("path"))).alias("terms")),
     )
     by_field = docs.select(F.unhex("id").alias("doc"), F.inline(fields))
-    words = by_field.select("doc", "field", F.size("terms").alias("dl"), F.posexplode("terms").alias("pos", "term"))
+    words = T.each(by_field, "terms", "doc", "field", F.size("terms").alias("dl"), name="term", position="pos")
     return (
         words.groupBy("field", "term", "doc", "dl")
         .agg(F.count(F.lit(1)).alias("tf"), F.sort_array(F.collect_list("pos")).alias("positions"))
@@ -190,9 +198,16 @@ class Index:
     terms: DataFrame
     stats: DataFrame
     buckets: int = BUCKETS
+    shard_chars: int = SHARD_CHARS
 
     @staticmethod
-    def build(docs: DataFrame, path: str, buckets: int = BUCKETS, unique_ids: bool = False) -> Index:
+    def build(
+        docs: DataFrame,
+        path: str,
+        buckets: int = BUCKETS,
+        shard_chars: int = SHARD_CHARS,
+        unique_ids: bool = False,
+    ) -> Index:
         """Write the index below ``path``. ``unique_ids`` says that no id occurs twice.
 
         Words go to folders by hash, and within a folder files are sorted by word: a query
@@ -200,29 +215,25 @@ class Index:
         make some folders large; the rebalance step gives those more tasks and files.
         """
         spark = docs.sparkSession
-        write_index(docs if unique_ids else latest(docs), f"{path}/documents")
+        write_index(docs if unique_ids else latest(docs), f"{path}/documents", shard_chars=shard_chars)
         stored = spark.read.parquet(f"{path}/documents")
-        (
-            postings(stored, buckets)
-            .hint("rebalance", "bucket")
-            .sortWithinPartitions("bucket", "term", "field")
-            .write.partitionBy("bucket")
-            .parquet(f"{path}/postings")
-        )
+        with setting(spark, *_GROUPS_IN_MEMORY):
+            _write_by_bucket(postings(stored, buckets), f"{path}/postings")
         words = spark.read.parquet(f"{path}/postings")
-        (
-            words.groupBy("bucket", "field", "term")
-            .agg(F.count(F.lit(1)).alias("df"))
-            .hint("rebalance", "bucket")
-            .sortWithinPartitions("bucket", "term", "field")
-            .write.partitionBy("bucket")
-            .parquet(f"{path}/terms")
-        )
+        frequency = words.groupBy("bucket", "field", "term").agg(F.count(F.lit(1)).alias("df"))
+        _write_by_bucket(frequency, f"{path}/terms")
         lengths = words.groupBy("field").agg(F.sum("tf").alias("total_len"))
         documents = stored.agg(F.count(F.lit(1))).scalar()
         lengths.select("field", "total_len", documents.alias("n_docs")).write.parquet(f"{path}/stats")
-        return Index.open(spark, path, buckets)
+        return Index.open(spark, path, buckets, shard_chars)
 
     @staticmethod
-    def open(spark: SparkSession, path: str, buckets: int = BUCKETS) -> Index:
-        return Index(*[spark.read.parquet(f"{path}/{t}") for t in ("documents", "postings", "terms", "stats")], buckets)
+    def open(spark: SparkSession, path: str, buckets: int = BUCKETS, shard_chars: int = SHARD_CHARS) -> Index:
+        """``buckets`` and ``shard_chars`` as the index was built."""
+        tables = [spark.read.parquet(f"{path}/{t}") for t in ("documents", "postings", "terms", "stats")]
+        return Index(*tables, buckets, shard_chars)
+
+
+def _write_by_bucket(df: DataFrame, path: str) -> None:
+    sized = df.hint("rebalance", "bucket").sortWithinPartitions("bucket", "term", "field")
+    sized.write.partitionBy("bucket").parquet(path)

@@ -43,16 +43,16 @@ def route(path: Column) -> Column:
     )
 
 
-def html_metadata(df: DataFrame, html: str = "html") -> DataFrame:
-    """Add the page's title and ``<meta>`` facts as columns, null when absent."""
-    found = {name: T.html_meta(F.col(html), name) for name in META_NAMES}
-    return df.withColumns({"title": T.html_title(F.col(html)), **found})
+def _with_facts(df: DataFrame, html: Column) -> DataFrame:
+    """Add the metadata columns. Steps of their own, so that no search is done twice."""
+    raw = {name: T.raw_meta(F.col("_head"), name) for name in META_NAMES}
+    found = df.withColumn("_head", T.html_head(html)).withColumns({"title": T.raw_title(F.col("_head")), **raw})
+    return found.withColumns({name: T.present(F.col(name)) for name in ["title", *META_NAMES]}).drop("_head")
 
 
-def page_text(html: Column) -> Column:
-    """Visible text of a page, then one line for each metadata value that is present."""
-    facts = [T.html_title(html), *[T.html_meta(html, name) for name in META_NAMES]]
-    return F.concat_ws("\n", T.html_text(html), *facts)
+def html_metadata(df: DataFrame, html: str = "html") -> DataFrame:
+    """Add the page's title and ``<meta>`` facts as columns, null when absent."""
+    return _with_facts(df, F.col(html))
 
 
 def with_dates(text: Column, *dates: Column) -> Column:
@@ -69,13 +69,21 @@ def extract_text(df: DataFrame, handlers: HandlerFactory | None = None) -> DataF
     no file is lost.
     """
     routed = with_file_facts(df.select("path", "body")).withColumn("route", route(F.col("path")))
-    raw = plain_text(F.col("body"))
-    native = routed.filter(F.col("route") != "other").select(
+    is_html = F.col("route") == "html"
+    readable = (
+        routed.filter(F.col("route") != "other")
+        .withColumn("status", F.when(F.col("body").isNull(), "empty").otherwise("ok"))
+        .withColumn("body", plain_text(F.col("body")))
+        .withColumn("_visible", F.when(is_html, T.without_tags(F.col("body"))))
+    )
+    facts = _with_facts(readable, F.when(is_html, F.col("body")))
+    page = F.concat_ws("\n", T.squeeze(T.decode_entities(F.col("_visible"))), "title", *META_NAMES)
+    native = facts.select(
         "path",
-        F.coalesce(F.when(F.col("route") == "html", page_text(raw)).otherwise(raw), F.lit("")).alias("body"),
+        F.coalesce(F.when(is_html, page).otherwise(F.col("body")), F.lit("")).alias("body"),
         "fileName",
         "extension",
-        F.when(F.col("body").isNull(), "empty").otherwise("ok").alias("status"),
+        "status",
     )
     other = routed.filter(F.col("route") == "other")
     if handlers is None:

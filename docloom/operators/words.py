@@ -27,7 +27,7 @@ def wordcount(words: DataFrame) -> DataFrame:
     A file's words sit in one task, so the partial count before the shuffle already
     leaves one row per file and word. On a table bucketed by path there is no shuffle.
     """
-    exploded = words.select(F.col("path").alias("f"), F.explode("words").alias("w"))
+    exploded = T.each(words, "words", F.col("path").alias("f"), name="w")
     return exploded.groupBy("f", "w").agg(F.count(F.lit(1)).alias("c"))
 
 
@@ -36,7 +36,7 @@ def doc_freq(words: DataFrame) -> DataFrame:
 
     Repeats are removed inside each row, so one shuffle of partial counts is enough.
     """
-    distinct = words.select(F.explode(F.array_distinct("words")).alias("w"))
+    distinct = T.each(words, F.array_distinct("words"), name="w")
     return distinct.groupBy("w").agg(F.count(F.lit(1)).alias("df"))
 
 

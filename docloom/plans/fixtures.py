@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from docloom.operators.index import Index, index_documents
 from docloom.operators.language import LanguageModel
 from docloom.operators.parse import with_file_facts
-from docloom.session import scratch_path
+from docloom.session import scratch_path, spread
 
 _kept: dict[tuple[str, str, str], object] = {}
 
@@ -49,6 +49,11 @@ def docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(path, body)`` of every document, for the steps that cut the text up."""
+    return spread(docs(spark, sf_dir).select("path", "body"))
+
+
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(path, body)`` of every page."""
     path = F.concat(
@@ -66,7 +71,8 @@ def turns(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_files(spark: SparkSession, sf_dir: str, *views) -> DataFrame:
     """``(path, lang, body binary)`` of the rows of all the views."""
     made = [
-        v(spark, sf_dir).select("path", F.lit("").alias("lang"), F.encode("body", "UTF-8").alias("body")) for v in views
+        spread(v(spark, sf_dir)).select("path", F.lit("").alias("lang"), F.encode("body", "UTF-8").alias("body"))
+        for v in views
     ]
     all_rows = made[0]
     for more in made[1:]:
@@ -105,14 +111,14 @@ def index_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def index(spark: SparkSession, sf_dir: str) -> Index:
     return once(
-        spark, sf_dir, "index", lambda: Index.build(index_rows(spark, sf_dir), scratch_path(spark, "index"), buckets=8)
+        spark, sf_dir, "index", lambda: Index.build(index_rows(spark, sf_dir), scratch_path(spark, "index"), 8, 1)
     )
 
 
 def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents with a label, which are the training set of the language model."""
     labels = table(spark, sf_dir, "labels").select("doc_id")
-    return docs(spark, sf_dir).join(labels, "doc_id").select("body", "lang")
+    return spread(docs(spark, sf_dir).join(labels, "doc_id").select("body", "lang"))
 
 
 def language_model(spark: SparkSession, sf_dir: str) -> LanguageModel:
@@ -121,7 +127,7 @@ def language_model(spark: SparkSession, sf_dir: str) -> LanguageModel:
 
 def zipped(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each document packed alone: ``<path>.ZIP`` with the text, and a zip with it once more."""
-    return docs(spark, sf_dir).select("path", "body").mapInArrow(_zip, "path string, lang string, body binary")
+    return texts(spark, sf_dir).mapInArrow(_zip, "path string, lang string, body binary")
 
 
 def _zip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

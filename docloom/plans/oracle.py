@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 from docloom.functions.text import ENTITIES
-from docloom.operators.language import PROFILE_SIZE
+from docloom.operators.language import GATE, PROFILE_SIZE
 from docloom.operators.parse import HTML_EXTENSIONS, META_NAMES, TEXT_EXTENSIONS
-from docloom.plans.queries import CENTER, MARGIN, MISSPELT
+from docloom.plans.queries import CENTER, MISSPELT
 
 
 def _quoted(text: str) -> str:
@@ -57,7 +57,8 @@ def _html_text(html: str) -> str:
 
 
 def _found(html: str, pattern: str) -> str:
-    return f"nullif({_squeezed(_decoded(f'regexp_extract({html}, {_quoted(pattern)}, 1)'))}, '')"
+    head = f"regexp_replace({html}, '(?is)</head\\s*>.*', '')"
+    return f"nullif({_squeezed(_decoded(f'regexp_extract({head}, {_quoted(pattern)}, 1)'))}, '')"
 
 
 def _title(html: str) -> str:
@@ -248,7 +249,7 @@ ORACLE: dict[str, str] = {
         SELECT sha256(path) AS id, path, coalesce(l.lang, '') AS lang, -1 AS cluster, CAST(length(body) AS INTEGER) AS chars
         FROM {DOCS} d LEFT JOIN {LANG} l USING (path)""",
     "parse_documents": f"""
-        WITH files AS MATERIALIZED (SELECT * FROM {PARSED}), {_detected('files', MARGIN)}
+        WITH files AS MATERIALIZED (SELECT * FROM {PARSED}), {_detected('files', GATE)}
         SELECT path, "fileName", extension, detected.lang, CAST(length(body) AS INTEGER) AS chars, sha256(body) AS sha
         FROM files JOIN detected USING (path)""",
     "index_defaults": f"""
@@ -323,9 +324,9 @@ ORACLE: dict[str, str] = {
         SELECT event_id, CASE event_type WHEN 'error' THEN '' ELSE strftime(ts, '%Y-%m-%d') END AS day FROM events""",
     "lang_profiles": _profiles(DOCS),
     "detect_lang": f"WITH {_detected(DOCS, None)} SELECT path, lang FROM detected",
-    "detect_lang_gated": f"WITH {_detected(DOCS, MARGIN)} SELECT path, lang FROM detected",
+    "detect_lang_gated": f"WITH {_detected(DOCS, GATE)} SELECT path, lang FROM detected",
     "lang_confusion": f"""
-        WITH {_detected(DOCS, MARGIN)}
+        WITH {_detected(DOCS, GATE)}
         SELECT t.lang AS truth, d.lang AS found, count(*) AS n FROM detected d JOIN {DOCS} t USING (path) GROUP BY ALL""",
     "hashing_tf": f"""
         SELECT path, CAST(len(t) AS INTEGER) AS n_words, CAST(len(t) AS BIGINT) AS tf_sum

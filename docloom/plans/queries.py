@@ -12,7 +12,7 @@ from docloom.functions import geo
 from docloom.functions import paths as P
 from docloom.operators import clustering, facets, index, language, parse, search, spelling, words
 from docloom.plans import fixtures as X
-from docloom.session import scratch_path
+from docloom.session import scratch_path, spread
 from docloom.sinks.tables import pack_files, save_table
 from docloom.sources.files import drop_blacklisted, expand_archives, scan_files
 from docloom.sources.tables import read_table, register_tables
@@ -25,7 +25,7 @@ TERMS = "le of der"
 PHRASE = '"of the" "de la"'
 NEAR = '"the of"~3'
 MISSPELT = ["thes", "oderr", "ndd", "quee", "the", "xyzzyx"]
-MARGIN = 0.0001
+
 CENTER = (48.85, 2.35)
 
 
@@ -98,9 +98,9 @@ def catalog_join(spark, sf_dir):
 def index_upsert(spark, sf_dir):
     """All documents indexed, then those with a label written again with another language."""
     path = scratch_path(spark, "upsert")
-    index.write_index(index.latest(index.index_documents(X.parsed(spark, sf_dir))), path)
+    index.write_index(index.latest(index.index_documents(X.parsed(spark, sf_dir))), path, shard_chars=1)
     again = index.index_documents(X.parsed(spark, sf_dir), lang=X.lang_table(spark, sf_dir))
-    index.upsert_index(again, path)
+    index.upsert_index(again, path, shard_chars=1)
     return spark.read.parquet(path).select("id", "path", "lang", "cluster", F.length("text").alias("chars"))
 
 
@@ -111,7 +111,7 @@ def index_upsert(spark, sf_dir):
 def parse_documents(spark, sf_dir):
     model = X.language_model(spark, sf_dir)
     raw = X.raw_files(spark, sf_dir, X.docs, X.pages, X.turns)
-    parsed = parse.parse_documents(raw, lambda body: model.column(body, MARGIN))
+    parsed = parse.parse_documents(raw, lambda body: model.column(body, language.GATE))
     return parsed.select(
         "path", "fileName", "extension", "lang", F.length("body").alias("chars"), F.sha2("body", 256).alias("sha")
     )
@@ -213,29 +213,29 @@ def geo_radius(spark, sf_dir):
 
 @query
 def tokenize(spark, sf_dir):
-    tokens = words.tokenize(X.docs(spark, sf_dir))
+    tokens = words.tokenize(X.texts(spark, sf_dir))
     return tokens.select("path", F.size("words").alias("n"), F.array_join("words", " ").alias("words"))
 
 
 @query
 def shingles(spark, sf_dir):
-    tokens = words.tokenize(X.docs(spark, sf_dir), ngrams=(2, 3))
+    tokens = words.tokenize(X.texts(spark, sf_dir), ngrams=(2, 3))
     return tokens.select("path", F.size("words").alias("n"), F.sha2(F.array_join("words", "|"), 256).alias("sha"))
 
 
 @query
 def wordcount(spark, sf_dir):
-    return words.wordcount(words.tokenize(X.docs(spark, sf_dir)))
+    return words.wordcount(words.tokenize(X.texts(spark, sf_dir)))
 
 
 @query
 def doc_freq(spark, sf_dir):
-    return words.doc_freq(words.tokenize(X.docs(spark, sf_dir)))
+    return words.doc_freq(words.tokenize(X.texts(spark, sf_dir)))
 
 
 @query
 def tfidf(spark, sf_dir):
-    weighted = words.tfidf(words.tokenize(X.docs(spark, sf_dir)))
+    weighted = words.tfidf(words.tokenize(X.texts(spark, sf_dir)))
     return weighted.withColumn("tfidf", F.round("tfidf", 6))
 
 
@@ -324,22 +324,22 @@ def date_text(spark, sf_dir):
 
 @query
 def lang_profiles(spark, sf_dir):
-    return language.profiles(X.docs(spark, sf_dir))
+    return language.profiles(spread(X.docs(spark, sf_dir).select("body", "lang")))
 
 
 @query
 def detect_lang(spark, sf_dir):
-    return X.language_model(spark, sf_dir).detect(X.docs(spark, sf_dir))
+    return X.language_model(spark, sf_dir).detect(X.texts(spark, sf_dir))
 
 
 @query
 def detect_lang_gated(spark, sf_dir):
-    return X.language_model(spark, sf_dir).detect(X.docs(spark, sf_dir), min_margin=MARGIN)
+    return X.language_model(spark, sf_dir).detect(X.texts(spark, sf_dir), min_margin=language.GATE)
 
 
 @query
 def lang_confusion(spark, sf_dir):
-    found = X.language_model(spark, sf_dir).detect(X.docs(spark, sf_dir), min_margin=MARGIN)
+    found = X.language_model(spark, sf_dir).detect(X.texts(spark, sf_dir), min_margin=language.GATE)
     truth = X.docs(spark, sf_dir).select("path", F.col("lang").alias("truth"))
     return found.join(truth, "path").groupBy("truth", F.col("lang").alias("found")).agg(F.count(F.lit(1)).alias("n"))
 
@@ -351,13 +351,13 @@ def lang_confusion(spark, sf_dir):
 def hashing_tf(spark, sf_dir):
     from pyspark.ml.functions import vector_to_array
 
-    counted = clustering.hashing_tf().transform(words.tokenize(X.docs(spark, sf_dir)))
+    counted = clustering.hashing_tf().transform(words.tokenize(X.texts(spark, sf_dir)))
     total = F.aggregate(vector_to_array("rawFeatures"), F.lit(0.0), lambda a, b: a + b)
     return counted.select("path", F.size("words").alias("n_words"), total.cast("long").alias("tf_sum"))
 
 
 def _clusters(spark, sf_dir):
-    docs = X.docs(spark, sf_dir)
+    docs = X.texts(spark, sf_dir)
     return X.once(spark, sf_dir, "clusters", lambda: clustering.fit_clusters(docs)), docs
 
 

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import warnings
 from collections.abc import Sequence
-from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
+
+from docloom.session import setting
 
 # Fixed value: 128 MiB.
 DEFAULT_TARGET_BYTES = 128 * 1024 * 1024
@@ -28,19 +29,6 @@ def target_bytes(size: int | str | None) -> int:
     return number
 
 
-@contextmanager
-def _setting(spark: SparkSession, key: str, value: str):
-    before = spark.conf.get(key, None)
-    spark.conf.set(key, value)
-    try:
-        yield
-    finally:
-        if before is None:
-            spark.conf.unset(key)
-        else:
-            spark.conf.set(key, before)
-
-
 def pack_files(df: DataFrame, path: str, size: int | str | None = None, fmt: str = "parquet") -> None:
     """Write ``df`` as snappy files of about ``size`` bytes each; ``path`` must not exist.
 
@@ -49,7 +37,7 @@ def pack_files(df: DataFrame, path: str, size: int | str | None = None, fmt: str
     more than its share however uneven the input partitions are.
     """
     spark = df.sparkSession
-    with _setting(spark, _ADVISORY, str(target_bytes(size))):
+    with setting(spark, _ADVISORY, str(target_bytes(size))):
         df.hint("rebalance").write.format(fmt).option("compression", "snappy").mode("errorifexists").save(path)
 
 
