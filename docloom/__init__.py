@@ -1 +1,8 @@
 """Document analytics on PySpark: DataFrame in, DataFrame out."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# The few Python helpers travel with their tasks, so executors need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

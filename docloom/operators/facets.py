@@ -20,6 +20,7 @@ OTHERS = ["before", "after", "between"]
 INCLUDES = ["lower", "upper", "edge", "outer"]
 
 MAX_RANGES = 10_000
+MAX_MAP = 10_000
 
 # Seconds in the units of a date gap. Months and years go by the calendar.
 UNIT_SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400, "week": 604800}
@@ -227,10 +228,12 @@ def facet_pivot(df: DataFrame, *fields: str, totals: bool = False) -> DataFrame:
 
 
 def as_map(facets: DataFrame) -> DataFrame:
-    """Facet rows as one map. For a limited facet only, as all rows go into one value."""
-    return facets.select(F.struct("facet", "count").alias("e")).agg(
-        F.map_from_entries(F.array_sort(F.collect_list("e"))).alias("counts")
-    )
+    """Facet rows as one map. More than ``MAX_MAP`` of them are an error, not cut off."""
+    entries = F.array_sort(F.collect_list(F.struct("facet", "count")))
+    gathered = facets.limit(MAX_MAP + 1).agg(entries.alias("e"))
+    too_many = F.raise_error(F.lit(f"more than {MAX_MAP} facet values do not go into one map"))
+    checked = F.when(F.size("e") > MAX_MAP, too_many.cast("array<struct<facet:string,count:bigint>>"))
+    return gathered.select(F.map_from_entries(checked.otherwise(F.col("e"))).alias("counts"))
 
 
 def from_map(counts: DataFrame, column: str = "counts") -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from docloom.functions import text as T
 from docloom.functions.paths import doc_id, path_words
-from docloom.session import setting
+from docloom.session import settings
 
 # What a document gets when no language or cluster table is given.
 NO_LANGUAGE = ""
@@ -26,7 +26,7 @@ SHARD_CHARS = 2
 
 # Groups that a task of the postings aggregate holds in memory before it sorts instead.
 # The engine's default is for states much larger than a few word positions.
-_GROUPS_IN_MEMORY = ("spark.sql.objectHashAggregate.sortBased.fallbackThreshold", "100000")
+_GROUPS_IN_MEMORY = {"spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "100000"}
 
 
 def with_defaults(parsed: DataFrame, use_parsed_lang: bool = False) -> DataFrame:
@@ -217,7 +217,7 @@ class Index:
         spark = docs.sparkSession
         write_index(docs if unique_ids else latest(docs), f"{path}/documents", shard_chars=shard_chars)
         stored = spark.read.parquet(f"{path}/documents")
-        with setting(spark, *_GROUPS_IN_MEMORY):
+        with settings(spark, _GROUPS_IN_MEMORY):
             _write_by_bucket(postings(stored, buckets), f"{path}/postings")
         words = spark.read.parquet(f"{path}/postings")
         frequency = words.groupBy("bucket", "field", "term").agg(F.count(F.lit(1)).alias("df"))

@@ -15,11 +15,10 @@ from __future__ import annotations
 import sys
 import unicodedata
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from docloom.functions import text as T
@@ -33,9 +32,9 @@ MILLION = 1_000_000
 # most wrong answers by less.
 GATE = 0.002
 
-# A model is refused beyond this many languages; its table is at most
-# MAX_LANGUAGES * PROFILE_SIZE rows.
-MAX_LANGUAGES = 256
+# A model is refused beyond these sizes.
+MAX_LANGUAGES = 64
+MAX_GRAMS = MAX_LANGUAGES * PROFILE_SIZE
 
 
 def trigram_rows(df: DataFrame, text: str, *keep: str) -> DataFrame:
@@ -140,24 +139,36 @@ class LanguageModel:
             for i, norm in enumerate(self.norms)
         ]
 
-    def column(self, text: Column, min_margin: float | None = None) -> Column:
-        """The same decision as a vectorised column, for when the text has to stay in its row.
+    def udf(self, min_margin: float | None = None):
+        """The same decision as a vectorised function, for when the text has to stay in its row.
 
         ``detect`` is the plan to use for a table of languages. This one is for steps that
-        keep the text, where a join would shuffle every text. It holds the weight table,
-        whose size is bounded by ``MAX_LANGUAGES * PROFILE_SIZE`` rows.
+        keep the text, where a join would shuffle every text. It carries the weight table,
+        whose size is checked.
         """
-        table = self.weights.limit(MAX_LANGUAGES * PROFILE_SIZE).toPandas()
+        table = self.weights.limit(MAX_GRAMS + 1).toPandas()
+        if len(table) > MAX_GRAMS:
+            raise ValueError(f"more than {MAX_GRAMS} trigrams in the profiles")
         codes = np.array([_code(g) for g in table["gram"]], dtype=np.int64)
         order = np.argsort(codes)
         values = table[[_weight(i) for i in range(len(self.languages))]].to_numpy(np.int64)[order]
         codes, norms, names = codes[order], np.array(self.norms, dtype=np.float64), list(self.languages)
 
+        bits = _letter_bits()
+
         @F.pandas_udf("string")
         def language(texts: pd.Series) -> pd.Series:
-            return texts.map(lambda t: _nearest(t, codes, values, norms, names, min_margin))
+            is_letter = np.unpackbits(bits).astype(bool)
+            return texts.map(lambda t: _nearest(t, is_letter, codes, values, norms, names, min_margin))
+
+        return language
+
+    def column(self, text: Column, min_margin: float | None = None) -> Column:
+        return self.udf(min_margin)(text)
 
-        return language(text)
+    def register(self, spark: SparkSession, name: str = "detect_lang", min_margin: float | None = None) -> None:
+        """Make ``udf`` callable from SQL."""
+        spark.udf.register(name, self.udf(min_margin))
 
 
 def _weight(i: int) -> str:
@@ -169,17 +180,16 @@ def _code(gram: str) -> int:
     return a << 42 | b << 21 | c
 
 
-@lru_cache(maxsize=1)
-def _is_letter() -> np.ndarray:
-    """For every code point, whether it is a letter."""
-    return np.array([unicodedata.category(chr(p)).startswith("L") for p in range(sys.maxunicode + 1)])
+def _letter_bits() -> np.ndarray:
+    """One bit per code point, whether it is a letter."""
+    return np.packbits([unicodedata.category(chr(p)).startswith("L") for p in range(sys.maxunicode + 1)])
 
 
-def _nearest(text, codes, values, norms, names, min_margin) -> str:
+def _nearest(text, is_letter, codes, values, norms, names, min_margin) -> str:
     if text is None:
         return ""
     points = np.frombuffer(f" {text.lower()} ".encode("utf-32-le", "replace"), dtype=np.uint32).astype(np.int64)
-    letter = _is_letter()[points]
+    letter = is_letter[points]
     letters = int(np.count_nonzero(letter))
     if letters == 0:
         return ""

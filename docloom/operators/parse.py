@@ -63,50 +63,47 @@ def with_dates(text: Column, *dates: Column) -> Column:
 def extract_text(df: DataFrame, handlers: HandlerFactory | None = None) -> DataFrame:
     """``(path, body binary)`` to ``(path, body string, fileName, extension, status)``.
 
-    Pages and plain text never leave the JVM. Other formats go to the handler of their
-    extension. ``status`` is ``ok``, ``unsupported`` (no handler), ``error`` (the handler
-    failed) or ``empty`` (null body); the text of a file that is not ``ok`` is ``''``, so
-    no file is lost.
+    The files are read once. Pages and plain text are done in the JVM; only the bodies of
+    other formats enter Python, for the handler of their extension. ``status`` is ``ok``,
+    ``unsupported`` (no handler), ``error`` (the handler failed) or ``empty`` (null body);
+    the text of a file that is not ``ok`` is ``''``, so no file is lost.
     """
-    routed = with_file_facts(df.select("path", "body")).withColumn("route", route(F.col("path")))
-    is_html = F.col("route") == "html"
-    readable = (
-        routed.filter(F.col("route") != "other")
-        .withColumn("status", F.when(F.col("body").isNull(), "empty").otherwise("ok"))
-        .withColumn("body", plain_text(F.col("body")))
-        .withColumn("_visible", F.when(is_html, T.without_tags(F.col("body"))))
-    )
-    facts = _with_facts(readable, F.when(is_html, F.col("body")))
+    routed = with_file_facts(df.select("path", F.col("body").alias("_bytes"))).withColumn("_route", route(F.col("path")))
+    is_html, is_other = F.col("_route") == "html", F.col("_route") == "other"
+    read = routed.withColumn("body", F.when(~is_other, plain_text(F.col("_bytes"))))
+    if handlers is None:
+        outcome = F.struct(F.lit("").alias("text"), F.lit("unsupported").alias("status"))
+    else:
+        outcome = _handled(handlers)("path", "extension", F.when(is_other, F.col("_bytes")), is_other)
+    read = read.withColumn("_other", outcome)
+    read = read.withColumn("_visible", F.when(is_html, T.without_tags(F.col("body"))))
+    facts = _with_facts(read, F.when(is_html, F.col("body")))
     page = F.concat_ws("\n", T.squeeze(T.decode_entities(F.col("_visible"))), "title", *META_NAMES)
-    native = facts.select(
-        "path",
-        F.coalesce(F.when(is_html, page).otherwise(F.col("body")), F.lit("")).alias("body"),
-        "fileName",
-        "extension",
-        "status",
+    text = F.when(is_other, F.col("_other")["text"]).when(is_html, page).otherwise(F.col("body"))
+    status = (
+        F.when(is_other, F.col("_other")["status"]).when(F.col("_bytes").isNull(), "empty").otherwise("ok")
     )
-    other = routed.filter(F.col("route") == "other")
-    if handlers is None:
-        return native.unionByName(
-            other.select("path", F.lit("").alias("body"), "fileName", "extension", F.lit("unsupported").alias("status"))
-        )
-    parsed = other.select("path", "body", "extension").mapInPandas(
-        _apply_handlers(handlers), "path string, body string, status string"
+    return facts.select(
+        "path", F.coalesce(text, F.lit("")).alias("body"), "fileName", "extension", status.alias("status")
     )
-    return native.unionByName(with_file_facts(parsed))
 
 
-def _apply_handlers(factory: HandlerFactory):
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _handled(factory: HandlerFactory):
+    """The handlers as a vectorised column. Marked so that it is evaluated once per row."""
+
+    @F.pandas_udf("text string, status string")
+    def run(
+        batches: Iterator[tuple[pd.Series, pd.Series, pd.Series, pd.Series]],
+    ) -> Iterator[pd.DataFrame]:
         handlers = factory()
-        for frame in frames:
+        for paths, extensions, bodies, chosen in batches:
             rows = [
-                _one(handlers.get(extension.lower()), path, body)
-                for path, body, extension in frame.itertuples(index=False)
+                _one(handlers.get(extension.lower()), path, body) if wanted else ("", "ok")
+                for path, extension, body, wanted in zip(paths, extensions, bodies, chosen)
             ]
-            yield pd.DataFrame({"path": frame["path"], "body": [r[0] for r in rows], "status": [r[1] for r in rows]})
+            yield pd.DataFrame(rows, columns=["text", "status"])
 
-    return run
+    return run.asNondeterministic()
 
 
 def _one(handler: Handler | None, path: str, body: bytes | None) -> tuple[str, str]:

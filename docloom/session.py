@@ -52,17 +52,19 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 @contextmanager
-def setting(spark: SparkSession, key: str, value: str):
-    """Run a block with a session setting that is put back afterwards."""
-    before = spark.conf.get(key, None)
-    spark.conf.set(key, value)
+def settings(spark: SparkSession, values: dict[str, str]):
+    """Run a block with session settings that are put back afterwards."""
+    before = {key: spark.conf.get(key, None) for key in values}
+    for key, value in values.items():
+        spark.conf.set(key, value)
     try:
         yield
     finally:
-        if before is None:
-            spark.conf.unset(key)
-        else:
-            spark.conf.set(key, before)
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

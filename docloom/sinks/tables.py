@@ -7,12 +7,18 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
-from docloom.session import setting
+from docloom.session import settings
 
 # Fixed value: 128 MiB.
 DEFAULT_TARGET_BYTES = 128 * 1024 * 1024
 
-_ADVISORY = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+
+def _sizing(size: int) -> dict[str, str]:
+    """Adaptive execution aims at ``size`` instead of at keeping all cores busy."""
+    return {
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(size),
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    }
 
 
 def target_bytes(size: int | str | None) -> int:
@@ -37,7 +43,7 @@ def pack_files(df: DataFrame, path: str, size: int | str | None = None, fmt: str
     more than its share however uneven the input partitions are.
     """
     spark = df.sparkSession
-    with setting(spark, _ADVISORY, str(target_bytes(size))):
+    with settings(spark, _sizing(target_bytes(size))):
         df.hint("rebalance").write.format(fmt).option("compression", "snappy").mode("errorifexists").save(path)
 
 

@@ -29,17 +29,36 @@ MAX_DEPTH = 16
 MAX_BODY_BYTES = 2**31 - 1 - 1024
 
 
-def scan_files(spark: SparkSession, folder: str) -> DataFrame:
+# File name patterns: names that end in .zip in any case, and all the others.
+_ZIP_NAMES = "*.[zZ][iI][pP]"
+_OTHER_NAMES = (
+    "{*[^pP],*[^iI][pP],*[^zZ][iI][pP],*[^.][zZ][iI][pP],[pP],[iI][pP],[zZ][iI][pP]}"
+)
+
+
+def scan_files(spark: SparkSession, folder: str, names: str | None = None) -> DataFrame:
     """One ``(path, lang, body)`` row per file below ``folder``, blacklisted names left out.
 
-    The name test comes before the content is touched. Spark does not list files or
-    folders whose names begin with ``.`` or ``_``.
+    ``names`` is a file name pattern; files that do not match are not opened. Spark does not
+    list files or folders whose names begin with ``.`` or ``_``.
     """
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    if names is not None:
+        reader = reader.option("pathGlobFilter", names)
+    files = reader.load(folder)
     named = files.select("path", F.lit("").alias("lang"), F.col("content").alias("body"))
     return drop_blacklisted(named)
 
 
+def scan_expanded(spark: SparkSession, folder: str, filter_entries: bool = False) -> DataFrame:
+    """Scan ``folder`` and open its archives: ``(path, lang, body, status)``.
+
+    Archives and other files are told apart while listing, so every file is read once.
+    """
+    others = scan_files(spark, folder, _OTHER_NAMES).withColumn("status", F.lit("ok"))
+    return others.unionByName(_expanded(scan_files(spark, folder, _ZIP_NAMES), filter_entries))
+
+
 def drop_blacklisted(df: DataFrame, path: str = "path") -> DataFrame:
     return df.filter(~F.lower(file_name(F.col(path))).isin([name.lower() for name in BLACKLIST]))
 
@@ -54,10 +73,12 @@ def expand_archives(df: DataFrame, filter_entries: bool = False) -> DataFrame:
     """
     is_zip = has_extension(F.col("path"), "zip")
     plain = df.filter(~is_zip).select("path", "lang", "body", F.lit("ok").alias("status"))
-    zipped = df.filter(is_zip).select("path", "body").mapInArrow(_expand_batches, EXPANDED_SCHEMA)
-    if filter_entries:
-        zipped = drop_blacklisted(zipped)
-    return plain.unionByName(zipped)
+    return plain.unionByName(_expanded(df.filter(is_zip), filter_entries))
+
+
+def _expanded(archives: DataFrame, filter_entries: bool) -> DataFrame:
+    entries = archives.select("path", "body").mapInArrow(_expand_batches, EXPANDED_SCHEMA)
+    return drop_blacklisted(entries) if filter_entries else entries
 
 
 def _entries(path: str, source, depth: int = 0) -> Iterator[tuple[str, bytes | None, str]]:
