@@ -135,7 +135,7 @@ class LanguageModel:
     def _distances(self) -> list[Column]:
         """Squared distance to each language, times 10**12, without the text's own norm."""
         return [
-            F.lit(float(norm)) - F.lit(2.0 * MILLION) * F.col(f"s{i}") / F.col("letters")
+            F.lit(float(norm)) - F.try_divide(F.lit(2.0 * MILLION) * F.col(f"s{i}"), F.col("letters"))
             for i, norm in enumerate(self.norms)
         ]
 

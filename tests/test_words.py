@@ -1,0 +1,99 @@
+from __future__ import annotations
+
+import math
+import random
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from docloom.functions import text as T
+from docloom.operators import words as W
+from docloom.operators.joins import lookup_join
+
+CASES = {
+    "Hello, World": ["Hello", "World"],
+    "l'été d’hiver": ["l'été", "d’hiver"],
+    "3.14 3,14 a.b.c. x:y": ["3.14", "3", "14", "a.b.c", "x:y"],
+    "snake_case 'quoted' e-mail": ["snake_case", "quoted", "e", "mail"],
+    "": [],
+    "  \n ": [],
+    "naïve café": ["naïve", "café"],
+}
+
+
+def test_words(spark):
+    df = spark.createDataFrame([(t,) for t in [*CASES, None]], "t string")
+    found = {r["t"]: r["w"] for r in df.select("t", T.words(F.col("t")).alias("w")).collect()}
+    assert found == {**CASES, None: []}
+
+
+def test_a_very_long_chain_is_one_word(spark):
+    text = "1." * 200_000 + "1"
+    df = spark.createDataFrame([(text,)], "t string")
+    assert df.select(F.size(T.words(F.col("t")))).first()[0] == 1
+
+
+def test_shingles(spark):
+    df = spark.createDataFrame([("/a", "a b c"), ("/b", "x"), ("/c", None)], "path string, body string")
+    single = {r["path"]: r["words"] for r in W.tokenize(df).collect()}
+    assert single == {"/a": ["a", "b", "c"], "/b": ["x"], "/c": []}
+    grams = {r["path"]: r["words"] for r in W.tokenize(df, (2, 3)).collect()}
+    assert grams == {"/a": ["a", "b", "c", "a b", "b c", "a b c"], "/b": ["x"], "/c": []}
+
+
+@pytest.fixture(scope="module")
+def corpus(spark):
+    rng = random.Random(7)
+    vocabulary = ["the"] * 40 + [f"w{i}" for i in range(60)]
+    texts = [(f"/{i}", " ".join(rng.choice(vocabulary) for _ in range(rng.randint(0, 60)))) for i in range(80)]
+    return texts, spark.createDataFrame(texts, "path string, body string")
+
+
+def test_counts_and_tfidf_against_a_loop(corpus):
+    texts, df = corpus
+    tokens = W.tokenize(df)
+    counts = {p: Counter(t.split()) for p, t in texts}
+    expected = {(p, w): c for p, cs in counts.items() for w, c in cs.items()}
+    assert {(r["f"], r["w"]): r["c"] for r in W.wordcount(tokens).collect()} == expected
+    frequency = Counter(w for cs in counts.values() for w in cs)
+    assert {r["w"]: r["df"] for r in W.doc_freq(tokens).collect()} == frequency
+    found = {(r["f"], r["w"]): r["tfidf"] for r in W.tfidf(tokens).collect()}
+    assert found.keys() == expected.keys()
+    for (f, w), value in found.items():
+        assert value == pytest.approx(expected[f, w] * math.log((len(texts) + 1) / (frequency[w] + 1)))
+
+
+def test_text_is_cut_up_once(spark, corpus, tmp_path, plan):
+    corpus[1].write.parquet(str(tmp_path / "docs"))
+    tokens = W.tokenize(spark.read.parquet(str(tmp_path / "docs")))
+    for made in (W.wordcount(tokens), W.doc_freq(tokens)):
+        tree = made._jdf.queryExecution().executedPlan().toString()
+        assert tree.count("regexp_extract_all") == 1
+        assert tree.count("Exchange") == 1
+
+
+@pytest.mark.parametrize("heavy", [1, 3, 1000])
+def test_lookup_join_with_heavy_and_missing_keys(spark, heavy):
+    rows = [("hot", i) for i in range(500)] + [(f"k{i % 7}", i) for i in range(50)] + [("none", 1), (None, 2)]
+    left = spark.createDataFrame(rows, "k string, i int")
+    counts = Counter(k for k, _ in rows if k and k != "none")
+    dimension = spark.createDataFrame([(k, c, f"v{k}") for k, c in counts.items()], "k string, n long, v string")
+    joined = lookup_join(left, dimension, "k", "n", heavy=heavy)
+    assert joined.columns == ["k", "i", "n", "v"]
+    expected = Counter((k, i, counts.get(k), f"v{k}" if k in counts else None) for k, i in rows)
+    assert Counter(map(tuple, joined.collect())) == expected
+
+
+def test_heavy_keys_do_not_meet_in_one_task(spark):
+    left = spark.range(20_000).select(F.lit("hot").alias("k"), "id")
+    dimension = spark.createDataFrame([("hot", 20_000, 1.0), ("cold", 1, 2.0)], "k string, n long, v double")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        joined = lookup_join(left, dimension, "k", "n")
+        sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert sum(sizes) == 20_000 and max(sizes) < 8_000
