@@ -9,13 +9,24 @@ from pyspark.sql import functions as F
 
 WORD_CHAR = r"[\p{L}\p{M}\p{N}_]"
 
-# The possessive last quantifier makes the matcher loop instead of recurse, so a
-# very long chain such as 1.2.3.4... cannot overflow the stack.
-WORD = rf"{WORD_CHAR}+(?:['’.:·]{WORD_CHAR}+)*+"
-
+# Word breaking after Unicode Standard Annex 29. Letters may be joined by one of . : · ' ’ ‘
+# and digits by one of . , ; ' ’ ‘. A word has a letter or a digit in it. Han and Hiragana
+# characters are words by themselves. All repeats are possessive: the matcher then loops
+# instead of recursing, so that a chain such as 1.2.3.4..., however long, cannot overflow
+# the stack, and never tries a text twice.
+_LETTERS = r"[\p{L}\p{M}&&[^\p{IsHan}\p{IsHiragana}]]++(?:[.:·'’‘][\p{L}\p{M}&&[^\p{IsHan}\p{IsHiragana}]]++)*+"
+_DIGITS = r"\p{Nd}++(?:[.,;'’‘]\p{Nd}++)*+"
+WORD = rf"[\p{{IsHan}}\p{{IsHiragana}}]|(?<!_)_*+(?:{_LETTERS}|{_DIGITS})(?:{_LETTERS}|{_DIGITS}|_)*+"
+
+# What is taken out of a page, in one pass. Every alternative stops at the next bracket or
+# runs to its own end mark, and to the end of the page if that is missing: no text is
+# scanned over and over, however broken the page.
 HTML_DROP = (
-    r"(?is)<(?:script|style|title)\b[^>]*>.*?</(?:script|style|title)\s*>"
-    r"|<!--.*?-->|<[^>]+>"
+    r"(?is)<script\b[^<>]*>.*?(?:</script\s*>|\z)"
+    r"|<style\b[^<>]*>.*?(?:</style\s*>|\z)"
+    r"|<title\b[^<>]*>[^<]*(?:</title\s*>)?"
+    r"|<!--.*?(?:-->|\z)"
+    r"|</?[a-z!?][^<>]*>"
 )
 
 # The entities that are decoded, in this order.
@@ -138,12 +149,12 @@ def html_head(html: Column) -> Column:
 
 
 def raw_title(head: Column) -> Column:
-    return F.regexp_extract(head, r"(?is)<title\b[^>]*>(.*?)</title\s*>", 1)
+    return F.regexp_extract(head, r"(?i)<title\b[^<>]*>([^<]*)", 1)
 
 
 def raw_meta(head: Column, name: str) -> Column:
     """The content of ``<meta name="...">``, ``''`` when absent."""
-    return F.regexp_extract(head, rf'(?is)<meta\s+name="{name}"\s+content="([^"]*)"', 1)
+    return F.regexp_extract(head, rf'(?i)<meta\s+name="{name}"\s+content="([^"<>]*)"', 1)
 
 
 def present(text: Column) -> Column:

@@ -10,6 +10,8 @@ from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel, Transformer
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import IDF, HashingTF, Normalizer, SQLTransformer
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -107,11 +109,9 @@ def centers(model: PipelineModel, docs: DataFrame) -> DataFrame:
 
 def mean_centers(vectors: DataFrame, vector: str, label: str) -> DataFrame:
     """``(cluster, center)``: the mean vector of each label."""
-    spread = vectors.select(F.col(label).alias("cluster"), F.posexplode(vector).alias("dim", "x"))
-    means = spread.groupBy("cluster", "dim").agg(F.avg(F.col("x").cast("double")).alias("x"))
-    return means.groupBy("cluster").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("dim", "x"))), lambda s: s["x"]).alias("center")
-    )
+    dense = vectors.select(F.col(label).alias("cluster"), array_to_vector(F.col(vector).cast("array<double>")).alias("x"))
+    means = dense.groupBy("cluster").agg(Summarizer.mean(F.col("x")).alias("center"))
+    return means.select("cluster", vector_to_array("center").alias("center"))
 
 
 def nearest_center(vector: Column, center_table: DataFrame) -> Column:

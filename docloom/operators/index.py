@@ -20,6 +20,9 @@ NO_CLUSTER = -1
 # Fixed value: rows per call of a caller-supplied sender.
 SEND_BATCH = 100
 
+# The languages that get a text field of their own.
+ROUTED = ["fr", "en"]
+
 FIELDS = ["text", "path"]
 BUCKETS = 64
 SHARD_CHARS = 2
@@ -71,6 +74,12 @@ def routed_text(lang: Column, body: Column, code: str) -> Column:
     return F.when(F.lower(lang) == code, body)
 
 
+def with_routed_text(rows: DataFrame) -> DataFrame:
+    """Add the language fields, which repeat the text of French and English documents."""
+    fields = {f"text_{code}": routed_text(F.col("lang"), F.col("text"), code) for code in ROUTED}
+    return rows.withColumns(fields)
+
+
 def index_documents(
     parsed: DataFrame,
     lang: DataFrame | None = None,
@@ -80,30 +89,34 @@ def index_documents(
 ) -> DataFrame:
     """Parsed documents to index rows."""
     docs = enrich(with_defaults(parsed, use_parsed_lang), lang, clusters, how)
-    return docs.select(
-        doc_id(F.col("path")).alias("id"),
-        "path",
-        "fileName",
-        "lang",
-        F.col("body").alias("text"),
-        "extension",
-        "cluster",
-        routed_text(F.col("lang"), F.col("body"), "fr").alias("text_fr"),
-        routed_text(F.col("lang"), F.col("body"), "en").alias("text_en"),
+    rows = docs.select(
+        doc_id(F.col("path")).alias("id"), "path", "fileName", "lang", F.col("body").alias("text"), "extension", "cluster"
     )
+    return with_routed_text(rows)
+
+
+def _without_routed_text(rows: DataFrame) -> DataFrame:
+    """For a shuffle: the language fields are made again afterwards."""
+    return rows.drop(*[f"text_{code}" for code in ROUTED])
+
+
+def _as(docs: DataFrame, rows: DataFrame, *more: str) -> DataFrame:
+    """``rows`` with the columns of ``docs``, the language fields put back if it has them."""
+    whole = with_routed_text(rows) if set(docs.columns) - set(rows.columns) else rows
+    return whole.select(*docs.columns, *more)
 
 
 def latest(docs: DataFrame, version: Column | None = None) -> DataFrame:
-    """One row per id, the one with the highest ``version``.
+    """One index row per id, the one with the highest ``version``.
 
     Each task first cuts its own rows to one per id, so an id that is written over and
     over does not gather in one place. Without a version, or among equal ones, the
     greatest row wins, so that the outcome does not depend on the order of the rows.
     """
-    row = F.struct(*docs.columns)
-    order = F.struct(version.alias("v"), row.alias("r")) if version is not None else row
-    kept = docs.groupBy("id").agg(F.max_by(row, order).alias("_row"))
-    return kept.select(*[F.col("_row")[c].alias(c) for c in docs.columns])
+    rows = _without_routed_text(docs)
+    newest = F.max(F.struct((version if version is not None else F.lit(0)).alias("_v"), *rows.columns)).alias("_row")
+    kept = rows.groupBy("id").agg(newest)
+    return _as(docs, kept.select(*[F.col("_row")[c].alias(c) for c in rows.columns]))
 
 
 def shard(id_column: Column, chars: int = SHARD_CHARS) -> Column:
@@ -116,9 +129,9 @@ def shard(id_column: Column, chars: int = SHARD_CHARS) -> Column:
 
 def write_index(docs: DataFrame, path: str, mode: str = "errorifexists", shard_chars: int = SHARD_CHARS) -> None:
     """Write index rows into one folder per shard; sizes are evened out while writing."""
+    moved = _without_routed_text(docs).withColumn("shard", shard(F.col("id"), shard_chars)).hint("rebalance", "shard")
     (
-        docs.withColumn("shard", shard(F.col("id"), shard_chars))
-        .hint("rebalance", "shard")
+        _as(docs, moved, "shard")
         .write.partitionBy("shard")
         .mode(mode)
         .option("partitionOverwriteMode", "dynamic")

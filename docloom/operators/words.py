@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docloom.functions import text as T
@@ -40,13 +40,21 @@ def doc_freq(words: DataFrame) -> DataFrame:
     return distinct.groupBy("w").agg(F.count(F.lit(1)).alias("df"))
 
 
-def idf(words: DataFrame) -> DataFrame:
+def idf(frequency: DataFrame, documents: Column) -> DataFrame:
     """``(w, df, idf)`` with ``idf = ln((N + 1) / (df + 1))`` over all ``N`` documents."""
-    documents = words.agg(F.count(F.lit(1))).scalar()
-    return doc_freq(words).withColumn("idf", F.log((documents + F.lit(1.0)) / (F.col("df") + F.lit(1.0))))
+    return frequency.withColumn("idf", F.log((documents + F.lit(1.0)) / (F.col("df") + F.lit(1.0))))
+
 
+def tfidf(words: DataFrame, counts: DataFrame | None = None) -> DataFrame:
+    """``(f, w, c, df, tfidf)`` for every word of every file.
 
-def tfidf(words: DataFrame) -> DataFrame:
-    """``(f, w, c, df, tfidf)`` for every word of every file."""
-    weighted = lookup_join(wordcount(words), idf(words), key="w", weight="df")
+    Give ``counts``, the stored result of ``wordcount``, to keep the texts from being cut up
+    again: the words' document frequency then comes from that table as well.
+    """
+    documents = words.agg(F.count(F.lit(1))).scalar()
+    if counts is None:
+        counts, frequency = wordcount(words), doc_freq(words)
+    else:
+        frequency = counts.groupBy("w").agg(F.count(F.lit(1)).alias("df"))
+    weighted = lookup_join(counts, idf(frequency, documents), key="w", weight="df")
     return weighted.select("f", "w", "c", "df", (F.col("c") * F.col("idf")).alias("tfidf"))

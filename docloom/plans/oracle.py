@@ -17,7 +17,9 @@ def _listed(values) -> str:
 
 
 W = r"[\p{L}\p{M}\p{N}_]"
-WORD = rf"{W}+(?:[''’.:·]{W}+)*"
+_LETTERS = r"[\p{L}\p{M}]+(?:[.:·''’‘][\p{L}\p{M}]+)*"
+_DIGITS = r"\p{Nd}+(?:[.,;''’‘]\p{Nd}+)*"
+WORD = rf"_*(?:{_LETTERS}|{_DIGITS})(?:{_LETTERS}|{_DIGITS}|_)*"
 PATH = (
     "'/' || source || '/' || doc_id || CASE doc_id % 5 WHEN 0 THEN '.txt' WHEN 1 THEN '.TXT' "
     "WHEN 2 THEN '.md' WHEN 3 THEN '.log' ELSE '' END"
@@ -51,7 +53,8 @@ def _squeezed(text: str) -> str:
 
 def _html_text(html: str) -> str:
     drop = (
-        r"(?is)<(?:script|style|title)\b[^>]*>.*?</(?:script|style|title)\s*>|<!--.*?-->|<[^>]+>"
+        r"(?is)<script\b[^<>]*>.*?(?:</script\s*>|\z)|<style\b[^<>]*>.*?(?:</style\s*>|\z)"
+        r"|<title\b[^<>]*>[^<]*(?:</title\s*>)?|<!--.*?(?:-->|\z)|</?[a-z!?][^<>]*>"
     )
     return _squeezed(_decoded(f"regexp_replace({html}, '{drop}', ' ', 'g')"))
 
@@ -62,11 +65,11 @@ def _found(html: str, pattern: str) -> str:
 
 
 def _title(html: str) -> str:
-    return _found(html, r"(?is)<title\b[^>]*>(.*?)</title\s*>")
+    return _found(html, r"(?i)<title\b[^<>]*>([^<]*)")
 
 
 def _meta(html: str, name: str) -> str:
-    return _found(html, rf'(?is)<meta\s+name="{name}"\s+content="([^"]*)"')
+    return _found(html, rf'(?i)<meta\s+name="{name}"\s+content="([^"<>]*)"')
 
 
 def _page_text(html: str) -> str:

@@ -59,6 +59,20 @@ def test_html(spark):
     assert found["/c.html"] == ("", "ok")
 
 
+def test_broken_pages_are_read_in_one_go(spark):
+    pages = {
+        "/lt.html": ("<" * 300_000, "<" * 300_000),
+        "/open.html": ("a<script>" * 50_000, "a"),
+        "/comment.html": ("a<!--" * 50_000, "a"),
+        "/less.html": ("<p>3 < 5 and 7 > 2</p>", "3 < 5 and 7 > 2"),
+        "/header.html": ("<header>x</header><titles>y", "x y"),
+        "/metas.html": ('<meta name="author" content="' * 20_000, '<meta name="author" content="' * 20_000),
+    }
+    raw = spark.createDataFrame([(p, h.encode()) for p, (h, _) in pages.items()], RAW)
+    found = {r["path"]: r["body"] for r in parse.extract_text(raw).collect()}
+    assert {p: found[p] == text for p, (_, text) in pages.items()} == dict.fromkeys(pages, True)
+
+
 def test_missing_metadata_is_null_not_text(spark):
     df = spark.createDataFrame([(PAGE,), ("<p>x</p>",)], "html string")
     first, second = parse.html_metadata(df).select("title", *parse.META_NAMES).collect()
