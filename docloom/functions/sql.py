@@ -4,10 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-from docloom.functions.text import WORD
+from docloom.functions.text import words_sql
 
 _NAME = r"substring_index(translate(path, '\\', '/'), '/', -1)"
-_WORD = WORD.replace("\\", "\\\\").replace("'", "\\'")
 
 FUNCTIONS = {
     "extract_file_name": ("path STRING", "STRING", _NAME),
@@ -19,7 +18,7 @@ FUNCTIONS = {
     "document_id": ("path STRING", "STRING", "sha2(path, 256)"),
     "path_to_words": ("path STRING", "STRING", r"translate(path, './\\_', '    ')"),
     "date_to_text": ("day TIMESTAMP", "STRING", "coalesce(date_format(day, 'yyyy-MM-dd'), '')"),
-    "text_words": ("body STRING", "ARRAY<STRING>", f"regexp_extract_all(body, '{_WORD}', 0)"),
+    "text_words": ("body STRING", "ARRAY<STRING>", words_sql("body")),
 }
 
 

@@ -10,13 +10,19 @@ from pyspark.sql import functions as F
 WORD_CHAR = r"[\p{L}\p{M}\p{N}_]"
 
 # Word breaking after Unicode Standard Annex 29. Letters may be joined by one of . : · ' ’ ‘
-# and digits by one of . , ; ' ’ ‘. A word has a letter or a digit in it. Han and Hiragana
-# characters are words by themselves. All repeats are possessive: the matcher then loops
-# instead of recursing, so that a chain such as 1.2.3.4..., however long, cannot overflow
-# the stack, and never tries a text twice.
-_LETTERS = r"[\p{L}\p{M}&&[^\p{IsHan}\p{IsHiragana}]]++(?:[.:·'’‘][\p{L}\p{M}&&[^\p{IsHan}\p{IsHiragana}]]++)*+"
-_DIGITS = r"\p{Nd}++(?:[.,;'’‘]\p{Nd}++)*+"
-WORD = rf"[\p{{IsHan}}\p{{IsHiragana}}]|(?<!_)_*+(?:{_LETTERS}|{_DIGITS})(?:{_LETTERS}|{_DIGITS}|_)*+"
+# and digits by one of . , ; ' ’ ‘. A word has a letter or a digit in it. All repeats are
+# possessive: the matcher then loops instead of recursing, so that a chain such as
+# 1.2.3.4..., however long, cannot overflow the stack, and it never tries a text twice.
+_FIRST = r"[\p{L}\p{Nd}]"
+_INSIDE = r"[\p{L}\p{M}\p{Nd}_]"
+_JOINER = r"(?:(?<=[\p{L}\p{M}])[.:·'’‘](?=\p{L})|(?<=\p{Nd})[.,;'’‘](?=\p{Nd}))"
+_RUN = rf"{_FIRST}{_INSIDE}*+(?:{_JOINER}{_INSIDE}++)*+"
+WORD = rf"{_RUN}|(?<!_)_++{_RUN}"
+
+# Han and Hiragana characters are words by themselves. Texts without any character from
+# that part of Unicode on, which is quick to see, need not look for them.
+_FAR = r"[^\x{0}-\x{2FFF}]"
+_SINGLE = r"[々〇〡-〩〸-〻ぁ-ゟ㐀-䶿一-鿿豈-﫿\x{20000}-\x{323AF}]"
 
 # What is taken out of a page, in one pass. Every alternative stops at the next bracket or
 # runs to its own end mark, and to the end of the page if that is missing: no text is
@@ -69,9 +75,30 @@ BLANKS = r"[ \t\n\f\r]+"
 
 def words(text: Column) -> Column:
     """All words of ``text`` in order, case kept; an empty array for null."""
+    return _cut(_apart(text))
+
+
+def terms(text: Column) -> Column:
+    """The words of ``text`` in lower case, as the search index keeps them."""
+    return _cut(F.lower(_apart(text)))
+
+
+def _cut(text: Column) -> Column:
     return F.coalesce(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)), F.array().cast("array<string>"))
 
 
+def _apart(text: Column) -> Column:
+    """Blanks round the characters that are words by themselves."""
+    return F.when(F.rlike(text, F.lit(_FAR)), F.regexp_replace(text, _SINGLE, " $0 ")).otherwise(text)
+
+
+def words_sql(text: str) -> str:
+    """``words`` of a column as SQL text."""
+    far, single, word = (p.replace("\\", "\\\\").replace("'", "\\'") for p in (_FAR, _SINGLE, WORD))
+    apart = f"CASE WHEN rlike({text}, '{far}') THEN regexp_replace({text}, '{single}', ' $0 ') ELSE {text} END"
+    return f"coalesce(regexp_extract_all({apart}, '{word}', 0), cast(array() as array<string>))"
+
+
 def each(df: DataFrame, array: str | Column, *keep: str | Column, name: str, position: str | None = None) -> DataFrame:
     """One row per element of ``array``, next to the ``keep`` columns.
 
@@ -86,11 +113,6 @@ def each(df: DataFrame, array: str | Column, *keep: str | Column, name: str, pos
     return rows.filter(F.col(name).isNotNull())
 
 
-def terms(text: Column) -> Column:
-    """The words of ``text`` in lower case, as the search index keeps them."""
-    return words(F.lower(text))
-
-
 def shingles(tokens: Column, n: int) -> Column:
     """Every run of ``n`` neighbouring words, joined by one blank."""
     starts = F.sequence(F.lit(1), F.size(tokens) - (n - 1))

@@ -15,7 +15,7 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docloom.functions.text import WORD
+from docloom.functions.text import words_sql
 
 # Fixed values of the recipe.
 NUM_FEATURES = 1000
@@ -29,9 +29,7 @@ MAX_CENTERS = 10_000
 
 def word_stage(ngrams: Sequence[int] = ()) -> Transformer:
     """Adds ``words``. Being SQL text, it is saved with the pipeline and runs in the JVM."""
-    pattern = WORD.replace("\\", "\\\\").replace("'", "\\'")
-    tokens = f"coalesce(regexp_extract_all(body, '{pattern}', 0), cast(array() as array<string>))"
-    inner = f"SELECT *, {tokens} AS words FROM __THIS__"
+    inner = f"SELECT *, {words_sql('body')} AS words FROM __THIS__"
     if not ngrams:
         return SQLTransformer(statement=inner)
     runs = [

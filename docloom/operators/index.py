@@ -6,12 +6,13 @@ from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 from itertools import islice
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from docloom.functions import text as T
 from docloom.functions.paths import doc_id, path_words
-from docloom.session import settings
 
 # What a document gets when no language or cluster table is given.
 NO_LANGUAGE = ""
@@ -27,9 +28,7 @@ FIELDS = ["text", "path"]
 BUCKETS = 64
 SHARD_CHARS = 2
 
-# Groups that a task of the postings aggregate holds in memory before it sorts instead.
-# The engine's default is for states much larger than a few word positions.
-_GROUPS_IN_MEMORY = {"spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "100000"}
+POSTINGS_SCHEMA = "field string, term string, doc binary, tf bigint, dl int, positions array<int>"
 
 
 def with_defaults(parsed: DataFrame, use_parsed_lang: bool = False) -> DataFrame:
@@ -178,20 +177,45 @@ def postings(docs: DataFrame, buckets: int = BUCKETS) -> DataFrame:
     """``(bucket, field, term, doc, tf, dl, positions)`` of every word of every document.
 
     ``doc`` is the id as 32 bytes, half its size as text. ``dl`` is the field's length, kept
-    here so that ranking needs no join for it. A document's words are in one task, so the
-    partial aggregate already gives the final rows and only those are shuffled.
+    here so that ranking needs no join for it. A document's words are all in its row, so
+    they are grouped where they are, a batch of rows at a time, and nothing is shuffled.
     """
     fields = F.array(
         F.struct(F.lit("text").alias("field"), T.terms(F.col("text")).alias("terms")),
         F.struct(F.lit("path").alias("field"), T.terms(path_words(F.col("path"))).alias("terms")),
     )
     by_field = docs.select(F.unhex("id").alias("doc"), F.inline(fields))
-    words = T.each(by_field, "terms", "doc", "field", F.size("terms").alias("dl"), name="term", position="pos")
-    return (
-        words.groupBy("field", "term", "doc", "dl")
-        .agg(F.count(F.lit(1)).alias("tf"), F.sort_array(F.collect_list("pos")).alias("positions"))
-        .select(bucket(F.col("term"), buckets).alias("bucket"), "field", "term", "doc", "tf", "dl", "positions")
-    )
+    grouped = by_field.mapInArrow(_group_words, POSTINGS_SCHEMA)
+    return grouped.select(bucket(F.col("term"), buckets).alias("bucket"), "field", "term", "doc", "tf", "dl", "positions")
+
+
+def _group_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """From ``(doc, field, terms)`` to one row per document, field and distinct term."""
+    for batch in batches:
+        lists = batch.column("terms")
+        lengths = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+        if lengths.sum() == 0:
+            continue
+        coded = lists.flatten().dictionary_encode()
+        term = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        row = np.repeat(np.arange(len(lengths)), lengths)
+        position = np.arange(len(term)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+        group = row * len(coded.dictionary) + term
+        order = np.argsort(group, kind="stable")
+        first = np.flatnonzero(np.diff(group[order], prepend=-1))
+        ends = np.append(first, len(order))
+        rows, terms = row[order[first]], term[order[first]]
+        yield pa.RecordBatch.from_arrays(
+            [
+                batch.column("field").take(pa.array(rows)),
+                coded.dictionary.take(pa.array(terms)),
+                batch.column("doc").take(pa.array(rows)),
+                pa.array(np.diff(ends)),
+                pa.array(lengths[rows].astype(np.int32)),
+                pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(position[order].astype(np.int32))),
+            ],
+            names=["field", "term", "doc", "tf", "dl", "positions"],
+        )
 
 
 def bucket(term: Column, buckets: int = BUCKETS) -> Column:
@@ -230,8 +254,7 @@ class Index:
         spark = docs.sparkSession
         write_index(docs if unique_ids else latest(docs), f"{path}/documents", shard_chars=shard_chars)
         stored = spark.read.parquet(f"{path}/documents")
-        with settings(spark, _GROUPS_IN_MEMORY):
-            _write_by_bucket(postings(stored, buckets), f"{path}/postings")
+        _write_by_bucket(postings(stored, buckets), f"{path}/postings")
         words = spark.read.parquet(f"{path}/postings")
         frequency = words.groupBy("bucket", "field", "term").agg(F.count(F.lit(1)).alias("df"))
         _write_by_bucket(frequency, f"{path}/terms")

@@ -36,6 +36,9 @@ GATE = 0.002
 MAX_LANGUAGES = 64
 MAX_GRAMS = MAX_LANGUAGES * PROFILE_SIZE
 
+# Words of the training text that are scored beforehand.
+KNOWN_WORDS = 50_000
+
 
 def trigram_rows(df: DataFrame, text: str, *keep: str) -> DataFrame:
     """One row per trigram of each text. A text without letters gives one row with null."""
@@ -63,19 +66,30 @@ def profiles(labelled: DataFrame, text: str = "body", lang: str = "lang", size:
 
 @dataclass(frozen=True)
 class LanguageModel:
-    """Profiles in the form scoring needs: one row per trigram, one weight column per language."""
+    """Profiles in the form scoring needs.
+
+    ``weights`` has one row per trigram and one column per language. ``words`` has the same
+    columns for the most frequent words of the training text, each the sum over the word's
+    trigrams: a shortcut that changes no score.
+    """
 
     languages: list[str]
     norms: list[int]
     weights: DataFrame
+    words: DataFrame
 
     @staticmethod
     def fit(labelled: DataFrame, text: str = "body", lang: str = "lang", size: int = PROFILE_SIZE) -> LanguageModel:
-        return LanguageModel.from_profiles(profiles(labelled, text, lang, size))
+        counted = labelled.select(F.explode(T.letter_words(F.col(text))).alias("word")).groupBy("word")
+        frequent = counted.agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "word").limit(KNOWN_WORDS)
+        return LanguageModel.from_profiles(profiles(labelled, text, lang, size), frequent.select("word"))
 
     @staticmethod
-    def from_profiles(table: DataFrame) -> LanguageModel:
-        """Write the profiles to the shared folder once; only one row per language is collected."""
+    def from_profiles(table: DataFrame, frequent: DataFrame | None = None) -> LanguageModel:
+        """Write the profiles to the shared folder once; only one row per language is collected.
+
+        ``frequent`` may name words, one per row of column ``word``, to be scored beforehand.
+        """
         stored = materialize(table, "profiles")
         summary = stored.groupBy("lang").agg(F.sum(F.col("pf") * F.col("pf")).alias("norm"))
         rows = sorted(summary.limit(MAX_LANGUAGES + 1).collect())
@@ -88,30 +102,38 @@ class LanguageModel:
                 for i, code in enumerate(languages)
             ]
         )
-        return LanguageModel(languages, [r["norm"] for r in rows], materialize(weights, "weights"))
+        weights = materialize(weights, "weights")
+        if frequent is None:
+            frequent = stored.sparkSession.createDataFrame([], "word string")
+        grams = frequent.select("word", F.explode(T.word_trigrams(F.col("word"))).alias("gram"))
+        sums = [F.coalesce(F.sum(_weight(i)), F.lit(0)).alias(_known(i)) for i in range(len(languages))]
+        known = grams.join(weights, "gram", "left").groupBy("word").agg(*sums)
+        return LanguageModel(languages, [r["norm"] for r in rows], weights, materialize(known, "known-words"))
 
     def scores(self, df: DataFrame, text: str = "body", key: str = "path") -> DataFrame:
         """``(key, letters, s0, s1, ...)``: summed weights of each text's trigrams per language.
 
-        The weights are a small stored table, so Catalyst broadcasts them by their known
-        size. Exploding, matching and the partial sums are then one stage, and what is
-        shuffled is one row per text. Texts that share a key are kept apart.
+        Both tables of the model are small and stored, so Catalyst broadcasts them by their
+        known size. Cutting, matching and the partial sums are then one stage, and what is
+        shuffled is one row per text. Only words that are not known beforehand are cut into
+        trigrams. Texts that share a key are kept apart.
         """
         source = df.select(
             F.col(key).alias("_key"),
             F.xxhash64(text).alias("_hash"),
             F.coalesce(T.letter_count(F.col(text)), F.lit(0)).alias("letters"),
-            F.col(text).alias("_text"),
+            F.explode_outer(T.letter_words(F.col(text))).alias("word"),
         )
-        grams = trigram_rows(source, "_text", "_key", "_hash", "letters")
+        columns = ["_key", "_hash", "letters"]
+        looked_up = source.join(self.words, "word", "left")
+        known = [_known(i) for i in range(len(self.languages))]
+        unknown = F.when(F.col(_known(0)).isNull(), T.word_trigrams(F.col("word")))
+        grams = looked_up.select(*columns, *known, F.explode_outer(unknown).alias("gram"))
         matched = grams.join(self.weights, "gram", "left")
-        sums = [F.coalesce(F.sum(_weight(i)), F.lit(0)).alias(f"s{i}") for i in range(len(self.languages))]
-        return (
-            matched.groupBy("_key", "_hash", "letters")
-            .agg(*sums)
-            .drop("_hash")
-            .withColumnRenamed("_key", key)
-        )
+        sums = [
+            F.sum(F.coalesce(_known(i), _weight(i), F.lit(0))).alias(f"s{i}") for i in range(len(self.languages))
+        ]
+        return matched.groupBy(*columns).agg(*sums).drop("_hash").withColumnRenamed("_key", key)
 
     def detect(
         self, df: DataFrame, text: str = "body", key: str = "path", min_margin: float | None = None
@@ -175,6 +197,10 @@ def _weight(i: int) -> str:
     return f"w{i}"
 
 
+def _known(i: int) -> str:
+    return f"known{i}"
+
+
 def _code(gram: str) -> int:
     a, b, c = (ord(ch) for ch in gram)
     return a << 42 | b << 21 | c
