@@ -24,3 +24,19 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE lost) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (WHERE NOT lost), '')) AS kept_sha256
 FROM marked GROUP BY doc_id
 """
+
+ORACLE["op5_chat"] = r"""
+WITH turns AS (
+    SELECT DISTINCT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+    FROM conversations WHERE conv_id IS NOT NULL
+), whole AS (
+    SELECT conv_id, count(*) AS n, list(struct_pack(r := role, t := text) ORDER BY turn NULLS FIRST) AS said,
+           string_agg('<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10), '' ORDER BY turn NULLS FIRST) AS text
+    FROM turns GROUP BY conv_id
+), gone AS (
+    SELECT DISTINCT a.conv_id FROM whole a JOIN whole b
+    ON a.said[1] = b.said[1] AND a.conv_id <> b.conv_id
+    AND (b.n > a.n AND list_slice(b.said, 1, a.n) = a.said OR b.said = a.said AND b.conv_id < a.conv_id)
+)
+SELECT conv_id, 0 AS part, n AS n_turns, text FROM whole WHERE conv_id NOT IN (SELECT conv_id FROM gone)
+"""

@@ -8,11 +8,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docloom.llm import bpe, lines, minhash, packing, quality
+from docloom.llm import bpe, chat, lines, minhash, neighbours, packing, quality, sharding, site_style, token_counts
 from docloom.llm.common import table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.tiktoken")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,10 +26,23 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), PIECES)
+
+
 def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), size=2, percent=80)
 
 
+def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = sharding.assign(table(spark, sf_dir, "documents"), shards=16, law="rows")
+    return placed.withColumn("grown_shard", F.lit(None).cast("int"))
+
+
+def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.render(table(spark, sf_dir, "conversations"))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), WORD_BPE)
 
@@ -38,11 +52,24 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return left.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op8_site_style(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return site_style.main_text(table(spark, sf_dir, "pages"))
+
+
+def op9_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return neighbours.search(vectors, F.col("vec_id") % 20 == 0, neighbours.fit(vectors), k=20)
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return quality.judge(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_byte_bpe, op3_minhash, op6_packing, op7_line_dedup, op10_quality)
+    f.__name__: f
+    for f in (
+        op1_byte_bpe, op2_token_counts, op3_minhash, op4_sharding, op5_chat, op6_packing, op7_line_dedup, op8_site_style,
+        op9_neighbours, op10_quality,
+    )
 }

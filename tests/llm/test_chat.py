@@ -1,0 +1,81 @@
+from __future__ import annotations
+
+from collections import defaultdict
+
+from pyspark.sql import functions as F
+
+from docloom.llm import chat
+from docloom.llm.queries import QUERIES
+
+SCHEMA = "conv_id long, turn long, role string, text string"
+
+
+def brute(rows) -> dict[int, str]:
+    said = defaultdict(set)
+    for conv, turn, role, text in rows:
+        if conv is not None:
+            said[conv].add((-1 if turn is None else turn, role or "", text or ""))
+    whole = {c: [x[1:] for x in sorted(t)] for c, t in said.items()}
+    kept = {}
+    for c, t in whole.items():
+        if not any(
+            d != c and o[: len(t)] == t and (len(o) > len(t) or d < c) for d, o in whole.items()
+        ):
+            kept[c] = "".join(f"<|im_start|>{r}\n{x}<|im_end|>\n" for r, x in t)
+    return kept
+
+
+def rendered(df) -> dict[int, str]:
+    parts = defaultdict(dict)
+    for r in df.collect():
+        assert r["text"].count(chat.START) == r["n_turns"]
+        parts[r["conv_id"]][r["part"]] = r["text"]
+    return {c: "".join(p[i] for i in range(len(p))) for c, p in parts.items()}
+
+
+ROWS = [
+    (1, 0, "user", "hello"), (1, 1, "assistant", "hi"),
+    (2, 0, "user", "hello"), (2, 1, "assistant", "hi"), (2, 2, "user", "more"),
+    (3, 5, "user", "hello"), (3, 9, "assistant", "hi"), (3, 10, "user", "more"),  # the same turns as 2 under other numbers
+    (4, 0, "user", "hello"), (4, 1, "assistant", "ho"),
+    (5, 0, "user", "hello"),
+    (6, 0, None, None), (6, None, "system", "first"),
+    (7, 0, "", ""),
+    (8, None, "system", "first"), (8, 0, "", ""), (8, 1, "user", ""),
+    (9, 0, "user", "hello"), (9, 0, "user", "hello"), (9, 1, "assistant", "hi"),  # a repeated row
+    (None, 0, "user", "nobody"),
+    (10, 0, "hello", "user"),
+    (11, 0, "user", "word " * 50_000),
+]
+
+
+def test_awkward_rows(spark):
+    rows = spark.createDataFrame(ROWS, SCHEMA).withColumn("h", F.lit("clash")).withColumn("position", F.lit("clash"))
+    found = rendered(chat.render(rows))
+    assert found == brute(ROWS)
+    assert set(found) == {2, 4, 7, 8, 10, 11}
+
+
+def test_endless_conversation_is_rendered_in_parts(spark):
+    long = [(1, i, "user" if i % 2 else "assistant", f"turn {i}") for i in range(5000)]
+    snapshot = [(2, i * 3, r, t) for _, i, r, t in long[:2500]]  # a prefix, whose numbers fall into other blocks
+    other = [(3, i, r, t) for _, i, r, t in long[:2499]] + [(3, 2499, "user", "something else")]
+    rows = long + snapshot + other
+    found = chat.render(spark.createDataFrame(rows, SCHEMA))
+    assert rendered(found) == brute(rows)
+    assert max(r["n_turns"] for r in found.collect()) <= chat.BLOCK
+
+
+def test_native_plan(spark, plan):
+    text = plan(chat.render(spark.createDataFrame(ROWS, SCHEMA)))
+    assert not any(node in text for node in ("EvalPython", "InArrow", "InPandas", "CartesianProduct"))
+
+
+def test_empty_table(spark):
+    assert chat.render(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_query(spark):
+    sf_dir = "/root/testdata/sf0.001"
+    rows = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text").collect()]
+    assert rendered(QUERIES["op5_chat"](spark, sf_dir)) == brute(rows)

@@ -1,0 +1,90 @@
+from __future__ import annotations
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from docloom.llm import neighbours
+from docloom.llm.queries import QUERIES
+
+SCHEMA = "vec_id long, embedding array<float>"
+
+
+def brute(rows: dict[int, np.ndarray], queries: list[int], k: int) -> dict[int, list[tuple[int, float]]]:
+    ids = np.array(sorted(rows))
+    matrix = np.stack([rows[i] for i in ids])
+    made = {}
+    for q in queries:
+        scores = np.zeros(len(ids))
+        for d in range(matrix.shape[1]):
+            scores += rows[q][d] * matrix[:, d]
+        order = [i for i in np.lexsort((ids, -scores)) if ids[i] != q][:k]
+        made[q] = [(int(ids[i]), float(scores[i])) for i in order]
+    return made
+
+
+def found(df) -> dict[int, list[tuple[int, float]]]:
+    made = {}
+    for r in sorted(df.collect(), key=lambda r: (r["query_id"], r["rank"])):
+        made.setdefault(r["query_id"], []).append((r["vec_id"], r["score"]))
+        assert r["rank"] == len(made[r["query_id"]])
+    return made
+
+
+def recall(a, b) -> float:
+    return float(np.mean([len({i for i, _ in a[q]} & {i for i, _ in b[q]}) / max(len(b[q]), 1) for q in b]))
+
+
+def test_partitions_are_balanced_and_cut_few_edges():
+    random = np.random.default_rng(1)
+    centres = random.normal(size=(8, 16)) * 3
+    vectors = centres[random.integers(0, 8, 1600)] + random.normal(size=(1600, 16))
+    graph = neighbours._nearest(vectors, np.arange(1600), 10)
+    label = neighbours.partition_graph(vectors, graph, 8)
+    sizes = np.bincount(label, minlength=8)
+    assert sizes.max() <= 1600 / 8 * 1.1 + 1 and sizes.min() >= 1600 / 8 * 0.9 - 1
+    before = neighbours._halves(vectors, 8)
+    assert (label[graph] == label[:, None]).mean() > (before[graph] == before[:, None]).mean()
+
+
+def test_recall_on_clusters_and_scores_are_exact(spark):
+    random = np.random.default_rng(2)
+    centres = random.normal(size=(40, 24))
+    vectors = (centres[random.integers(0, 40, 6000)] + 0.5 * random.normal(size=(6000, 24))).astype(np.float32)
+    vectors[1000:2500] = vectors[17]  # one very common vector
+    rows = {i: v.astype(float) for i, v in enumerate(vectors)}
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], SCHEMA)
+    router = neighbours.fit(df, sample=3000)
+    assert router.probes < router.partitions
+    a = found(neighbours.search(df, F.col("vec_id") % 20 == 0, router, rows_per_block=200, queries_per_block=50))
+    b = brute(rows, list(range(0, 6000, 20)), 20)
+    assert a.keys() == b.keys() and recall(a, b) >= 0.9
+    exact = {q: dict(v) for q, v in brute(rows, list(range(0, 6000, 20)), 6000).items()}
+    assert all(exact[q][i] == s for q, v in a.items() for i, s in v)
+    assert [i for i, _ in a[1200]] == [i for i, _ in b[1200]]  # copies: ties by id
+
+
+def test_awkward_rows(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [
+        (0, [1.0, 0.0]), (20, [0.0, 2.0]), (40, None), (60, [0.0, 0.0]), (80, [nan, 1.0]), (100, [inf, 1.0]), (120, [None, 1.0]),
+        (140, []), (160, [1.0, 1.0, 1.0]), (None, [9.0, 9.0]), (1, [1.0, 1.0]), (1, [1.0, 1.0]), (2, [1.0, 1.0]), (3, [-1.0, 0.5]),
+    ]
+    df = spark.createDataFrame(rows, SCHEMA).withColumn("score", F.lit("clash")).withColumn("vector", F.lit(1)).withColumn("rank", F.lit(1))
+    a = found(neighbours.search(df, F.col("vec_id") % 20 == 0, neighbours.fit(df), k=20))
+    assert a == {
+        0: [(1, 1.0), (1, 1.0), (2, 1.0), (20, 0.0), (3, -1.0)],
+        20: [(1, 2.0), (1, 2.0), (2, 2.0), (3, 1.0), (0, 0.0)],
+    }
+    empty = spark.createDataFrame([], SCHEMA)
+    assert neighbours.search(empty, F.col("vec_id") % 20 == 0, neighbours.fit(empty)).count() == 0
+    one = spark.createDataFrame([(0, [1.0])], SCHEMA)
+    assert neighbours.search(one, F.col("vec_id") % 20 == 0, neighbours.fit(one)).count() == 0
+
+
+def test_query_reaches_the_recall(spark):
+    sf_dir = "/root/testdata/sf0.1"
+    rows = {r["vec_id"]: np.array(r["embedding"], float) for r in spark.read.parquet(f"{sf_dir}/embeddings.parquet").collect()}
+    a = found(QUERIES["op9_neighbours"](spark, sf_dir))
+    b = brute(rows, [i for i in rows if i % 20 == 0], 20)
+    assert a.keys() == b.keys() and all(len(v) == 20 for v in a.values())
+    assert recall(a, b) >= 0.9
