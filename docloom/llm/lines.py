@@ -240,7 +240,10 @@ class LineDedup:
             for batch in batches:
                 yield finish(batch, batch.column(batch.num_columns - 1).to_pylist())
 
-        waiting, drops = docs.mapInArrow(unclear, docs.schema), self._drops
+        # Under a name that no column has; it is told apart by its place afterwards.
+        keys = "_".join(["_keys", *docs_names])
+        drops = self._drops.select(F.col("_id"), F.col("_keys").alias(keys))
+        waiting = docs.mapInArrow(unclear, docs.schema)
         met = waiting.join(drops, waiting[key] == drops["_id"], "left")
-        met = met.select(*[waiting[f"`{n}`"] for n in docs_names], drops["_keys"])
+        met = met.select(*[waiting[f"`{n}`"] for n in docs_names], drops[keys])
         return docs.mapInArrow(clear, schema).union(met.mapInArrow(rewrite, schema))
