@@ -1,0 +1,103 @@
+from __future__ import annotations
+
+import random
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import pytest
+from conftest import LONG
+from tokenizers import Tokenizer
+
+from docloom.llm import packing
+from docloom.llm.queries import QUERIES, WORD_BPE
+
+
+@pytest.fixture(scope="module")
+def library():
+    made = Tokenizer.from_file(WORD_BPE)
+    made.encode_special_tokens = True
+    return made
+
+
+def check_places(rows, capacity):
+    sequences = defaultdict(list)
+    for r in rows:
+        sequences[r["sequence_id"]].append((r["offset"], r["length"]))
+    for placed in sequences.values():
+        at = 0
+        for offset, length in sorted(placed):
+            assert offset == at
+            at += length
+        assert at <= capacity
+    return len(sequences)
+
+
+def test_random_texts_as_the_library(library):
+    random.seed(1)
+    bits = ["a", "B", "the", " ", "  ", "\n", "\t", "é", "É", "é", "́", "'", "'s", "1", "23", "!!", ".", "_", "\x1c", "\x85",
+            "\xa0", "\x00", "漢", "😀", "İ", "Σ", "ß", "<|endoftext|>", "ﬁ", "²", "…", "K"]
+    encoder = packing.WordEncoder(WORD_BPE)
+    for _ in range(6000):
+        text = "".join(random.choice(bits) for _ in range(random.randint(0, 12)))
+        found = np.frombuffer(encoder.encode(text.encode()), "<u4").tolist()
+        assert found == library.encode(text, add_special_tokens=False).ids, repr(text)
+
+
+def test_best_fit_takes_the_least_space_that_fits():
+    packer = packing.Packer(10, 4)
+    assert packer.place(6) == (0, 0) and packer.place(7) == (1, 0)
+    assert packer.place(3) == (1, 7)  # full now
+    assert packer.place(4) == (0, 6)
+    assert packer.place(10) == (2, 0) and packer.place(1) == (3, 0)
+
+
+def test_the_fullest_closes_first():
+    packer = packing.Packer(10, 2)
+    assert packer.place(6) == (0, 0) and packer.place(7) == (1, 0)
+    assert packer.place(8) == (2, 0)  # closes sequence 1
+    assert packer.place(3) == (0, 6)  # closed sequences take nothing
+
+
+def test_few_sequences(spark):
+    random.seed(2)
+    lengths = [min(int(random.lognormvariate(6, 1)) + 1, 4096) for _ in range(20_000)]
+    rows = packing.pack(spark.createDataFrame([(i, n) for i, n in enumerate(lengths)], "id long, length long").repartition(7)).collect()
+    assert sorted(r["length"] for r in rows) == sorted(lengths)
+    assert check_places(rows, 4096) <= sum(lengths) / 4096 * 1.002 + 1
+
+
+def test_tasks_do_not_share_sequences(spark):
+    rows = spark.range(5000).selectExpr("id", "id % 50 + 1 AS length")
+    packed = packing.pack(rows, capacity=100, most_open=8, rows_per_task=1000).collect()
+    assert len(packed) == 5000
+    assert check_places(packed, 100) <= 5000 * 25.5 / 100 * 1.1
+
+
+def test_awkward_rows(awkward, empty, library):
+    rows = packing.pack_documents(awkward, WORD_BPE).collect()
+    check_places(rows, 4096)
+    texts = [(r["doc_id"], r["text"] or "") for r in awkward.collect()]
+    by_doc = defaultdict(list)
+    for r in rows:
+        by_doc[r["doc_id"]].append(r)
+    for doc_id, text in texts:
+        ids = np.array(library.encode(text, add_special_tokens=False).ids + [1], "<u4")
+        copies = sum(d == doc_id for d, _ in texts)
+        pieces = [ids[i : i + 4096] for i in range(0, len(ids), 4096)]
+        expected = [(n, n * 4096, len(p), zlib.crc32(p.tobytes())) for n, p in enumerate(pieces)] * copies
+        assert sorted((r["piece"], r["start"], r["length"], r["ids_crc32"]) for r in by_doc[doc_id]) == sorted(expected)
+    assert len(by_doc[6]) > 1 and LONG in dict(texts).values()
+    assert packing.pack_documents(empty, WORD_BPE).count() == 0
+
+
+def test_query(spark, library):
+    sf_dir = "/root/testdata/sf0.001"
+    texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
+    rows = QUERIES["op6_packing"](spark, sf_dir).collect()
+    lengths = {i: len(library.encode(t, add_special_tokens=False).ids) + 1 for i, t in texts.items()}
+    held = defaultdict(int)
+    for r in rows:
+        held[r["doc_id"]] += r["length"]
+    assert held == lengths
+    assert check_places(rows, 4096) <= sum(lengths.values()) / 4096 * 1.03 + 1
