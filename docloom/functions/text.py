@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -120,12 +118,6 @@ def shingles(tokens: Column, n: int) -> Column:
     return F.when(F.size(tokens) >= n, runs).otherwise(F.array().cast("array<string>"))
 
 
-def words_and_shingles(text: Column, ngrams: Sequence[int] = ()) -> Column:
-    """Single words, followed by the shingles of each size in ``ngrams``."""
-    tokens = words(text)
-    return F.concat(tokens, *[shingles(tokens, n) for n in ngrams]) if ngrams else tokens
-
-
 def letter_words(text: Column) -> Column:
     """Runs of letters in lower case, the unit of the language profiles."""
     return F.regexp_extract_all(F.lower(text), F.lit(r"\p{L}+"), F.lit(0))

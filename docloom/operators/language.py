@@ -5,7 +5,8 @@ W. Cavnar and J. Trenkle, N-gram-based text categorization, 1994. A text belongs
 profile nearest to its own trigram shares. The squared distance between profile ``p`` and
 text ``q`` is ``sum(p*p) - 2*sum(p*q) + sum(q*q)``. The last term is the same for every
 language and ``sum(p*q)`` is the mean of ``p`` over the text's trigrams, so a text is scored
-in one streaming pass, without counting its trigrams first.
+in one streaming pass, without counting its trigrams first. Whole Arrow batches of texts are
+scored where they are read: one row out for each row in, and no shuffle.
 
 Shares are whole numbers per million: sums are exact and do not depend on their order.
 """
@@ -14,15 +15,18 @@ from __future__ import annotations
 
 import sys
 import unicodedata
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from docloom.functions import text as T
-from docloom.session import materialize
 
 PROFILE_SIZE = 1000
 MILLION = 1_000_000
@@ -32,10 +36,6 @@ MILLION = 1_000_000
 # most wrong answers by less.
 GATE = 0.002
 
-# A model is refused beyond these sizes.
-MAX_LANGUAGES = 64
-MAX_GRAMS = MAX_LANGUAGES * PROFILE_SIZE
-
 
 def trigram_rows(df: DataFrame, text: str, *keep: str) -> DataFrame:
     """One row per trigram of each text. A text without letters gives one row with null."""
@@ -61,13 +61,53 @@ def profiles(labelled: DataFrame, text: str = "body", lang: str = "lang", size:
     )
 
 
+@dataclass(frozen=True)
+class Weights:
+    """Trigram codes in order, a row of weights for each of them, and the languages' norms and names."""
+
+    codes: np.ndarray
+    values: np.ndarray
+    norms: np.ndarray
+    names: list[str]
+
+    def decide(self, texts: Sequence[str | None], min_margin: float | None = None) -> list[str]:
+        """The language of each text, by the rules of ``LanguageModel.detect``."""
+        rows, languages = len(texts), len(self.names)
+        padded = [f" {t.lower()} ".encode("utf-32-le", "replace") if t else b"" for t in texts]
+        points = np.frombuffer(b"".join(padded), dtype=np.uint32).astype(np.int64)
+        if not len(points) or not languages:
+            return [""] * rows
+        row = np.repeat(np.arange(rows), np.array([len(p) // 4 for p in padded]))
+        letter = _is_letter()[points]
+        letters = np.bincount(row[letter], minlength=rows)
+        # Each run of other characters becomes one "_", as do the blanks between two texts. A
+        # trigram around a letter is then one of the padded words' own.
+        kept = letter.copy()
+        kept[0] = True
+        kept[1:] |= letter[:-1]
+        points, row = np.where(letter, points, ord("_"))[kept], row[kept]
+        middle = np.flatnonzero(points[1:-1] != ord("_")) + 1
+        grams = points[middle - 1] << 42 | points[middle] << 21 | points[middle + 1]
+        place = np.minimum(np.searchsorted(self.codes, grams), len(self.codes) - 1)
+        known = self.codes[place] == grams
+        place, row = place[known], row[middle][known]
+        # Sums of whole numbers far below 2**53, so exact.
+        sums = np.stack([np.bincount(row, self.values[place, i], rows) for i in range(languages)], 1)
+        with np.errstate(divide="ignore", invalid="ignore"):
+            distances = self.norms - 2.0 * MILLION * sums / letters[:, None]
+        certain = letters > 0
+        best = np.argmin(np.where(certain[:, None], distances, 0), axis=1)
+        if min_margin is not None and languages > 1:
+            first, second = np.partition(np.where(certain[:, None], distances, 0), 1, axis=1)[:, :2].T
+            certain &= second - first >= min_margin * MILLION**2
+        return [self.names[b] if c else "" for b, c in zip(best, certain)]
+
+
 @dataclass(frozen=True)
 class LanguageModel:
-    """Profiles in the form scoring needs: one row per trigram, one weight column per language."""
+    """Profiles in the form scoring needs, sent to each executor once."""
 
-    languages: list[str]
-    norms: list[int]
-    weights: DataFrame
+    weights: Broadcast[Weights]
 
     @staticmethod
     def fit(labelled: DataFrame, text: str = "body", lang: str = "lang", size: int = PROFILE_SIZE) -> LanguageModel:
@@ -75,91 +115,46 @@ class LanguageModel:
 
     @staticmethod
     def from_profiles(table: DataFrame) -> LanguageModel:
-        """Write the profiles to the shared folder once; only one row per language is collected."""
-        stored = materialize(table, "profiles")
-        summary = stored.groupBy("lang").agg(F.sum(F.col("pf") * F.col("pf")).alias("norm"))
-        rows = sorted(summary.limit(MAX_LANGUAGES + 1).collect())
-        if len(rows) > MAX_LANGUAGES:
-            raise ValueError(f"more than {MAX_LANGUAGES} languages in the training labels")
-        languages = [r["lang"] for r in rows]
-        weights = stored.groupBy("gram").agg(
-            *[
-                F.sum(F.when(F.col("lang") == code, F.col("pf")).otherwise(F.lit(0))).alias(_weight(i))
-                for i, code in enumerate(languages)
-            ]
-        )
-        return LanguageModel(languages, [r["norm"] for r in rows], materialize(weights, "weights"))
-
-    def scores(self, df: DataFrame, text: str = "body", key: str = "path") -> DataFrame:
-        """``(key, letters, s0, s1, ...)``: summed weights of each text's trigrams per language.
-
-        The weights are a small stored table, so Catalyst broadcasts them by their known
-        size. Exploding, matching and the partial sums are then one stage, and what is
-        shuffled is one row per text. Texts that share a key are kept apart.
-        """
-        source = df.select(
-            F.col(key).alias("_key"),
-            F.xxhash64(text).alias("_hash"),
-            F.coalesce(T.letter_count(F.col(text)), F.lit(0)).alias("letters"),
-            F.col(text).alias("_text"),
-        )
-        grams = trigram_rows(source, "_text", "_key", "_hash", "letters")
-        matched = grams.join(self.weights, "gram", "left")
-        sums = [F.coalesce(F.sum(_weight(i)), F.lit(0)).alias(f"s{i}") for i in range(len(self.languages))]
-        return (
-            matched.groupBy("_key", "_hash", "letters")
-            .agg(*sums)
-            .drop("_hash")
-            .withColumnRenamed("_key", key)
-        )
+        """The model of a table ``(lang, gram, pf)``: ``size`` rows for each language, however many texts."""
+        found = table.select("lang", "gram", "pf").orderBy("lang", "gram").toPandas()
+        names = sorted(set(found["lang"]))
+        number = {name: i for i, name in enumerate(names)}
+        codes, place = np.unique(np.array([_code(g) for g in found["gram"]], dtype=np.int64), return_inverse=True)
+        values = np.zeros((len(codes), len(names)), np.int64)
+        values[place, [number[name] for name in found["lang"]]] = found["pf"]
+        made = Weights(codes, values, (values**2).sum(axis=0).astype(np.float64), names)
+        return LanguageModel(table.sparkSession.sparkContext.broadcast(made))
+
+    @property
+    def languages(self) -> list[str]:
+        return self.weights.value.names
 
     def detect(
         self, df: DataFrame, text: str = "body", key: str = "path", min_margin: float | None = None
     ) -> DataFrame:
-        """``(key, lang)`` for every text.
+        """``(key, lang)``, one row for every row.
 
         The nearest language wins, the first by name among equals. With ``min_margin`` it
         must beat the next one by that much in squared distance, else ``lang`` is ``''``. A
         text without any letter has no language in either mode.
         """
-        scored = self.scores(df, text, key)
-        ranked = F.array_sort(
-            F.array(*[F.struct(d.alias("d"), F.lit(code).alias("code")) for code, d in zip(self.languages, self._distances())])
-        )
-        chosen = scored.select(key, "letters", ranked.alias("ranked"))
-        certain = F.col("letters") > 0
-        if min_margin is not None and len(self.languages) > 1:
-            certain = certain & ((F.col("ranked")[1]["d"] - F.col("ranked")[0]["d"]) >= F.lit(min_margin * MILLION**2))
-        return chosen.select(key, F.when(certain, F.col("ranked")[0]["code"]).otherwise(F.lit("")).alias("lang"))
-
-    def _distances(self) -> list[Column]:
-        """Squared distance to each language, times 10**12, without the text's own norm."""
-        return [
-            F.lit(float(norm)) - F.try_divide(F.lit(2.0 * MILLION) * F.col(f"s{i}"), F.col("letters"))
-            for i, norm in enumerate(self.norms)
-        ]
+        weights = self.weights
 
-    def udf(self, min_margin: float | None = None):
-        """The same decision as a vectorised function, for when the text has to stay in its row.
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                found = weights.value.decide(batch.column(1).to_pylist(), min_margin)
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.string())], [key, "lang"])
 
-        ``detect`` is the plan to use for a table of languages. This one is for steps that
-        keep the text, where a join would shuffle every text. It carries the weight table,
-        whose size is checked.
-        """
-        table = self.weights.limit(MAX_GRAMS + 1).toPandas()
-        if len(table) > MAX_GRAMS:
-            raise ValueError(f"more than {MAX_GRAMS} trigrams in the profiles")
-        codes = np.array([_code(g) for g in table["gram"]], dtype=np.int64)
-        order = np.argsort(codes)
-        values = table[[_weight(i) for i in range(len(self.languages))]].to_numpy(np.int64)[order]
-        codes, norms, names = codes[order], np.array(self.norms, dtype=np.float64), list(self.languages)
+        kind = df.schema[key].dataType.simpleString()
+        return df.select(F.col(key), F.col(text).alias("_text")).mapInArrow(run, f"`{key}` {kind}, lang string")
 
-        bits = _letter_bits()
+    def udf(self, min_margin: float | None = None):
+        """The same decision as a vectorised function, for when the text has to stay in its row."""
+        weights = self.weights
 
         @F.pandas_udf("string")
         def language(texts: pd.Series) -> pd.Series:
-            is_letter = np.unpackbits(bits).astype(bool)
-            return texts.map(lambda t: _nearest(t, is_letter, codes, values, norms, names, min_margin))
+            return pd.Series(weights.value.decide(texts.tolist(), min_margin), dtype=object)
 
         return language
 
@@ -171,40 +166,12 @@ class LanguageModel:
         spark.udf.register(name, self.udf(min_margin))
 
 
-def _weight(i: int) -> str:
-    return f"w{i}"
-
-
 def _code(gram: str) -> int:
     a, b, c = (ord(ch) for ch in gram)
     return a << 42 | b << 21 | c
 
 
-def _letter_bits() -> np.ndarray:
-    """One bit per code point, whether it is a letter."""
-    return np.packbits([unicodedata.category(chr(p)).startswith("L") for p in range(sys.maxunicode + 1)])
-
-
-def _nearest(text, is_letter, codes, values, norms, names, min_margin) -> str:
-    if text is None:
-        return ""
-    points = np.frombuffer(f" {text.lower()} ".encode("utf-32-le", "replace"), dtype=np.uint32).astype(np.int64)
-    letter = is_letter[points]
-    letters = int(np.count_nonzero(letter))
-    if letters == 0:
-        return ""
-    # Each run of other characters becomes one "_". A trigram around a letter is then one
-    # of the padded words' own.
-    kept = letter.copy()
-    kept[0] = True
-    kept[1:] |= letter[:-1]
-    points = np.where(letter, points, ord("_"))[kept]
-    grams = (points[:-2] << 42 | points[1:-1] << 21 | points[2:])[points[1:-1] != ord("_")]
-    place = np.minimum(np.searchsorted(codes, grams), len(codes) - 1)
-    sums = values[place[codes[place] == grams]].sum(axis=0)
-    distances = norms - 2.0 * MILLION * sums / letters
-    ranked = np.argsort(distances, kind="stable")
-    if min_margin is not None and len(names) > 1:
-        if distances[ranked[1]] - distances[ranked[0]] < min_margin * MILLION**2:
-            return ""
-    return names[ranked[0]]
+@lru_cache(maxsize=1)
+def _is_letter() -> np.ndarray:
+    """Whether each code point is a letter; made once in a Python worker."""
+    return np.array([unicodedata.category(chr(p)).startswith("L") for p in range(sys.maxunicode + 1)])

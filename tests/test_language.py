@@ -74,8 +74,26 @@ def test_usable_from_sql(spark, texts, model):
     assert row[0] == row[1]
 
 
-def test_detection_is_one_stage_and_a_shuffle_of_one_row_per_text(spark, texts, model):
+def test_detection_shuffles_nothing(spark, texts, model):
     df = spark.createDataFrame(texts, "path string, lang string, body string")
     tree = model.detect(df)._jdf.queryExecution().executedPlan().toString()
-    assert tree.count("Exchange hashpartitioning") == 1
-    assert "BroadcastHashJoin" in tree and "Python" not in tree
+    assert "Exchange" not in tree and tree.count("MapInArrow") == 1
+
+
+def test_repeated_rows_get_the_verdict_of_one(spark, texts, model):
+    short = [(f"/s/{i}", l, t[: 3 + i % 20]) for i, (_, l, t) in enumerate(texts)]
+    df = spark.createDataFrame(short, "path string, lang string, body string")
+    for margin in (None, 0.002, 0.02):
+        once = sorted(model.detect(df, min_margin=margin).collect())
+        assert sorted(model.detect(df.union(df), min_margin=margin).collect()) == sorted(once + once)
+
+
+def test_a_hundred_languages(spark):
+    rng = random.Random(8)
+    letters = [chr(0x400 + i) for i in range(40)]
+    vocabulary = {f"l{n:03}": ["".join(rng.choices(letters, k=5)) for _ in range(12)] for n in range(100)}
+    rows = [(f"/{l}", l, " ".join(words * 5)) for l, words in vocabulary.items()]
+    df = spark.createDataFrame(rows, "path string, lang string, body string")
+    model = LanguageModel.fit(df, size=5000)
+    assert model.languages == sorted(vocabulary)
+    assert all(r["path"] == f"/{r['lang']}" for r in model.detect(df).collect())
