@@ -7,7 +7,8 @@ holds; values that only occur elsewhere have a count of 0.
 from __future__ import annotations
 
 from calendar import monthrange
-from datetime import datetime, timedelta
+from collections.abc import Callable
+from datetime import datetime
 from math import ceil
 
 from pyspark.sql import Column, DataFrame, Window
@@ -19,9 +20,6 @@ from docloom.functions.text import each
 OTHERS = ["before", "after", "between"]
 INCLUDES = ["lower", "upper", "edge", "outer"]
 
-MAX_RANGES = 10_000
-MAX_MAP = 10_000
-
 # Seconds in the units of a date gap. Months and years go by the calendar.
 UNIT_SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400, "week": 604800}
 UNIT_MONTHS = {"month": 1, "year": 12}
@@ -66,49 +64,70 @@ def facet_field(
 ) -> DataFrame:
     """Rows per value, by falling count or, with ``sort="index"``, by value.
 
-    ``missing`` adds the rows without a value, as facet null, whatever the other options.
+    A row with an array counts once for each different value in it. ``missing`` adds the rows
+    without a value, as facet null, last and whatever the other options.
     """
-    key = F.col(field).cast("string")
-    counts = df.filter(F.col(field).isNotNull()).groupBy(key.alias("facet")).agg(_counted(hit).alias("count"))
+    many = df.schema[field].dataType.typeName() == "array"
+    if many:
+        valued = F.size(F.filter(F.col(field), lambda v: v.isNotNull())) > 0
+        rows = each(df, F.array_distinct(field), *([] if hit is None else [hit.alias("_hit")]), name="_value")
+        key, flag = F.col("_value").cast("string"), None if hit is None else F.col("_hit")
+    else:
+        valued = F.col(field).isNotNull()
+        rows, key, flag = df.filter(valued), F.col(field).cast("string"), hit
+    counts = rows.groupBy(key.alias("facet")).agg(_counted(flag).alias("count"))
     if prefix:
         counts = counts.filter(F.startswith(F.col("facet"), F.lit(prefix)))
     if mincount > 0:
         counts = counts.filter(F.col("count") >= mincount)
-    if limit is not None or offset:
-        order = [F.desc("count"), F.col("facet")] if sort == "count" else [F.col("facet")]
-        counts = counts.orderBy(*order)
-        if offset:
-            counts = counts.offset(offset)
-        if limit is not None:
-            counts = counts.limit(limit)
+    order = [F.desc("count"), F.col("facet")] if sort == "count" else [F.col("facet")]
+    counts = counts.orderBy(*order)
+    if offset:
+        counts = counts.offset(offset)
+    if limit is not None:
+        counts = counts.limit(limit)
     if missing:
-        absent = df.filter(F.col(field).isNull()).agg(_counted(hit).alias("count"))
-        counts = counts.unionByName(absent.select(F.lit(None).cast("string").alias("facet"), "count"))
+        absent = df.filter(~F.coalesce(valued, F.lit(False))).agg(_counted(hit).alias("count"))
+        absent = absent.select(F.lit(None).cast("string").alias("facet"), "count", F.lit(1).alias("_last"))
+        both = counts.withColumn("_last", F.lit(0)).unionByName(absent)
+        counts = both.orderBy("_last", *order).drop("_last")
     return counts
 
 
+def facet_fields(df: DataFrame, fields: list[str], hit: Column | None = None, mincount: int = 0) -> DataFrame:
+    """``(field, facet, count)`` of several fields in one pass over the rows; null values are left out."""
+    pairs = [F.struct(F.lit(f).alias("field"), F.col(f).cast("string").alias("facet")) for f in fields]
+    flag = [] if hit is None else [hit.alias("_hit")]
+    rows = df.select(F.inline(F.array(*pairs)), *flag).filter(F.col("facet").isNotNull())
+    counts = rows.groupBy("field", "facet").agg(_counted(None if hit is None else F.col("_hit")).alias("count"))
+    return counts.filter(F.col("count") >= mincount) if mincount > 0 else counts
+
+
+# The edge of a range by its number: edge(0) is the start of the first, edge(size) the end of the last.
+Edge = Callable[[Column], Column]
+
+
 def _range_counts(
-    df: DataFrame, value: Column, guess: Column, edges: list, names: list[str], include: set[str], other: set[str], hit: Column | None
+    df: DataFrame, value: Column, guess: Column, edge_of: Edge, size: int, name: Edge, include: set[str], other: set[str], hit: Column | None
 ) -> DataFrame:
-    """Rows per range ``edges[b] .. edges[b + 1]`` and per wanted outer range, zeros included.
+    """Rows per range ``edge(b) .. edge(b + 1)`` and per wanted outer range, zeros included.
 
     ``guess`` is the number of the range a value is in, give or take one. The rows are only
     counted by range and by whether they lie exactly on its lower edge: at most two groups
     per range, so the shuffle is tiny. Which ranges an edge belongs to is settled on those
-    counts afterwards.
+    counts afterwards. Edges are computed row by row, so any number of ranges will do.
     """
-    size = len(names)
     lower, upper, edge, outer = (bool({option, "all"} & include) for option in INCLUDES)
-    bounds = F.array(*[F.lit(e) for e in edges])
-    near = F.greatest(F.lit(0), F.least(F.lit(size - 1), guess))
-    step = F.when(value < F.get(bounds, near), -1).when(value >= F.get(bounds, near + 1), 1).otherwise(0)
-    place = F.when(value < F.lit(edges[0]), -1).when(value >= F.lit(edges[-1]), size).otherwise(near + step)
+    number = lambda n: F.lit(n).cast("long")
+    near = F.greatest(number(0), F.least(number(size - 1), guess))
+    step = F.when(value < edge_of(near), number(-1)).when(value >= edge_of(near + 1), number(1)).otherwise(number(0))
+    place = (
+        F.when(value < edge_of(number(0)), number(-1)).when(value >= edge_of(number(size)), number(size)).otherwise(near + step)
+    )
     flag = F.lit(True) if hit is None else F.coalesce(hit, F.lit(False))
     placed = df.filter(value.isNotNull()).select(place.alias("b"), value.alias("v"), flag.alias("hit"))
-    groups = (
-        placed.groupBy("b", (F.col("v") == F.get(bounds, F.greatest(F.lit(0), "b"))).alias("on_edge"))
-        .agg(F.count_if("hit").alias("n"))
-    )
+    on_lower = F.col("v") == edge_of(F.greatest(number(0), F.col("b")))
+    groups = placed.groupBy("b", on_lower.alias("on_edge")).agg(F.count_if("hit").alias("n"))
 
     b, on_edge = F.col("b"), F.col("on_edge")
     start, end = (b == 0) & on_edge, (b == size) & on_edge
@@ -123,11 +142,13 @@ def _range_counts(
         "between": (-3, ((b >= 0) & (b < size) & (~start | F.lit(in_start))) | (end & F.lit(in_end))),
     }
     wanted = [name for name in OTHERS if {name, "all"} & other]
-    member += [F.when(outside[name][1], F.lit(outside[name][0])) for name in wanted]
+    member += [F.when(outside[name][1], number(outside[name][0])) for name in wanted]
     counts = each(groups, F.array(*member), "n", name="range").groupBy("range").agg(F.sum("n").alias("count"))
 
-    rows = [*enumerate(names), *[(outside[name][0], name) for name in wanted]]
-    ranges = df.sparkSession.createDataFrame(rows, "range int, facet string")
+    ranges = df.sparkSession.range(size).select(F.col("id").alias("range"), name(F.col("id")).alias("facet"))
+    if wanted:
+        more = [(outside[name][0], name) for name in wanted]
+        ranges = ranges.union(df.sparkSession.createDataFrame(more, "range long, facet string"))
     return ranges.join(counts, "range", "left").select("facet", F.coalesce("count", F.lit(0)).alias("count"))
 
 
@@ -135,9 +156,15 @@ def _options(include: str | list[str], other: str | list[str]) -> tuple[set[str]
     return tuple({o} if isinstance(o, str) else set(o) for o in (include, other))
 
 
-def _check(size: int) -> None:
-    if not 0 < size <= MAX_RANGES:
-        raise ValueError(f"a range facet needs 1 to {MAX_RANGES} ranges, not {size}")
+def _checked(size: int) -> int:
+    if size <= 0:
+        raise ValueError("a range facet needs a start before its end and a gap above 0")
+    return size
+
+
+def _cut(edge_of: Edge, size: int, end: Column) -> Edge:
+    """The same edges, but for the last one."""
+    return lambda b: F.when(b == size, end).otherwise(edge_of(b))
 
 
 def facet_range(
@@ -159,15 +186,16 @@ def facet_range(
     ``outer``, ``all``.
     """
     start, end, gap = float(start), float(end), float(gap)
-    size = ceil((end - start) / gap)
-    _check(size)
-    edges = [start + i * gap for i in range(size + 1)]
-    names = [str(e) for e in edges[:-1]]
-    if hardend:
-        edges[-1] = end
+    size = _checked(ceil((end - start) / gap) if gap > 0 else 0)
+
+    def edge_of(b: Column) -> Column:
+        return F.lit(start) + b.cast("double") * F.lit(gap)
+
     value = F.col(field).cast("double")
-    guess = F.floor((value - F.lit(start)) / F.lit(gap)).cast("int")
-    return _range_counts(df, value, guess, edges, names, *_options(include, other), hit)
+    share = F.floor((value - F.lit(start)) / F.lit(gap)).cast("double")
+    guess = F.greatest(F.lit(0.0), F.least(F.lit(float(size - 1)), share)).cast("long")
+    edges = _cut(edge_of, size, F.lit(end)) if hardend else edge_of
+    return _range_counts(df, value, guess, edges, size, lambda b: edge_of(b).cast("string"), *_options(include, other), hit)
 
 
 def facet_date(
@@ -183,29 +211,30 @@ def facet_date(
     hit: Column | None = None,
 ) -> DataFrame:
     """As ``facet_range`` over a date field; ``unit`` runs from ``second`` to ``year``."""
-    edges = [start]
-    while edges[-1] < end:
-        _check(len(edges))
-        edges.append(_step(start, gap * len(edges), unit))
-    _check(len(edges) - 1)
-    names = [e.strftime("%Y-%m-%dT%H:%M:%S") for e in edges[:-1]]
-    if hardend:
-        edges[-1] = end
     value = F.col(field).cast("timestamp_ntz")
     if unit in UNIT_MONTHS:
-        months = F.year(value) * 12 + F.month(value) - (start.year * 12 + start.month)
-        guess = F.floor(months / (gap * UNIT_MONTHS[unit])).cast("int")
+        step, scale = gap * UNIT_MONTHS[unit], "MONTH"
+        span = (end.year - start.year) * 12 + end.month - start.month
+        size = _checked(0 if gap <= 0 or end <= start else max(1, span // step))
+        while _months_later(start, step * size) < end:
+            size += 1
+        guess = F.floor((F.year(value) * 12 + F.month(value) - (start.year * 12 + start.month)) / step)
     else:
+        step, scale = gap * UNIT_SECONDS[unit], "SECOND"
+        size = _checked(ceil((end - start).total_seconds() / step) if gap > 0 else 0)
         seconds = F.unix_seconds(value.cast("timestamp")) - F.unix_seconds(_ntz(start).cast("timestamp"))
-        guess = F.floor(seconds / (gap * UNIT_SECONDS[unit])).cast("int")
-    return _range_counts(df, value, guess, [_ntz(e) for e in edges], names, *_options(include, other), hit)
+        guess = F.floor(seconds / step)
+
+    def edge_of(b: Column) -> Column:
+        return F.timestamp_add(scale, b * step, _ntz(start))
+
+    edges = _cut(edge_of, size, _ntz(end)) if hardend else edge_of
+    named = lambda b: F.date_format(edge_of(b), "yyyy-MM-dd'T'HH:mm:ss")
+    return _range_counts(df, value, guess.cast("long"), edges, size, named, *_options(include, other), hit)
 
 
-def _step(start: datetime, count: int, unit: str) -> datetime:
-    if unit in UNIT_SECONDS:
-        return start + timedelta(seconds=count * UNIT_SECONDS[unit])
-    months = start.year * 12 + start.month - 1 + count * UNIT_MONTHS[unit]
-    year, month = divmod(months, 12)
+def _months_later(start: datetime, months: int) -> datetime:
+    year, month = divmod(start.year * 12 + start.month - 1 + months, 12)
     return start.replace(year=year, month=month + 1, day=min(start.day, monthrange(year, month + 1)[1]))
 
 
@@ -228,12 +257,9 @@ def facet_pivot(df: DataFrame, *fields: str, totals: bool = False) -> DataFrame:
 
 
 def as_map(facets: DataFrame) -> DataFrame:
-    """Facet rows as one map. More than ``MAX_MAP`` of them are an error, not cut off."""
+    """Facet rows as one map: an answer format, for facets that were given a limit."""
     entries = F.array_sort(F.collect_list(F.struct("facet", "count")))
-    gathered = facets.limit(MAX_MAP + 1).agg(entries.alias("e"))
-    too_many = F.raise_error(F.lit(f"more than {MAX_MAP} facet values do not go into one map"))
-    checked = F.when(F.size("e") > MAX_MAP, too_many.cast("array<struct<facet:string,count:bigint>>"))
-    return gathered.select(F.map_from_entries(checked.otherwise(F.col("e"))).alias("counts"))
+    return facets.agg(F.map_from_entries(entries).alias("counts"))
 
 
 def from_map(counts: DataFrame, column: str = "counts") -> DataFrame:

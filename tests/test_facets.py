@@ -70,8 +70,9 @@ def test_ranges_with_a_fractional_gap(spark):
     assert counts(A.facet_range(df, "v", 0, 1, 0.1)) == {
         str(0.1 * b): sum(0.1 * b <= v < 0.1 * (b + 1) for v in values) for b in range(10)
     }
-    with pytest.raises(ValueError):
-        A.facet_range(df, "v", 0, 1, 1e-9)
+    for start, end, gap in ((0, 1, 0), (0, 1, -1), (1, 1, 0.1), (2, 1, 0.1)):
+        with pytest.raises(ValueError):
+            A.facet_range(df, "v", start, end, gap)
 
 
 def test_months_and_days(spark):
@@ -120,10 +121,32 @@ def test_facet_forms(spark, values):
     assert A.from_flat(spark.createDataFrame([([],)], "counts array<string>")).count() == 0
 
 
-def test_a_map_of_too_many_values_is_an_error(spark):
-    many = spark.range(A.MAX_MAP + 5).select(F.col("id").cast("string").alias("facet"), F.lit(1).cast("long").alias("count"))
-    with pytest.raises(Exception, match="facet values"):
-        A.as_map(many).collect()
+def test_sort_holds_with_and_without_a_limit(spark):
+    df = spark.createDataFrame([(f"v{i % 40}",) for i in range(997) if i % 40 % 7 != i % 3] + [(None,)], "f string")
+    got = [(r["facet"], r["count"]) for r in A.facet_field(df, "f", missing=True).collect()]
+    assert got == sorted(got[:-1], key=lambda e: (-e[1], e[0])) + [(None, 1)]
+    assert [r["facet"] for r in A.facet_field(df, "f", sort="index").collect()] == sorted(f for f, _ in got[:-1])
+
+
+def test_a_row_counts_for_each_value_of_its_array(spark):
+    rows = [(["a", "b", "a"], True), (["b", None], False), ([], True), (None, True), ([None], False)]
+    df = spark.createDataFrame(rows, "tags array<string>, hit boolean")
+    assert counts(A.facet_field(df, "tags", missing=True)) == {"a": 1, "b": 2, None: 3}
+    assert counts(A.facet_field(df, "tags", hit=F.col("hit"))) == {"a": 1, "b": 1}
+
+
+def test_several_fields_in_one_pass(values, plan):
+    rows, df = values
+    got = {(r["field"], r["facet"]): r["count"] for r in A.facet_fields(df, ["g", "hit"]).collect()}
+    expected = Counter(("g", g) for _, g, _ in rows) + Counter(("hit", str(h).lower()) for _, _, h in rows)
+    assert got == expected
+    assert plan(A.facet_fields(df, ["g", "hit"])).count("+- Exchange") == 1
+
+
+def test_any_number_of_ranges(spark):
+    df = spark.range(20_000).select((F.col("id") + 0.5).alias("v"))
+    got = A.facet_range(df, "v", 0, 20_000, 1, other="all")
+    assert got.agg(F.sum("count"), F.min("count"), F.count("*")).first()[:] == (40_000, 0, 20_003)
 
 
 def test_query_and_pivot_facets(values):
