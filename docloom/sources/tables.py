@@ -19,16 +19,16 @@ def name_table(df: DataFrame, name: str) -> DataFrame:
 
 
 def register_tables(
-    spark: SparkSession, root: str, names: list[str] = TABLES, fmt: str = "parquet", external: bool = False
+    spark: SparkSession, root: str, names: list[str] = TABLES, fmt: str = "parquet", external: bool = False, prefix: str = ""
 ) -> None:
-    """Expose ``root/<name>`` to SQL as ``<name>``.
+    """Expose ``root/<name>`` to SQL as ``<prefix><name>``.
 
     By default these are session views. With ``external`` they become catalog tables over
-    the same files; dropping one leaves the files alone.
+    the same files; ``prefix`` may then be a database, ``run.``. A view or table that is there
+    already is left alone and is an error.
     """
     for name in names:
         if external:
-            spark.sql(f"DROP TABLE IF EXISTS {name}")
-            spark.catalog.createTable(name, path=f"{root}/{name}", source=fmt)
+            spark.catalog.createTable(f"{prefix}{name}", path=f"{root}/{name}", source=fmt)
         else:
-            name_table(read_table(spark, f"{root}/{name}", fmt), name)
+            read_table(spark, f"{root}/{name}", fmt).createTempView(f"{prefix}{name}")

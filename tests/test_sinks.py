@@ -54,9 +54,11 @@ def test_tables_can_be_named_for_sql(spark, tmp_path):
     register_tables(spark, str(tmp_path), ["lang"])
     assert spark.sql("SELECT lang FROM lang").first()[0] == "en"
     spark.catalog.dropTempView("lang")
-    register_tables(spark, str(tmp_path), ["lang"], external=True)
-    assert spark.sql("SELECT path FROM lang").first()[0] == "a"
-    spark.sql("DROP TABLE lang")
+    register_tables(spark, str(tmp_path), ["lang"], external=True, prefix="stored_")
+    assert spark.sql("SELECT path FROM stored_lang").first()[0] == "a"
+    with pytest.raises(AnalysisException):
+        register_tables(spark, str(tmp_path), ["lang"], external=True, prefix="stored_")
+    spark.sql("DROP TABLE stored_lang")
     assert files(tmp_path / "lang")
 
 

@@ -3,9 +3,10 @@ from __future__ import annotations
 import io
 import zipfile
 
+import pyarrow as pa
 import pytest
 
-from docloom.sources.files import drop_blacklisted, expand_archives, scan_expanded, scan_files
+from docloom.sources.files import drop_blacklisted, expand_archives, hidden_files, scan_expanded, scan_files
 
 
 def packed(**entries: bytes) -> bytes:
@@ -47,6 +48,7 @@ EXPANDED = {
     ("outer.ZIP/c.txt", b"gamma", "ok"),
     ("outer.ZIP/Thumbs.db", b"kept", "ok"),
     ("outer.ZIP/deep/inner.zip/d.txt", b"delta", "ok"),
+    ("broken.zip/d.txt", b"delta", "ok"),  # its directory is cut off
     ("broken.zip", None, "corrupt"),
 }
 
@@ -69,21 +71,45 @@ def test_entries_can_be_filtered_too(spark, folder):
     assert kept == {r for r in EXPANDED if "Thumbs" not in r[0]}
 
 
-def test_entries_before_a_damaged_one_are_kept(spark):
-    body = bytearray(packed(**{"a.txt": b"a" * 100, "b.txt": bytes(range(256)) * 8}))
-    at = body.index(b"b.txt") + 40
-    body[at] ^= 0xFF
+def entries(spark, body: bytes) -> set[tuple[str, str]]:
     raw = spark.createDataFrame([("/x.zip", "", bytes(body))], "path string, lang string, body binary")
-    found = {(r["path"], r["status"]) for r in expand_archives(raw).collect()}
-    assert found == {("/x.zip/a.txt", "ok"), ("/x.zip", "corrupt")}
+    return {(r["path"], r["status"]) for r in expand_archives(raw).collect()}
 
 
-def test_too_deep_nesting_ends(spark):
+def test_entries_round_a_damaged_one_are_kept(spark):
+    body = bytearray(packed(**{"a.txt": b"a" * 100, "b.txt": bytes(range(256)) * 8, "c.txt": b"c"}))
+    body[body.index(b"b.txt") + 40] ^= 0xFF
+    assert entries(spark, body) == {("/x.zip/a.txt", "ok"), ("/x.zip/b.txt", "corrupt"), ("/x.zip/c.txt", "ok")}
+
+
+def test_entries_without_a_directory_are_read_from_their_headers(spark):
+    whole = packed(**{"a.txt": b"a" * 100, "n.zip": packed(**{"deep.txt": b"d"}), "b.txt": bytes(range(256)) * 8})
+    cut = whole[: whole.rindex(b"PK\x01\x02") - 40]
+    found = entries(spark, cut[: cut.index(b"PK\x01\x02", cut.index(b"b.txt"))])
+    assert found == {("/x.zip/a.txt", "ok"), ("/x.zip/n.zip/deep.txt", "ok"), ("/x.zip/b.txt", "ok"), ("/x.zip", "corrupt")}
+
+
+def test_archives_are_opened_however_deep(spark):
     body = packed(**{"t.txt": b"t"})
-    for _ in range(30):
+    for _ in range(300):
         body = packed(**{"n.zip": body})
-    raw = spark.createDataFrame([("/x.zip", "", body)], "path string, lang string, body binary")
-    assert [r["status"] for r in expand_archives(raw).collect()] == ["corrupt"]
+    assert entries(spark, body) == {("/x.zip" + "/n.zip" * 300 + "/t.txt", "ok")}
+
+
+def test_a_large_entry_gets_a_batch_of_its_own():
+    from docloom.sources import files
+
+    rows = [("/a.zip", packed(**{"s.txt": b"s", "l.txt": b"l" * (files._BATCH_BYTES + 1), "t.txt": b"t"}))]
+    batch = pa.RecordBatch.from_pylist([{"path": p, "body": b} for p, b in rows])
+    assert [b.num_rows for b in files._expand_batches(iter([batch]))] == [1, 1, 1]
+
+
+def test_hidden_files_are_counted(spark, tmp_path):
+    for name in ("a.txt", ".b.txt", "_c.txt", "d/e.txt", ".f/g.txt"):
+        (tmp_path / name).parent.mkdir(exist_ok=True)
+        (tmp_path / name).write_text("x")
+    assert hidden_files(spark, str(tmp_path)) == 3
+    assert scan_files(spark, str(tmp_path)).count() == 2
 
 
 def test_null_body_of_an_archive(spark):
