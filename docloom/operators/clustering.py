@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docloom.functions.text import words_sql
+from docloom.session import materialize
 
 # Fixed values of the recipe.
 NUM_FEATURES = 1000
@@ -23,8 +24,8 @@ CLUSTERS = 20
 MAX_ITER = 40
 SEED = 42
 
-# A model is refused beyond this many centres, as they travel with every task.
-MAX_CENTERS = 10_000
+# Distances held at a time while the nearest centre is looked for.
+_DISTANCES = 4_000_000
 
 
 def word_stage(ngrams: Sequence[int] = ()) -> Transformer:
@@ -64,18 +65,40 @@ def fit_clusters(
     ngrams: Sequence[int] = (),
     normalize: bool = False,
 ) -> PipelineModel:
-    """Fit on ``(path, body)``. The result scores new text, as it includes the IDF weights.
+    """Fit on ``(path, body)``. The result scores new text, as it includes the IDF weights."""
+    return _fitted(docs, k, max_iter, seed, num_features, ngrams, normalize)[0]
 
-    The sparse features are kept for the iterations, in memory and else on disk, and
-    nothing else: texts are read twice, for the weights and for the features.
+
+def fit_assign(docs: DataFrame, **options) -> tuple[PipelineModel, DataFrame]:
+    """``fit_clusters`` and ``(path, cluster)`` of the documents it was fitted on, their words cut once."""
+    model, counted = _fitted(docs, **options)
+    scored = PipelineModel(stages=model.stages[2:]).transform(counted)
+    return model, scored.select("path", F.col("prediction").cast("int").alias("cluster"))
+
+
+def _fitted(
+    docs: DataFrame,
+    k: int = CLUSTERS,
+    max_iter: int = MAX_ITER,
+    seed: int = SEED,
+    num_features: int = NUM_FEATURES,
+    ngrams: Sequence[int] = (),
+    normalize: bool = False,
+) -> tuple[PipelineModel, DataFrame]:
+    """The model and the written table ``(path, rawFeatures)`` of hashed counts it was fitted on.
+
+    Weights, iterations and assignments all start from that table, so texts are read once.
     """
-    features = Pipeline(stages=feature_stages(num_features, ngrams, normalize)).fit(docs.select("path", "body"))
-    ready = features.transform(docs.select("path", "body")).select("features").persist(StorageLevel.MEMORY_AND_DISK)
+    words, counts, *weigh = feature_stages(num_features, ngrams, normalize)
+    hashed = PipelineModel(stages=[words, counts]).transform(docs.select("path", "body"))
+    counted = materialize(hashed.select("path", "rawFeatures"), "counts")
+    weights = Pipeline(stages=weigh).fit(counted)
+    ready = weights.transform(counted).select("features").persist(StorageLevel.MEMORY_AND_DISK)
     try:
         means = KMeans(k=k, maxIter=max_iter, seed=seed, featuresCol="features", predictionCol="prediction").fit(ready)
     finally:
         ready.unpersist()
-    return PipelineModel(stages=[*features.stages, means])
+    return PipelineModel(stages=[words, counts, *weights.stages, means]), counted
 
 
 def save_model(model: PipelineModel, path: str) -> None:
@@ -115,18 +138,43 @@ def mean_centers(vectors: DataFrame, vector: str, label: str) -> DataFrame:
 def nearest_center(vector: Column, center_table: DataFrame) -> Column:
     """The cluster whose centre is nearest to a dense vector, the lowest number among equals.
 
-    The centres are a model: they are few, checked to be so, and travel with the tasks.
+    The centres are the model, one row per cluster: sent to each executor once, as a fitted
+    k-means model sends its own. Distances are made for some rows at a time, so memory does not
+    depend on how many centres there are.
     """
-    rows = sorted(center_table.select("cluster", "center").limit(MAX_CENTERS + 1).collect())
-    if len(rows) > MAX_CENTERS:
-        raise ValueError(f"more than {MAX_CENTERS} centres")
-    names = np.array([r["cluster"] for r in rows], dtype=np.int32)
-    points = np.array([r["center"] for r in rows], dtype=np.float64)
-    norms = (points**2).sum(axis=1)
+    table = center_table.select("cluster", "center").orderBy("cluster").toPandas()
+    names = table["cluster"].to_numpy(np.int32)
+    points = np.stack(table["center"].to_numpy()) if len(table) else np.zeros((0, 0))
+    model = center_table.sparkSession.sparkContext.broadcast((names, points, (points**2).sum(axis=1)))
 
     @F.pandas_udf("int")
     def nearest(vectors: pd.Series) -> pd.Series:
-        x = np.stack(vectors.to_numpy()).astype(np.float64)
-        return pd.Series(names[np.argmin(norms - 2.0 * (x @ points.T), axis=1)])
+        names, points, norms = model.value
+        step = max(1, _DISTANCES // max(len(names), 1))
+        best = [
+            np.argmin(norms - 2.0 * (np.stack(part.to_numpy()).astype(np.float64) @ points.T), axis=1)
+            for part in (vectors.iloc[i : i + step] for i in range(0, len(vectors), step))
+        ]
+        return pd.Series(names[np.concatenate(best)] if best else [], dtype="int32")
 
     return nearest(vector)
+
+
+def is_nearest(model: PipelineModel, docs: DataFrame, clusters: DataFrame) -> DataFrame:
+    """``(path, nearest)``: whether no centre is nearer to a document than that of its cluster.
+
+    Distances are sums over the coordinates, worked out apart from the fitted model's own rule.
+    """
+    points = np.stack(model.stages[-1].clusterCenters())
+    features = PipelineModel(stages=model.stages[:-1]).transform(docs.select("path", "body"))
+    rows = features.select("path", vector_to_array("features").alias("x")).join(clusters, "path")
+
+    @F.pandas_udf("boolean")
+    def check(x: pd.Series, cluster: pd.Series) -> pd.Series:
+        own = []
+        for vector, c in zip(x, cluster):
+            distances = ((points - np.asarray(vector)) ** 2).sum(axis=1)
+            own.append(0 <= c < len(points) and distances[c] <= distances.min() * (1 + 1e-9) + 1e-9)
+        return pd.Series(own)
+
+    return rows.select("path", check("x", "cluster").alias("nearest"))

@@ -65,7 +65,8 @@ def extract_text(df: DataFrame, handlers: HandlerFactory | None = None) -> DataF
 
     The files are read once. Pages and plain text are done in the JVM; only the bodies of
     other formats enter Python, for the handler of their extension. ``status`` is ``ok``,
-    ``unsupported`` (no handler), ``error`` (the handler failed) or ``empty`` (null body);
+    ``unsupported`` (no handler), ``error`` (the handler failed) or ``empty`` (no body, or a
+    handler that found no text);
     the text of a file that is not ``ok`` is ``''``, so no file is lost.
     """
     routed = with_file_facts(df.select("path", F.col("body").alias("_bytes"))).withColumn("_route", route(F.col("path")))
@@ -112,7 +113,8 @@ def _one(handler: Handler | None, path: str, body: bytes | None) -> tuple[str, s
     if body is None:
         return "", "empty"
     try:
-        return handler(path, bytes(body)) or "", "ok"
+        text = handler(path, bytes(body))
+        return ("", "empty") if text is None else (text, "ok")
     except Exception:  # one bad file must not end the job
         return "", "error"
 

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from docloom.functions.text import words
+
 MAX_DISTANCE = 2
 
 
@@ -42,6 +43,11 @@ def suggest(terms: DataFrame, words: Sequence[str], distance: int = MAX_DISTANCE
 
 
 def corrected(query: str, suggestions: DataFrame) -> str:
-    """The query with its misspelt words replaced, whole words only."""
+    """The query with its misspelt words replaced, cut into words as the index cuts them."""
     best = {r["word"]: r["suggestion"] for r in suggestions.select("word", "suggestion").collect()}
-    return re.sub(r"\w+", lambda m: best.get(m[0].lower(), m[0]), query)
+    row = suggestions.sparkSession.range(1).select(words(F.lit(query)).alias("words")).first()
+    rebuilt, rest = "", query
+    for word in row["words"]:
+        before, _, rest = rest.partition(word)
+        rebuilt += before + best.get(word.lower(), word)
+    return rebuilt + rest

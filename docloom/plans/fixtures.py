@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from docloom.operators.index import Index, index_documents
 from docloom.operators.language import LanguageModel
 from docloom.operators.parse import with_file_facts
-from docloom.session import scratch_path, spread
+from docloom.session import scratch_path
 
 _kept: dict[tuple[str, str, str], object] = {}
 
@@ -51,7 +51,7 @@ def docs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(path, body)`` of every document, for the steps that cut the text up."""
-    return spread(docs(spark, sf_dir).select("path", "body"))
+    return docs(spark, sf_dir).select("path", "body")
 
 
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -71,7 +71,7 @@ def turns(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_files(spark: SparkSession, sf_dir: str, *views) -> DataFrame:
     """``(path, lang, body binary)`` of the rows of all the views."""
     made = [
-        spread(v(spark, sf_dir)).select("path", F.lit("").alias("lang"), F.encode("body", "UTF-8").alias("body"))
+        v(spark, sf_dir).select("path", F.lit("").alias("lang"), F.encode("body", "UTF-8").alias("body"))
         for v in views
     ]
     all_rows = made[0]
@@ -118,7 +118,7 @@ def index(spark: SparkSession, sf_dir: str) -> Index:
 def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents with a label, which are the training set of the language model."""
     labels = table(spark, sf_dir, "labels").select("doc_id")
-    return spread(docs(spark, sf_dir).join(labels, "doc_id").select("body", "lang"))
+    return docs(spark, sf_dir).join(labels, "doc_id").select("body", "lang")
 
 
 def language_model(spark: SparkSession, sf_dir: str) -> LanguageModel:

@@ -189,7 +189,11 @@ def _fragment(text: str, terms: list[str]) -> str:
     pieces = rf"regexp_extract_all({text}, '{W}+|[^\p{{L}}\p{{M}}\p{{N}}_]+')"
     first = f"list_position(list_transform({pieces}, lambda x: lower(x) IN ({_listed(terms)})), true)"
     before = f"length(array_to_string(list_slice({pieces}, 1, {first} - 1), ''))"
-    return f"CASE WHEN {first} > 0 THEN substr({text}, CAST(greatest(1, {before} + 1 - 250) AS BIGINT), 500) END"
+    start = f"CAST(greatest(1, {before} + 1 - 250) AS BIGINT)"
+    cut = f"substr({text}, {start}, 500)"
+    cut = f"CASE WHEN {start} > 1 AND regexp_matches(substr({text}, {start} - 1, 1), '{W}') THEN regexp_replace({cut}, '^{W}+', '') ELSE {cut} END"
+    cut = f"CASE WHEN regexp_matches(substr({text}, {start} + 500, 1), '{W}') THEN regexp_replace({cut}, '{W}+$', '') ELSE {cut} END"
+    return f"CASE WHEN {first} > 0 THEN {cut} END"
 
 
 # --- facets ------------------------------------------------------------------------
@@ -232,7 +236,13 @@ FLAT = f"sqrt(pow({TURN} * cos(({LAT} + {TO_LAT}) / 2), 2) + pow({LAT} - {TO_LAT
 
 ORACLE: dict[str, str] = {
     "scan_files": """
-        SELECT source, '' AS lang, CAST(sum(strlen(text) + 1) AS BIGINT) AS bytes FROM documents GROUP BY source""",
+        SELECT source, '' AS lang, CAST(sum(strlen(line) + 1) AS BIGINT) AS bytes, count(*) AS lines, count(DISTINCT line) AS distinct_lines
+        FROM (SELECT source, unnest(string_split(text, chr(10))) AS line FROM documents) GROUP BY source""",
+    "refuse_existing": f"SELECT path, lang, true AS refused FROM {DOCS}",
+    "sql_functions": rf"""
+        SELECT path, {_name('path')} AS name, {_extension('path')} AS extension, sha256(path) AS id,
+          regexp_replace(path, '[./\\_]', ' ', 'g') AS words, CAST(len(regexp_extract_all(body, '{WORD}')) AS INTEGER) AS n_words
+        FROM {DOCS}""",
     "blacklist_filter": f"""
         SELECT path || CASE lang WHEN 'fr' THEN '/Thumbs.db.txt' ELSE '' END AS path, n_chars
         FROM {DOCS} WHERE lang NOT IN ('es', 'de')""",
@@ -328,12 +338,18 @@ ORACLE: dict[str, str] = {
     "lang_profiles": _profiles(DOCS),
     "detect_lang": f"WITH {_detected(DOCS, None)} SELECT path, lang FROM detected",
     "detect_lang_gated": f"WITH {_detected(DOCS, GATE)} SELECT path, lang FROM detected",
+    "detect_lang_repeated": f"WITH {_detected(DOCS, GATE)} SELECT path, lang, 2::BIGINT AS n FROM detected",
     "lang_confusion": f"""
         WITH {_detected(DOCS, GATE)}
-        SELECT t.lang AS truth, d.lang AS found, count(*) AS n FROM detected d JOIN {DOCS} t USING (path) GROUP BY ALL""",
+        SELECT t.lang AS truth, d.lang AS found, t.doc_id IN (SELECT doc_id FROM labels) AS trained, count(*) AS n
+        FROM detected d JOIN {DOCS} t USING (path) GROUP BY ALL""",
     "hashing_tf": f"""
         SELECT path, CAST(len(t) AS INTEGER) AS n_words, CAST(len(t) AS BIGINT) AS tf_sum
         FROM (SELECT path, regexp_extract_all(body, '{WORD}') AS t FROM {DOCS})""",
+    "cluster_documents": f"SELECT path, true AS nearest, true AS stable FROM {DOCS}",
+    "cluster_sizes": "SELECT count(*) AS documents, 0::BIGINT AS unknown, true AS several FROM documents",
+    "cluster_centers": "SELECT CAST(unnest(range(20)) AS INTEGER) AS cluster, 1000::BIGINT AS dims, true AS finite",
+    "model_reload": f"SELECT path, true AS same FROM {DOCS}",
     "assign_cluster": """
         WITH parts AS (SELECT vec_id, label, unnest(embedding) AS x, unnest(range(len(embedding))) AS dim FROM embeddings),
         means AS (SELECT label AS cluster, dim, avg(CAST(x AS DOUBLE)) AS m FROM parts GROUP BY ALL),
@@ -359,8 +375,8 @@ ORACLE: dict[str, str] = {
         WITH {TOKENS} SELECT id, 0::DOUBLE AS score, cluster FROM docs WHERE cluster >= 0""",
     "search_faceted": f"""
         WITH {TOKENS}, found AS MATERIALIZED (SELECT * FROM {SEARCH} JOIN docs USING (id) WHERE lang <> 'es')
-        SELECT lang AS facet, count(*) AS count, 'lang' AS field FROM found GROUP BY lang
-        UNION ALL SELECT extension, count(*), 'extension' FROM found GROUP BY extension
+        SELECT lang AS facet, count(*) AS count, 'lang' AS field FROM found GROUP BY lang HAVING count(*) >= 2
+        UNION ALL SELECT extension, count(*), 'extension' FROM found GROUP BY extension HAVING count(*) >= 2
         UNION ALL SELECT CAST(cluster AS VARCHAR), count(*), 'cluster' FROM found GROUP BY cluster HAVING count(*) >= 2""",
     "highlight": f"""
         WITH {TOKENS}
@@ -377,13 +393,23 @@ ORACLE: dict[str, str] = {
         SELECT word, term AS suggestion, CAST(distance AS INTEGER) AS distance, CAST(df AS BIGINT) AS df
         FROM (SELECT *, row_number() OVER (PARTITION BY word ORDER BY distance, df DESC, term) AS place FROM near)
         WHERE place = 1 AND distance > 0""",
+    "facet_array": """
+        SELECT tag AS facet, count(*) AS count FROM (SELECT unnest([lang, source]) AS tag FROM documents WHERE n_chars > 200) GROUP BY tag
+        UNION ALL SELECT NULL, count(*) FROM documents WHERE NOT n_chars > 200""",
     "facet_field": """
-        (SELECT o_orderpriority AS facet, count(*) FILTER (o_orderstatus = 'F') AS count, 'priority' AS field
+        (SELECT o_orderpriority AS facet, count(*) FILTER (o_orderstatus = 'F') AS count, 'priority' AS field,
+           CAST(row_number() OVER (ORDER BY count(*) FILTER (o_orderstatus = 'F') DESC, o_orderpriority) - 1 AS INTEGER) AS rank
          FROM orders GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 3 OFFSET 1)
         UNION ALL
-        (SELECT c_mktsegment, count(*), 'segment' FROM customer WHERE c_acctbal >= 0 AND c_mktsegment LIKE 'M%' GROUP BY 1)
+        (SELECT c_mktsegment, count(*), 'segment', CAST(row_number() OVER (ORDER BY c_mktsegment) AS INTEGER)
+         FROM customer WHERE c_acctbal >= 0 AND c_mktsegment LIKE 'M%' GROUP BY 1)
         UNION ALL
-        (SELECT NULL, count(*), 'segment' FROM customer WHERE NOT c_acctbal >= 0)""",
+        (SELECT NULL, count(*), 'segment', CAST(1 + (SELECT count(DISTINCT c_mktsegment) FROM customer
+                                                     WHERE c_acctbal >= 0 AND c_mktsegment LIKE 'M%') AS INTEGER)
+         FROM customer WHERE NOT c_acctbal >= 0)
+        UNION ALL
+        (SELECT CAST(p_size AS VARCHAR), count(*), 'size', CAST(row_number() OVER (ORDER BY count(*) DESC, CAST(p_size AS VARCHAR)) AS INTEGER)
+         FROM part GROUP BY p_size)""",
     "facet_range": _ranges(
         [
             ("5.0", _span("l_quantity", 5, 20)),
@@ -417,3 +443,9 @@ ORACLE: dict[str, str] = {
         SELECT path, source, lang, n_chars, CAST(place AS INTEGER) AS rank
         FROM (SELECT *, row_number() OVER (PARTITION BY source ORDER BY n_chars DESC, path) AS place FROM {DOCS}) WHERE place <= 3""",
 }
+
+ORACLE["spell_corrected"] = f"""
+    WITH suggested AS ({ORACLE['spell_suggest']}),
+    asked AS (SELECT unnest([{_listed(MISSPELT)}]) AS word, unnest(range({len(MISSPELT)})) AS place)
+    SELECT string_agg(word, ' ' ORDER BY place) AS query, string_agg(coalesce(suggestion, word), ' ' ORDER BY place) AS corrected
+    FROM asked LEFT JOIN suggested USING (word)"""

@@ -5,14 +5,16 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from docloom.functions import geo
 from docloom.functions import paths as P
 from docloom.operators import clustering, facets, index, language, parse, search, spelling, words
 from docloom.plans import fixtures as X
-from docloom.session import scratch_path, spread
+from docloom.session import scratch_path
+from docloom.functions.sql import register_sql_functions
 from docloom.sinks.tables import pack_files, save_table
 from docloom.sources.files import drop_blacklisted, expand_archives, scan_files
 from docloom.sources.tables import read_table, register_tables
@@ -44,7 +46,13 @@ def scan_files_(spark, sf_dir):
     X.docs(spark, sf_dir).select("source", "body").write.partitionBy("source").option("maxRecordsPerFile", 500).text(folder)
     found = scan_files(spark, folder)
     source = F.regexp_extract("path", "source=([^/]+)/", 1)
-    return found.groupBy(source.alias("source"), "lang").agg(F.sum(F.length("body")).alias("bytes"))
+    text = F.regexp_replace(F.col("body").cast("string"), "\n$", "")
+    lines = found.select(source.alias("source"), "lang", F.explode(F.split(text, "\n")).alias("line"))
+    return lines.groupBy("source", "lang").agg(
+        F.sum(F.octet_length("line") + 1).alias("bytes"),
+        F.count(F.lit(1)).alias("lines"),
+        F.count_distinct("line").alias("distinct_lines"),
+    )
 
 
 @query
@@ -74,6 +82,33 @@ def pack_files_(spark, sf_dir):
     return read_table(spark, path).select("path", "lang", F.length("body").alias("bytes"), F.sha2("body", 256).alias("sha"))
 
 
+@query
+def refuse_existing(spark, sf_dir):
+    """All documents written; a second writer is refused and the first result stays."""
+    path = scratch_path(spark, "kept")
+    save_table(X.docs(spark, sf_dir).select("path", "lang"), path)
+    try:
+        save_table(X.docs(spark, sf_dir).limit(1).select("path", "lang"), path)
+        refused = False
+    except AnalysisException:
+        refused = True
+    return read_table(spark, path).select("path", "lang", F.lit(refused).alias("refused"))
+
+
+@query
+def sql_functions(spark, sf_dir):
+    """The functions by their names in SQL text."""
+    register_sql_functions(spark)
+    return X.docs(spark, sf_dir).selectExpr(
+        "path",
+        "extract_file_name(path) AS name",
+        "extract_extension(path) AS extension",
+        "document_id(path) AS id",
+        "path_to_words(path) AS words",
+        "size(text_words(body)) AS n_words",
+    )
+
+
 @query
 def catalog_join(spark, sf_dir):
     root = scratch_path(spark, "run")
@@ -81,14 +116,15 @@ def catalog_join(spark, sf_dir):
     save_table(X.lang_table(spark, sf_dir), f"{root}/lang")
     save_table(X.cluster_table(spark, sf_dir), f"{root}/clusters")
     save_table(words.wordcount(words.tokenize(read_table(spark, f"{root}/documents"))), f"{root}/wordcount")
-    register_tables(spark, root)
+    prefix = f"run_{root[-8:]}_"
+    register_tables(spark, root, prefix=prefix)
     return spark.sql(
-        """
+        f"""
         SELECT c.cluster, l.lang, count(*) AS documents, sum(w.distinct_words) AS distinct_words, sum(w.words) AS words
-        FROM documents d
-        JOIN lang l ON l.path = d.path
-        JOIN clusters c ON c.path = d.path
-        JOIN (SELECT f, count(*) AS distinct_words, sum(c) AS words FROM wordcount GROUP BY f) w ON w.f = d.path
+        FROM {prefix}documents d
+        JOIN {prefix}lang l ON l.path = d.path
+        JOIN {prefix}clusters c ON c.path = d.path
+        JOIN (SELECT f, count(*) AS distinct_words, sum(c) AS words FROM {prefix}wordcount GROUP BY f) w ON w.f = d.path
         GROUP BY c.cluster, l.lang
         """
     )
@@ -324,7 +360,7 @@ def date_text(spark, sf_dir):
 
 @query
 def lang_profiles(spark, sf_dir):
-    return language.profiles(spread(X.docs(spark, sf_dir).select("body", "lang")))
+    return language.profiles(X.docs(spark, sf_dir).select("body", "lang"))
 
 
 @query
@@ -337,11 +373,22 @@ def detect_lang_gated(spark, sf_dir):
     return X.language_model(spark, sf_dir).detect(X.texts(spark, sf_dir), min_margin=language.GATE)
 
 
+@query
+def detect_lang_repeated(spark, sf_dir):
+    """All documents twice: each row gets its own verdict."""
+    texts = X.texts(spark, sf_dir)
+    found = X.language_model(spark, sf_dir).detect(texts.union(texts), min_margin=language.GATE)
+    return found.groupBy("path", "lang").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query
 def lang_confusion(spark, sf_dir):
+    """Right and wrong verdicts, those on the training set apart."""
     found = X.language_model(spark, sf_dir).detect(X.texts(spark, sf_dir), min_margin=language.GATE)
-    truth = X.docs(spark, sf_dir).select("path", F.col("lang").alias("truth"))
-    return found.join(truth, "path").groupBy("truth", F.col("lang").alias("found")).agg(F.count(F.lit(1)).alias("n"))
+    labels = X.table(spark, sf_dir, "labels").select("doc_id", F.lit(True).alias("trained")).distinct()
+    truth = X.docs(spark, sf_dir).select("path", "doc_id", F.col("lang").alias("truth")).join(labels, "doc_id", "left")
+    trained = F.coalesce("trained", F.lit(False)).alias("trained")
+    return found.join(truth, "path").groupBy("truth", F.col("lang").alias("found"), trained).agg(F.count(F.lit(1)).alias("n"))
 
 
 # --- learned -----------------------------------------------------------------------
@@ -357,23 +404,45 @@ def hashing_tf(spark, sf_dir):
 
 
 def _clusters(spark, sf_dir):
-    docs = X.texts(spark, sf_dir)
-    return X.once(spark, sf_dir, "clusters", lambda: clustering.fit_clusters(docs)), docs
+    """The fitted model and the clusters of the documents."""
+    return X.once(spark, sf_dir, "clusters", lambda: clustering.fit_assign(X.texts(spark, sf_dir)))
 
 
 @query
 def cluster_documents(spark, sf_dir):
-    return clustering.assign(*_clusters(spark, sf_dir))
+    """Every document with whether its centre is the nearest one, and whether new scoring agrees."""
+    (model, clusters), docs = _clusters(spark, sf_dir), X.texts(spark, sf_dir)
+    again = clustering.assign(model, docs).withColumnRenamed("cluster", "again")
+    checked = clustering.is_nearest(model, docs, clusters).join(clusters, "path").join(again, "path")
+    return checked.select("path", "nearest", (F.col("cluster") == F.col("again")).alias("stable"))
 
 
 @query
 def cluster_sizes(spark, sf_dir):
-    return clustering.cluster_sizes(clustering.assign(*_clusters(spark, sf_dir)))
+    sizes = clustering.cluster_sizes(_clusters(spark, sf_dir)[1])
+    return sizes.agg(
+        F.sum("documents").alias("documents"),
+        F.count_if((F.col("cluster") < 0) | (F.col("cluster") >= clustering.CLUSTERS)).alias("unknown"),
+        (F.count(F.lit(1)) > 1).alias("several"),
+    )
 
 
 @query
 def cluster_centers(spark, sf_dir):
-    return clustering.centers(*_clusters(spark, sf_dir))
+    weights = clustering.centers(_clusters(spark, sf_dir)[0], X.texts(spark, sf_dir))
+    finite = F.bool_and(~F.isnan("weight") & (F.abs("weight") < float("inf")) & (F.col("weight") >= 0))
+    return weights.groupBy("cluster").agg(F.count_distinct("dim").alias("dims"), finite.alias("finite"))
+
+
+@query
+def model_reload(spark, sf_dir):
+    """A model saved and loaded gives every document the cluster it had."""
+    path = scratch_path(spark, "model")
+    model, clusters = _clusters(spark, sf_dir)
+    clustering.save_model(model, path)
+    again = clustering.assign(clustering.load_model(path), X.texts(spark, sf_dir))
+    both = clusters.join(again.withColumnRenamed("cluster", "again"), "path")
+    return both.select("path", (F.col("cluster") == F.col("again")).alias("same"))
 
 
 @query
@@ -434,13 +503,9 @@ def search_match_all(spark, sf_dir):
 
 @query
 def search_faceted(spark, sf_dir):
-    found = search.hits(
-        X.index(spark, sf_dir), TERMS, filters=[F.col("lang") != "es"], keep=["lang", "extension", "cluster"]
+    return search.search_facets(
+        X.index(spark, sf_dir), TERMS, ["lang", "extension", "cluster"], filters=[F.col("lang") != "es"], mincount=2
     )
-    by_lang = facets.facet_field(found, "lang").withColumn("field", F.lit("lang"))
-    by_extension = facets.facet_field(found, "extension").withColumn("field", F.lit("extension"))
-    by_cluster = facets.facet_field(found, "cluster", mincount=2).withColumn("field", F.lit("cluster"))
-    return by_lang.unionByName(by_extension).unionByName(by_cluster)
 
 
 @query
@@ -457,6 +522,14 @@ def spell_suggest(spark, sf_dir):
     return spelling.suggest(X.index(spark, sf_dir).terms, MISSPELT)
 
 
+@query
+def spell_corrected(spark, sf_dir):
+    """The query of misspelt words, rebuilt."""
+    text = " ".join(MISSPELT)
+    rebuilt = spelling.corrected(text, spelling.suggest(X.index(spark, sf_dir).terms, MISSPELT))
+    return spark.createDataFrame([(text, rebuilt)], "query string, corrected string")
+
+
 # --- facets ------------------------------------------------------------------------
 
 
@@ -468,7 +541,20 @@ def facet_field(spark, sf_dir):
     segment = F.when(F.col("c_acctbal") >= 0, F.col("c_mktsegment"))
     customers = X.table(spark, sf_dir, "customer").select(segment.alias("segment"))
     by_segment = facets.facet_field(customers, "segment", sort="index", prefix="M", mincount=1, missing=True)
-    return by_priority.withColumn("field", F.lit("priority")).unionByName(by_segment.withColumn("field", F.lit("segment")))
+    by_size = facets.facet_field(X.table(spark, sf_dir, "part"), "p_size")
+    ranked = F.row_number().over(Window.partitionBy("field").orderBy("_order"))
+    made = [(by_priority, "priority"), (by_segment, "segment"), (by_size, "size")]
+    first, *rest = [f.select("*", F.lit(n).alias("field"), F.monotonically_increasing_id().alias("_order")) for f, n in made]
+    for other in rest:
+        first = first.unionByName(other)
+    return first.select("facet", "count", "field", ranked.alias("rank"))
+
+
+@query
+def facet_array(spark, sf_dir):
+    """Language and source of a document as its tags, the language twice."""
+    tags = F.when(F.col("n_chars") > 200, F.array("lang", "source", "lang"))
+    return facets.facet_field(X.docs(spark, sf_dir).select(tags.alias("tags")), "tags", missing=True)
 
 
 @query
@@ -499,7 +585,7 @@ def facet_date(spark, sf_dir):
 
 @query
 def facet_map(spark, sf_dir):
-    counts = facets.facet_field(X.table(spark, sf_dir, "events"), "event_type", limit=100)
+    counts = facets.facet_field(X.table(spark, sf_dir, "events"), "event_type")
     return facets.from_map(facets.as_map(counts))
 
 

@@ -77,13 +77,3 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Give every core work when the input has fewer splits than the session has cores.
-
-    Text is costly to cut up compared with its size on disk, so a few files can keep a few
-    cores busy and leave the rest idle. An input with enough splits is not shuffled.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
