@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from html.entities import name2codepoint
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,51 +24,27 @@ WORD = rf"{_RUN}|(?<!_)_++{_RUN}"
 _FAR = r"[^\x{0}-\x{2FFF}]"
 _SINGLE = r"[々〇〡-〩〸-〻ぁ-ゟ㐀-䶿一-鿿豈-﫿\x{20000}-\x{323AF}]"
 
-# What is taken out of a page, in one pass. Every alternative stops at the next bracket or
-# runs to its own end mark, and to the end of the page if that is missing: no text is
-# scanned over and over, however broken the page.
-HTML_DROP = (
-    r"(?is)<script\b[^<>]*>.*?(?:</script\s*>|\z)"
-    r"|<style\b[^<>]*>.*?(?:</style\s*>|\z)"
-    r"|<title\b[^<>]*>[^<]*(?:</title\s*>)?"
+# Attributes of a tag. A quoted value may hold a closing bracket, but no opening one: so a
+# quote that is never closed is given up at the next tag, and no text is scanned twice.
+_ATTRIBUTES = r"""(?:[^<>"']++|"[^"<]*+"|'[^'<]*+')*+"""
+
+# What carries no markup and no text: scripts, styles, comments. They run to their own end mark,
+# and to the end of the page if that is missing.
+_HIDDEN = (
+    rf"(?is)<script\b{_ATTRIBUTES}>.*?(?:</script\s*>|\z)"
+    rf"|<style\b{_ATTRIBUTES}>.*?(?:</style\s*>|\z)"
     r"|<!--.*?(?:-->|\z)"
-    r"|</?[a-z!?][^<>]*>"
+)
+# What is taken out of a page, in one pass. The last alternative is a tag with a stray quote.
+HTML_DROP = (
+    rf"{_HIDDEN}|<title\b{_ATTRIBUTES}>[^<]*(?:</title\s*>)?"
+    rf"|</?[a-z!?]{_ATTRIBUTES}>|</?[a-z!?][^<>]*>"
 )
 
-# The entities that are decoded, in this order.
-ENTITIES = [
-    ("&nbsp;", " "),
-    ("&lt;", "<"),
-    ("&gt;", ">"),
-    ("&quot;", '"'),
-    ("&apos;", "'"),
-    ("&#39;", "'"),
-    ("&copy;", "©"),
-    ("&reg;", "®"),
-    ("&middot;", "·"),
-    ("&bull;", "•"),
-    ("&hellip;", "…"),
-    ("&ndash;", "–"),
-    ("&mdash;", "—"),
-    ("&lsquo;", "‘"),
-    ("&rsquo;", "’"),
-    ("&ldquo;", "“"),
-    ("&rdquo;", "”"),
-    ("&laquo;", "«"),
-    ("&raquo;", "»"),
-    ("&euro;", "€"),
-    ("&agrave;", "à"),
-    ("&acirc;", "â"),
-    ("&ccedil;", "ç"),
-    ("&egrave;", "è"),
-    ("&eacute;", "é"),
-    ("&ecirc;", "ê"),
-    ("&icirc;", "î"),
-    ("&ocirc;", "ô"),
-    ("&ugrave;", "ù"),
-    ("&ucirc;", "û"),
-    ("&amp;", "&"),
-]
+# A reference to a character after its "&": by number, by number in hex, or by name.
+_REFERENCE = r"^(#[0-9]{1,8}|#[xX][0-9A-Fa-f]{1,7}|[A-Za-z][A-Za-z0-9]{1,31});"
+# The names of HTML 4 from the standard library; a blank that does not break is a blank here.
+_NAMED = {name: chr(code) for name, code in name2codepoint.items()} | {"nbsp": " ", "apos": "'"}
 
 BLANKS = r"[ \t\n\f\r]+"
 
@@ -135,11 +113,22 @@ def word_trigrams(word: Column) -> Column:
 
 
 def decode_entities(text: Column) -> Column:
-    """Named entities as characters. A text without ``&`` is passed on as it is."""
-    decoded = text
-    for entity, plain in ENTITIES:
-        decoded = F.replace(decoded, F.lit(entity), F.lit(plain))
-    return F.when(F.contains(text, F.lit("&")), decoded).otherwise(text)
+    """Character references as characters, in one pass; unknown ones stay. A text without ``&`` is passed on."""
+    names = F.create_map(*[F.lit(x) for pair in _NAMED.items() for x in pair])
+
+    def decoded(part: Column) -> Column:
+        name = F.regexp_extract(part, _REFERENCE, 1)
+        code = F.when(F.rlike(name, F.lit("^#[0-9]")), F.substring(name, 2, 8).try_cast("bigint")).when(
+            F.rlike(name, F.lit("^#[xX]")), F.conv(F.substring(name, 3, 7), 16, 10).try_cast("bigint")
+        )
+        valid = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
+        point = F.decode(F.unhex(F.lpad(F.hex(F.when(valid, code)), 8, "0")), "UTF-32")
+        value = F.coalesce(point, F.try_element_at(names, name))
+        return F.coalesce(F.concat(value, F.substring(part, F.length(name) + 2, F.length(part))), F.concat(F.lit("&"), part))
+
+    parts = F.split(text, "&")
+    rest = F.transform(F.slice(parts, 2, F.size(parts)), decoded)
+    return F.when(F.contains(text, F.lit("&")), F.concat(parts[0], F.array_join(rest, ""))).otherwise(text)
 
 
 def squeeze(text: Column) -> Column:
@@ -157,18 +146,30 @@ def html_text(html: Column) -> Column:
     return squeeze(decode_entities(without_tags(html)))
 
 
-def html_head(html: Column) -> Column:
-    """The page up to the end of its head; all of it if that end is not marked."""
-    return F.split(html, r"(?i)</head\s*>", 2)[0]
+def without_hidden(html: Column) -> Column:
+    """A page without scripts, styles and comments: a tag that only looks like one is gone."""
+    return F.regexp_replace(html, _HIDDEN, " ")
+
+
+def raw_title(page: Column) -> Column:
+    return F.regexp_extract(page, rf"(?i)<title\b{_ATTRIBUTES}>([^<]*)", 1)
+
+
+def meta_tags(page: Column) -> Column:
+    """The attributes of every ``<meta>`` of a page."""
+    return F.regexp_extract_all(page, F.lit(rf"(?i)<meta\b({_ATTRIBUTES})>"), F.lit(1))
 
 
-def raw_title(head: Column) -> Column:
-    return F.regexp_extract(head, r"(?i)<title\b[^<>]*>([^<]*)", 1)
+def _attribute(tag: Column, name: str) -> Column:
+    """The value of an attribute in double, single or no quotes, ``''`` when absent."""
+    pattern = rf"""(?is)(?:^|[\s"'/]){name}\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
+    return F.concat(*[F.regexp_extract(tag, pattern, group) for group in (1, 2, 3)])
 
 
-def raw_meta(head: Column, name: str) -> Column:
-    """The content of ``<meta name="...">``, ``''`` when absent."""
-    return F.regexp_extract(head, rf'(?i)<meta\s+name="{name}"\s+content="([^"<>]*)"', 1)
+def raw_meta(tags: Column, name: str) -> Column:
+    """The content of the first ``<meta>`` of that name, in any spelling; null when absent."""
+    named = F.filter(tags, lambda tag: F.lower(F.trim(_attribute(tag, "name"))) == name)
+    return _attribute(F.get(named, 0), "content")
 
 
 def present(text: Column) -> Column:

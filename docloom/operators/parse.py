@@ -45,9 +45,10 @@ def route(path: Column) -> Column:
 
 def _with_facts(df: DataFrame, html: Column) -> DataFrame:
     """Add the metadata columns. Steps of their own, so that no search is done twice."""
-    raw = {name: T.raw_meta(F.col("_head"), name) for name in META_NAMES}
-    found = df.withColumn("_head", T.html_head(html)).withColumns({"title": T.raw_title(F.col("_head")), **raw})
-    return found.withColumns({name: T.present(F.col(name)) for name in ["title", *META_NAMES]}).drop("_head")
+    raw = {name: T.raw_meta(F.col("_tags"), name) for name in META_NAMES}
+    found = df.withColumn("_shown", T.without_hidden(html)).withColumn("_tags", T.meta_tags(F.col("_shown")))
+    found = found.withColumns({"title": T.raw_title(F.col("_shown")), **raw})
+    return found.withColumns({name: T.present(F.col(name)) for name in ["title", *META_NAMES]}).drop("_shown", "_tags")
 
 
 def html_metadata(df: DataFrame, html: str = "html") -> DataFrame:

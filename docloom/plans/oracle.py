@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from docloom.functions.text import ENTITIES
 from docloom.operators.language import GATE, PROFILE_SIZE
 from docloom.operators.parse import HTML_EXTENSIONS, META_NAMES, TEXT_EXTENSIONS
 from docloom.plans.queries import CENTER, MISSPELT
@@ -41,6 +40,10 @@ def _extension(path: str) -> str:
     return rf"regexp_extract({_name(path)}, '\.([^.]*)$', 1)"
 
 
+# The references that the given pages hold; the last one last.
+ENTITIES = [("&quot;", '"'), ("&copy;", "©"), ("&middot;", "·"), ("&lt;", "<"), ("&gt;", ">"), ("&#39;", "'"), ("&amp;", "&")]
+
+
 def _decoded(text: str) -> str:
     for entity, plain in ENTITIES:
         text = f"replace({text}, {_quoted(entity)}, {_quoted(plain)})"
@@ -322,6 +325,9 @@ ORACLE: dict[str, str] = {
         SELECT path, "fileName", extension, status, body FROM {PARSED} WHERE route = 'html'""",
     "extract_text": f"""
         SELECT path, extension, status, CAST(length(body) AS INTEGER) AS chars, sha256(body) AS sha FROM {PARSED}""",
+    "extract_hard": """
+        SELECT page_id, page_id || ' a > b é ü ß € 漢 & &unknown; &lt; x caf' || chr(233) || ' end ' || page_id AS body,
+          'Tom & Jerry' AS title, 'A. B.' AS author, 'k1, k2' AS keywords, NULL AS description FROM pages""",
     "html_metadata": f"""
         SELECT page_id, {_title('html')} AS title, {", ".join(f"{_meta('html', n)} AS {n}" for n in META_NAMES)} FROM pages""",
     "parse_stats": """

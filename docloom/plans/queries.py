@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from docloom.functions import geo
 from docloom.functions import paths as P
+from docloom.functions.text import html_text
 from docloom.operators import clustering, facets, index, language, parse, search, spelling, words
 from docloom.plans import fixtures as X
 from docloom.session import scratch_path
@@ -292,6 +293,24 @@ def extract_text(spark, sf_dir):
     )
 
 
+# Spellings that the given pages do not have; %d stands for the page.
+HARD_PAGE = (
+    "<html><head><script>var s = '</head><meta name=\"author\" content=\"no\">';</script><!-- <title>no</title> -->"
+    "<title lang='x'>Tom &amp; Jerry</title></head><body><meta content='A. B.' name=author>"
+    '<META data-x="1" NAME = "Keywords" CONTENT = "k1, k2"/><p title="x > y" class=\'a"b\'>%d a &gt; b &#233; &uuml; &szlig; '
+    "&#x20AC; &#28450; &amp; &unknown; &amp;lt; x<img alt='1 > 0' src=y> caf&eacute;</p> end %d</body></html>"
+)
+
+
+@query
+def extract_hard(spark, sf_dir):
+    """A page with unusual spellings for every given page: text and metadata."""
+    page_id = F.col("page_id").cast("string")
+    hard = X.table(spark, sf_dir, "pages").select("page_id", F.replace(F.lit(HARD_PAGE), F.lit("%d"), page_id).alias("html"))
+    found = parse.html_metadata(hard)
+    return found.select("page_id", html_text(F.col("html")).alias("body"), "title", "author", "keywords", "description")
+
+
 @query
 def html_metadata(spark, sf_dir):
     found = parse.html_metadata(X.table(spark, sf_dir, "pages"))
