@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 from itertools import islice
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 
 from docloom.functions import text as T
 from docloom.functions.paths import doc_id, path_words
+from docloom.session import materialize
 
 # What a document gets when no language or cluster table is given.
 NO_LANGUAGE = ""
@@ -139,7 +141,9 @@ def write_index(docs: DataFrame, path: str, mode: str = "errorifexists", shard_c
 
 
 def upsert_index(batch: DataFrame, path: str, shard_chars: int = SHARD_CHARS) -> None:
-    """Add a batch to a written index. A row replaces the stored one with the same id.
+    """Add a batch to written index rows. A row replaces the stored one with the same id.
+
+    For rows alone; an ``Index``, whose words must follow, has ``update``.
 
     Only the shards that the batch touches are read and rewritten. Their names are
     collected: 16 to the power of ``shard_chars`` at most.
@@ -228,6 +232,12 @@ class Index:
 
     ``documents`` has the index rows by shard, ``postings`` the words by bucket, ``terms``
     each word's document frequency, ``stats`` one row per field.
+
+    An index is a row of versions, each a folder with these four tables. The first holds all
+    documents; each later one holds a batch of new and changed documents, and in ``terms`` and
+    ``stats`` the differences it makes. Rows of a document that a later version holds are passed over
+    when reading. A version counts once its number is in the list ``versions``, which is the last
+    thing written, so a job that fails on the way leaves the index as it was.
     """
 
     documents: DataFrame
@@ -236,6 +246,8 @@ class Index:
     stats: DataFrame
     buckets: int = BUCKETS
     shard_chars: int = SHARD_CHARS
+    path: str = ""
+    version: int = 0
 
     @staticmethod
     def build(
@@ -247,29 +259,92 @@ class Index:
     ) -> Index:
         """Write the index below ``path``. ``unique_ids`` says that no id occurs twice.
 
-        Words go to folders by hash, and within a folder files are sorted by word: a query
-        opens the folders of its words and skips all but their row groups. Common words
-        make some folders large; the rebalance step gives those more tasks and files.
+        Words go to folders by hash, and in a folder to files by ranges of words: a query
+        opens the folders of its words, and there the file or two that have the word. A
+        very common word spreads over as many files as it needs.
         """
         spark = docs.sparkSession
-        write_index(docs if unique_ids else latest(docs), f"{path}/documents", shard_chars=shard_chars)
-        stored = spark.read.parquet(f"{path}/documents")
-        _write_by_bucket(postings(stored, buckets), f"{path}/postings")
-        words = spark.read.parquet(f"{path}/postings")
-        frequency = words.groupBy("bucket", "field", "term").agg(F.count(F.lit(1)).alias("df"))
-        _write_by_bucket(frequency, f"{path}/terms")
-        lengths = words.groupBy("field").agg(F.sum("tf").alias("total_len"))
-        documents = stored.agg(F.count(F.lit(1))).scalar()
-        lengths.select("field", "total_len", documents.alias("n_docs")).write.parquet(f"{path}/stats")
+        name = _write_version(docs, path, 0, buckets, shard_chars, unique_ids)
+        _commit(spark, path, 0, name, "errorifexists")
         return Index.open(spark, path, buckets, shard_chars)
 
     @staticmethod
     def open(spark: SparkSession, path: str, buckets: int = BUCKETS, shard_chars: int = SHARD_CHARS) -> Index:
-        """``buckets`` and ``shard_chars`` as the index was built."""
-        tables = [spark.read.parquet(f"{path}/{t}") for t in ("documents", "postings", "terms", "stats")]
-        return Index(*tables, buckets, shard_chars)
-
-
-def _write_by_bucket(df: DataFrame, path: str) -> None:
-    sized = df.hint("rebalance", "bucket").sortWithinPartitions("bucket", "term", "field")
-    sized.write.partitionBy("bucket").parquet(path)
+        """The newest state; ``buckets`` and ``shard_chars`` as the index was built."""
+        versions = sorted((r["version"], r["name"]) for r in spark.read.parquet(f"{path}/versions").collect())
+        tables = [[spark.read.parquet(f"{path}/{name}/{t}") for _, name in versions] for t in ("documents", "postings", "terms", "stats")]
+        documents, words, terms, stats = tables
+        if len(versions) > 1:
+            ids = [d.select("id") for d in documents]
+            terms = [_all(terms).groupBy("bucket", "field", "term").agg(F.sum("df").alias("df")).filter(F.col("df") > 0)]
+            stats = [_all(stats).groupBy("field").agg(F.sum("total_len").alias("total_len"), F.max("n_docs").alias("n_docs"))]
+            documents = [_newest(documents, ids, "id")]
+            words = [_newest(words, [i.select(F.unhex("id").alias("doc")) for i in ids], "doc")]
+        return Index(documents[0], words[0], terms[0], stats[0], buckets, shard_chars, path, versions[-1][0])
+
+    def update(self, batch: DataFrame) -> Index:
+        """The index with a batch of rows added; a row replaces the one with the same id.
+
+        Written is what the batch brings. Of the rest only the documents that it replaces are read,
+        to take their words out of the counts.
+        """
+        spark, version = batch.sparkSession, self.version + 1
+        name = _write_version(batch, self.path, version, self.buckets, self.shard_chars, False, self)
+        _commit(spark, self.path, version, name, "append")
+        return Index.open(spark, self.path, self.buckets, self.shard_chars)
+
+    def compact(self, path: str) -> Index:
+        """The same documents as an index of one version at a new place."""
+        docs = self.documents.drop("shard")
+        return Index.build(docs, path, self.buckets, self.shard_chars, unique_ids=True)
+
+
+def _all(tables: list[DataFrame]) -> DataFrame:
+    first, *rest = tables
+    for table in rest:
+        first = first.unionByName(table)
+    return first
+
+
+def _newest(tables: list[DataFrame], ids: list[DataFrame], key: str) -> DataFrame:
+    """The rows of each version whose document is in no later one."""
+    kept = [t.join(_all(ids[v + 1 :]), key, "left_anti") for v, t in enumerate(tables[:-1])]
+    columns = tables[0].columns
+    return _all([t.select(*columns) for t in [*kept, tables[-1]]])
+
+
+def _commit(spark: SparkSession, path: str, version: int, name: str, mode: str) -> None:
+    row = spark.range(version, version + 1, 1, 1).select(F.col("id").alias("version"), F.lit(name).alias("name"))
+    row.write.mode(mode).parquet(f"{path}/versions")
+
+
+def _write_version(
+    docs: DataFrame, path: str, version: int, buckets: int, shard_chars: int, unique_ids: bool, before: Index | None = None
+) -> str:
+    """The four tables of one version; with ``before`` their counts are differences to it. Gives its folder's name."""
+    name = f"v{version}-{uuid.uuid4().hex}"
+    spark, folder = docs.sparkSession, f"{path}/{name}"
+    write_index(docs if unique_ids else latest(docs), f"{folder}/documents", shard_chars=shard_chars)
+    stored = spark.read.parquet(f"{folder}/documents")
+    # Written once more on the way: ranges are found by a sample, for which texts are not cut again.
+    _write_by_bucket(materialize(postings(stored, buckets), "postings"), f"{folder}/postings", "doc")
+    words = spark.read.parquet(f"{folder}/postings").select("bucket", "field", "term", "tf", F.lit(1).alias("n"))
+    documents = stored.agg(F.count(F.lit(1))).scalar()
+    if before is not None:
+        old = before.documents.join(stored.select("shard", "id"), ["shard", "id"], "left_semi")
+        gone = postings(old, buckets).select("bucket", "field", "term", (-F.col("tf")).alias("tf"), F.lit(-1).alias("n"))
+        words = materialize(words.unionByName(gone), "differences")
+        documents = documents + before.documents.join(stored.select("shard", "id"), ["shard", "id"], "left_anti").agg(
+            F.count(F.lit(1))
+        ).scalar()
+    frequency = words.groupBy("bucket", "field", "term").agg(F.sum("n").alias("df")).filter(F.col("df") != 0)
+    _write_by_bucket(frequency, f"{folder}/terms")
+    lengths = words.groupBy("field").agg(F.sum("tf").alias("total_len"))
+    lengths.select("field", "total_len", documents.alias("n_docs")).write.parquet(f"{folder}/stats")
+    return name
+
+
+def _write_by_bucket(df: DataFrame, path: str, *more: str) -> None:
+    """By ranges of word and, for a word with many rows, of ``more``: a word is in few files."""
+    order = ["bucket", "term", "field", *more]
+    df.repartitionByRange(*order).sortWithinPartitions(*order).write.partitionBy("bucket").parquet(path)

@@ -131,9 +131,12 @@ def _detected(source: str, margin: float | None) -> str:
 
 # --- search ------------------------------------------------------------------------
 
-TOKENS = rf"""
-  docs AS MATERIALIZED (SELECT sha256(path) AS id, path, body, lang, {_extension('path')} AS extension,
-             coalesce(cluster, -1) AS cluster FROM {DOCS} LEFT JOIN {CLUSTERS} c USING (path)),
+
+
+def _tokens(docs: str) -> str:
+    """CTEs over ``docs``, a query that gives at least ``id``, ``path`` and ``body``."""
+    return rf"""
+  docs AS MATERIALIZED ({docs}),
   cut AS (SELECT id, 'text' AS field, regexp_extract_all(lower(body), '{WORD}') AS words FROM docs
           UNION ALL
           SELECT id, 'path', regexp_extract_all(lower(translate(path, './\_', '    ')), '{WORD}') FROM docs),
@@ -144,6 +147,19 @@ TOKENS = rf"""
   lens AS (SELECT field, count(*) / max(n) AS avg_len FROM tok, n GROUP BY field)"""
 
 
+TOKENS = _tokens(
+    f"""SELECT sha256(path) AS id, path, body, lang, {_extension('path')} AS extension, coalesce(cluster, -1) AS cluster
+        FROM {DOCS} LEFT JOIN {CLUSTERS} c USING (path)"""
+)
+# Labelled documents with another word for "the", and every tenth document once more as a new one.
+UPDATED = _tokens(
+    rf"""SELECT sha256(path) AS id, path, body FROM (
+          SELECT path, CASE WHEN doc_id IN (SELECT doc_id FROM labels) THEN replace(body, ' the ', ' updated ')
+                       ELSE body END AS body FROM {DOCS}
+          UNION ALL SELECT path || '.new', 'updated of' FROM {DOCS} WHERE doc_id % 10 = 0)"""
+)
+
+
 def _weight(terms: list[str]) -> str:
     """``(field, idf)`` of a clause: the summed weights of its distinct places."""
     each = " UNION ALL ".join(f"SELECT {_quoted(t)} AS term" for t in terms)
@@ -366,6 +382,8 @@ ORACLE: dict[str, str] = {
         SELECT field, term, id, count(*) AS tf, CAST(dl AS INTEGER) AS dl, string_agg(CAST(pos AS VARCHAR), ' ' ORDER BY pos) AS positions
         FROM tok GROUP BY field, term, id, dl""",
     "search_terms": f"WITH {TOKENS} SELECT id, round(raw, 6) AS score FROM {SEARCH}",
+    "search_after_update": f"""
+        WITH {UPDATED} SELECT id, round(raw, 6) AS score FROM {_scores((["updated"],), (["the"],), (["of"],))}""",
     "search_phrase": f"""
         WITH {TOKENS} SELECT id, round(raw, 6) AS score FROM {_scores((["of", "the"],), (["de", "la"],))}""",
     "search_proximity": f"""

@@ -5,7 +5,7 @@ from collections import Counter
 
 from pyspark.sql import functions as F
 
-from docloom.operators.index import enrich, index_documents, with_defaults
+from docloom.operators.index import Index, enrich, index_documents, with_defaults
 from docloom.operators.parse import with_file_facts
 
 
@@ -64,3 +64,35 @@ def test_texts_move_once(spark, tmp_path):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     exchanges = [line for line in tree.splitlines() if "Exchange hashpartitioning" in line]
     assert len(exchanges) == 3 and tree.count("SortMergeJoin") == 2
+
+
+def test_a_word_is_in_few_files(spark, tmp_path):
+    rows = [(f"/d{i}.txt", " ".join(f"w{(i * 7 + j) % 600}" for j in range(40)) + " common", "en") for i in range(400)]
+    docs = with_file_facts(spark.createDataFrame(rows, "path string, body string, lang string").repartition(4))
+    built = Index.build(index_documents(docs), str(tmp_path / "index"), buckets=2, shard_chars=1)
+    files = built.postings.where("field = 'text'").select("term", F.input_file_name().alias("file")).distinct()
+    counts = sorted(r["count"] for r in files.groupBy("term").count().collect())
+    assert counts[len(counts) // 2] == 1 and counts[-1] <= 4
+    assert built.postings.where("term = 'common'").count() == 400
+
+
+def test_an_update_reaches_search(spark, tmp_path):
+    from docloom.operators import search
+
+    def rows(*pairs):
+        return index_documents(with_file_facts(spark.createDataFrame([(p, b, "en") for p, b in pairs], "path string, body string, lang string")))
+
+    def found(index, text):
+        paths = {hashlib.sha256(p.encode()).hexdigest(): p for p in ("/a", "/b", "/c", "/d")}
+        return {paths[r["id"]]: r["score"] for r in search.hits(index, text).collect()}
+
+    built = Index.build(rows(("/a", "alpha beta"), ("/b", "beta beta x"), ("/c", "alpha")), str(tmp_path / "i"), buckets=2, shard_chars=1)
+    after = built.update(rows(("/a", "gamma"), ("/d", "gamma delta"))).update(rows(("/d", "delta"), ("/c", "alpha alpha")))
+    assert set(found(after, "alpha")) == {"/c"} and set(found(after, "gamma")) == {"/a"} and set(found(after, "delta")) == {"/d"}
+    fresh = after.compact(str(tmp_path / "j"))
+    final = Index.build(rows(("/a", "gamma"), ("/b", "beta beta x"), ("/c", "alpha alpha"), ("/d", "delta")), str(tmp_path / "k"), buckets=2, shard_chars=1)
+    for text in ("alpha", "beta gamma", "x delta"):
+        assert found(after, text) == found(fresh, text) == found(final, text) == found(Index.open(spark, str(tmp_path / "i"), 2, 1), text)
+    terms = lambda i: {(r["field"], r["term"], r["df"]) for r in i.terms.collect()}
+    assert terms(after) == terms(final) and after.documents.count() == 4
+    assert sorted(map(tuple, after.stats.collect())) == sorted(map(tuple, final.stats.collect()))
