@@ -24,13 +24,15 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
-from pyspark.sql import types as T
 
 from docloom.llm.common import narrow
 
-# Longer strings are rare and are not kept; neither cache grows beyond this many entries.
+# Longer strings are rare and are not kept; a cache has two generations of this many entries at most.
 KEPT_LENGTH = 40
-KEPT_ENTRIES = 400_000
+KEPT_WORDS = 300_000
+KEPT_CHUNKS = 100_000
+# Rows of a batch that are worked on together: the ids of a long batch would be larger than its texts.
+ROWS_AT_ONCE = 512
 
 # Fixed value: the pattern of the vocabularies at hand, under which a space only ever begins a
 # pre-token or is white space. The two shortcuts below hold for it; other patterns go without.
@@ -46,9 +48,9 @@ _PLAIN = re.compile(r"( ?[A-Za-z]+)([!-/:-@\[-`{-~]*)").fullmatch
 class Recent(dict):
     """Values made by ``make`` for short keys, kept while in use: two generations of bounded size."""
 
-    def __init__(self, make: Callable[[str], bytes]):
+    def __init__(self, make: Callable[[str], bytes], most: int):
         super().__init__()
-        self._make, self._older = make, {}
+        self._make, self._most, self._older = make, most, {}
 
     def __missing__(self, key: str) -> bytes:
         value = self._older.get(key)
@@ -56,7 +58,7 @@ class Recent(dict):
             value = self._make(key)
             if len(key) > KEPT_LENGTH:
                 return value
-        if len(self) >= KEPT_ENTRIES:
+        if len(self) >= self._most:
             self._older = dict(self)
             self.clear()
         self[key] = value
@@ -120,8 +122,8 @@ class BytePairCodec:
         self._tokens: list[bytes] = [b""] * (max(ranks.values()) + 1)
         for token, rank in ranks.items():
             self._tokens[rank] = token
-        self._words = Recent(lambda word: np.array(self.merge(word.encode()), "<u4").tobytes())
-        self._chunks = Recent(self._cut)
+        self._words = Recent(lambda word: np.array(self.merge(word.encode()), "<u4").tobytes(), KEPT_WORDS)
+        self._chunks = Recent(self._cut, KEPT_CHUNKS)
 
     def merge(self, piece: bytes) -> list[int]:
         """The ids of one pre-token."""
@@ -196,17 +198,19 @@ def codec(path: str, pattern: str) -> BytePairCodec:
     return BytePairCodec(ranks, pattern)
 
 
-def _per_row(df: DataFrame, column: str, out: str, make: Callable[[object], bytes]) -> DataFrame:
-    """``df`` with a binary column ``out`` made from ``column``."""
-    names = df.columns
-    at = names.index(column)
+def _made(df: DataFrame, column: str, out: list[str], make: Callable[[object], tuple[bytes, ...]]) -> DataFrame:
+    """``(doc_id, *out)``: binary columns made from the values of ``column``."""
+    schema = f"doc_id {dict(df.dtypes)['doc_id']}, " + ", ".join(f"{o} binary" for o in out)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = pa.array([make(v) for v in batch.column(at).to_pylist()], pa.binary())
-            yield pa.RecordBatch.from_arrays([*batch.columns, made], [*names, out])
+            for begin in range(0, batch.num_rows, ROWS_AT_ONCE):
+                part = batch.slice(begin, ROWS_AT_ONCE)
+                rows = [make(v) for v in part.column(column).to_pylist()]
+                made = [pa.array(c, pa.binary()) for c in zip(*rows)]
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), *made], ["doc_id", *out])
 
-    return df.mapInArrow(run, T.StructType([*df.schema.fields, T.StructField(out, T.BinaryType())]))
+    return df.mapInArrow(run, schema)
 
 
 def encode(docs: DataFrame, path: str, pattern: str, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -214,10 +218,19 @@ def encode(docs: DataFrame, path: str, pattern: str, key: str = "doc_id", text:
 
     ``path`` is a file of ranks that every executor can open, ``pattern`` makes the pre-tokens.
     """
-    rows = narrow(docs, doc_id=key, text=text)
-    return _per_row(rows, "text", "ids", lambda t: codec(path, pattern).encode(t or "")).drop("text")
+    return _made(narrow(docs, doc_id=key, text=text), "text", ["ids"], lambda t: (codec(path, pattern).encode(t or ""),))
 
 
 def decode(encoded: DataFrame, path: str, pattern: str, key: str = "doc_id", ids: str = "ids") -> DataFrame:
-    """``(doc_id, ids, bytes)``: what packed ids stand for; null ids stand for nothing."""
-    return _per_row(narrow(encoded, doc_id=key, ids=ids), "ids", "bytes", lambda i: codec(path, pattern).decode(i or b""))
+    """``(doc_id, bytes)``: what packed ids stand for; null ids stand for nothing."""
+    return _made(narrow(encoded, doc_id=key, ids=ids), "ids", ["bytes"], lambda i: (codec(path, pattern).decode(i or b""),))
+
+
+def round_trip(docs: DataFrame, path: str, pattern: str, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``(doc_id, ids, bytes)``: the ids of ``encode`` and what ``decode`` makes of them, in one pass."""
+
+    def both(t: str | None) -> tuple[bytes, bytes]:
+        ids = codec(path, pattern).encode(t or "")
+        return ids, codec(path, pattern).decode(ids)
+
+    return _made(narrow(docs, doc_id=key, text=text), "text", ["ids", "bytes"], both)

@@ -17,8 +17,8 @@ PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    encoded = bpe.encode(table(spark, sf_dir, "documents"), BYTE_BPE, public_tokenizers.PATTERN)
-    return bpe.decode(encoded, BYTE_BPE, public_tokenizers.PATTERN).select(
+    docs = table(spark, sf_dir, "documents")
+    return bpe.round_trip(docs, BYTE_BPE, public_tokenizers.PATTERN).select(
         "doc_id",
         (F.length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),
