@@ -29,8 +29,8 @@ from docloom.llm.common import narrow
 
 # Longer strings are rare and are not kept; a cache has two generations of this many entries at most.
 KEPT_LENGTH = 40
-KEPT_WORDS = 300_000
-KEPT_CHUNKS = 100_000
+KEPT_WORDS = 500_000
+KEPT_CHUNKS = 300_000
 # Rows of a batch that are worked on together: the ids of a long batch would be larger than its texts.
 ROWS_AT_ONCE = 512
 
