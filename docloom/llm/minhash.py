@@ -4,13 +4,15 @@
    hash. An empty bin borrows from the first non-empty one in a random sequence of bins of its
    own, the same for all documents. Bands of bins are hashed into bucket keys.
 2. Documents with equal sets are one class, represented by its smallest id.
-3. Every bucket gives star-shaped candidates: its smallest id against each other member, so as
-   many pairs as members. Pairs whose sizes rule out the threshold go; the others are confirmed on
-   the full sets, and links make components.
-4. A star alone can miss a link between two members that are both unlike the centre. So wherever
-   members of one bucket are still in different components, every member outside the bucket's
-   largest component is compared with the members of the other components. Pairs within a
-   component need no comparison, they change nothing.
+3. Every bucket gives star-shaped candidates: one member, chosen by hash and so another one in each
+   bucket, against each other member; as many pairs as members. Pairs whose sizes rule out the
+   threshold go; the others are confirmed on the full sets, and links make components.
+4. Stars can miss a link between two members that are both unlike the centres. So all members of
+   buckets that still hold several components are compared exactly, by the rarest shingles: of
+   two linked sets, each has one of the other's among its own ``n - ceil(0.8 n) + 1`` rarest, in
+   any order that is the same for all. Members that share such a shingle and are in different
+   components are confirmed on the full sets. A family of near copies, each with changes of its own, meets
+   in every bucket, but its members' rarest shingles are those changes, so they give no pairs.
 
 With 42 bands of 6 bins two documents at similarity 0.8 share no bucket once in 350,000 pairs, and
 at 0.9 never in practice. Candidates are not limited in number, and links are exact.
@@ -29,7 +31,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from docloom.llm.common import column_bytes, map_batches, mix, narrow, signed
@@ -153,6 +155,49 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return joined.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
+def _of_like_size(pairs: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
+    """The pairs ``(a, b)`` whose sizes allow a link."""
+    joined = pairs.join(sizes.select(F.col("rep").alias("a"), F.col("n").alias("na")), "a")
+    joined = joined.join(sizes.select(F.col("rep").alias("b"), F.col("n").alias("nb")), "b")
+    return joined.where(_could_link("na", "nb", percent)).select("a", "b")
+
+
+def _sharing_rare(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs ``(a, b)`` of members ``(rep, n, c)`` of different ``c`` that can be linked, by their rarest shingles."""
+
+    def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [np.frombuffer(h, np.int64) for h in batch.column("hashes").to_pylist()]
+            rep = np.repeat(batch.column("doc_id").to_numpy(), [len(f) for f in found])
+            for begin in range(0, len(rep), 100_000):
+                tokens = np.concatenate(found)[begin : begin + 100_000]
+                yield pa.RecordBatch.from_arrays([pa.array(rep[begin : begin + 100_000]), pa.array(tokens)], ["rep", "token"])
+
+    own = sets.join(members.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    tokens = own.mapInArrow(explode, "rep long, token long").distinct()
+    # A shingle of one member only has no partner, but it does count among the rarest.
+    often = tokens.groupBy("token").agg(F.count("*").alias("f")).where("f > 1")
+    shared = tokens.join(often, "token").join(members, "rep")
+    whole = Window.partitionBy("rep")
+    rank = F.row_number().over(whole.orderBy("f", "token"))
+    least = F.ceil(F.col("n") * percent / 100)
+    rare = shared.withColumn("rank", rank).withColumn("held", F.count("*").over(whole)).where(F.col("rank") <= F.col("held") - least + 1)
+    # The place among all shingles of the member, those without a partner first.
+    rare = materialize(rare.select("token", "rep", "n", "c", (F.col("n") - F.col("held") + F.col("rank")).alias("i")), "rare")
+
+    # In each shingle only members outside its largest component are compared with the others.
+    held = rare.groupBy("token", "c").agg(F.count("*").alias("held"))
+    largest = held.groupBy("token").agg(F.max_by("c", F.struct("held", "c")).alias("main"), F.count("*").alias("parts"))
+    mixed = rare.join(largest.where("parts > 1").select("token", "main"), "token")
+    outside = mixed.where("c <> main").select("token", F.col("rep").alias("a"), F.col("n").alias("na"), F.col("c").alias("ca"), F.col("i").alias("ia"))
+    others = mixed.select("token", F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("c").alias("cb"), F.col("i").alias("ib"), "main")
+    # Two members outside the largest component meet once, by the order of their ids. Where the first
+    # shingle they share is at these places, they share no more than it and what follows in either.
+    enough = (1 + F.least(F.col("na") - F.col("ia"), F.col("nb") - F.col("ib"))) * (100 + percent) >= (F.col("na") + F.col("nb")) * percent
+    meet = outside.join(others, "token").where("ca <> cb and (cb = main or a < b)").where(_could_link("na", "nb", percent) & enough)
+    return meet.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, bands: int = BANDS, rows: int = ROWS,
                     key: str = "doc_id", text: str = "text") -> DataFrame:
     """``(doc_id, n_shingles, component_id, kept)`` of every document.
@@ -171,35 +216,31 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, bands: in
     buckets = classes.select("rep", "n", F.explode("keys").alias("bucket"))
 
     # Members of buckets with several classes.
-    several = buckets.groupBy("bucket").agg(F.min("rep").alias("centre"), F.max("rep").alias("last")).where("centre <> last")
-    members = materialize(buckets.join(several.select("bucket", "centre"), "bucket"), "members")
+    several = buckets.groupBy("bucket").agg(
+        F.min_by("rep", F.xxhash64("bucket", "rep")).alias("centre"), F.min("rep").alias("first"), F.max("rep").alias("last")
+    )
+    members = buckets.join(several.where("first <> last").select("bucket", "centre"), "bucket")
+    members = materialize(members, "members")
 
     # Full sets of those members only.
     wanted = members.select(F.col("rep").alias("doc_id")).distinct()
     sets = materialize(_sets(narrowed.join(wanted, "doc_id", "left_semi"), size), "sets")
-
     sizes = members.select("rep", "n").distinct()
-    stars = members.where("rep <> centre").select(F.col("centre").alias("a"), F.col("rep").alias("b"), F.col("n").alias("m"))
-    stars = stars.distinct().join(sizes.select(F.col("rep").alias("a"), "n"), "a").where(_could_link("n", "m", percent))
-    stars = materialize(stars.select("a", "b"), "stars")
-    star_links = materialize(_confirmed(stars, sets, percent), "links")
-    found = components(star_links)
+
+    stars = members.where("rep <> centre").select(F.least("centre", "rep").alias("a"), F.greatest("centre", "rep").alias("b"))
+    tested = materialize(_of_like_size(stars.distinct(), sizes, percent), "stars")
+    links = materialize(_confirmed(tested, sets, percent), "links")
+    found = components(links)
 
     # What stars leave open: members of one bucket in different components.
     placed = members.join(found.select(F.col("id").alias("rep"), "component"), "rep", "left")
-    placed = materialize(placed.select("bucket", "rep", "n", F.coalesce("component", "rep").alias("c")), "placed")
-    counts = placed.groupBy("bucket", "c").count()
-    largest = counts.groupBy("bucket").agg(F.max_by("c", F.struct("count", "c")).alias("main"), F.count("*").alias("parts")).where("parts > 1")
-    mixed = placed.join(largest.select("bucket", "main"), "bucket")
-    outside = mixed.where("c <> main").select("bucket", F.col("rep").alias("a"), F.col("n").alias("na"), F.col("c").alias("ca"))
-    others = mixed.select("bucket", F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("c").alias("cb"), "main")
-    # Two members outside the largest component meet once, by the order of their ids.
-    meet = outside.join(others, "bucket").where("ca <> cb and (cb = main or a < b)").where(_could_link("na", "nb", percent))
-    open_pairs = meet.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    open_pairs = open_pairs.join(stars, ["a", "b"], "left_anti")
-    more = materialize(_confirmed(open_pairs, sets, percent), "links")
-
-    reached = found if more.isEmpty() else components(star_links.union(more))
+    placed = placed.select("bucket", "rep", "n", F.coalesce("component", "rep").alias("c"))
+    parts = placed.groupBy("bucket").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low <> high")
+    mixed = materialize(placed.join(parts, "bucket", "left_semi").select("rep", "n", "c").distinct(), "mixed")
+    left = _sharing_rare(mixed, sets, percent).join(tested, ["a", "b"], "left_anti")
+    more = materialize(_confirmed(left, sets, percent), "links")
+
+    reached = found if more.isEmpty() else components(links.union(more))
     reps = classes.select(F.col("digest").alias("_digest"), "rep")
     reps = reps.join(reached.select(F.col("id").alias("rep"), "component"), "rep", "left")
     reps = reps.select("_digest", F.coalesce("component", "rep").alias("component"))
