@@ -368,7 +368,7 @@ ORACLE: dict[str, str] = {
     "hashing_tf": f"""
         SELECT path, CAST(len(t) AS INTEGER) AS n_words, CAST(len(t) AS BIGINT) AS tf_sum
         FROM (SELECT path, regexp_extract_all(body, '{WORD}') AS t FROM {DOCS})""",
-    "cluster_documents": f"SELECT path, true AS nearest, true AS stable FROM {DOCS}",
+    "cluster_documents": f"SELECT path, true AS nearest FROM {DOCS}",
     "cluster_sizes": "SELECT count(*) AS documents, 0::BIGINT AS unknown, true AS several FROM documents",
     "cluster_centers": "SELECT CAST(unnest(range(20)) AS INTEGER) AS cluster, 1000::BIGINT AS dims, true AS finite",
     "model_reload": f"SELECT path, true AS same FROM {DOCS}",

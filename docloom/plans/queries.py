@@ -429,11 +429,9 @@ def _clusters(spark, sf_dir):
 
 @query
 def cluster_documents(spark, sf_dir):
-    """Every document with whether its centre is the nearest one, and whether new scoring agrees."""
-    (model, clusters), docs = _clusters(spark, sf_dir), X.texts(spark, sf_dir)
-    again = clustering.assign(model, docs).withColumnRenamed("cluster", "again")
-    checked = clustering.is_nearest(model, docs, clusters).join(clusters, "path").join(again, "path")
-    return checked.select("path", "nearest", (F.col("cluster") == F.col("again")).alias("stable"))
+    """Every document with whether the centre of its cluster is the nearest one."""
+    model, clusters = _clusters(spark, sf_dir)
+    return clustering.is_nearest(model, X.texts(spark, sf_dir), clusters)
 
 
 @query
