@@ -155,13 +155,6 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return joined.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
-def _of_like_size(pairs: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
-    """The pairs ``(a, b)`` whose sizes allow a link."""
-    joined = pairs.join(sizes.select(F.col("rep").alias("a"), F.col("n").alias("na")), "a")
-    joined = joined.join(sizes.select(F.col("rep").alias("b"), F.col("n").alias("nb")), "b")
-    return joined.where(_could_link("na", "nb", percent)).select("a", "b")
-
-
 def _sharing_rare(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs ``(a, b)`` of members ``(rep, n, c)`` of different ``c`` that can be linked, by their rarest shingles."""
 
@@ -216,19 +209,21 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, bands: in
     buckets = classes.select("rep", "n", F.explode("keys").alias("bucket"))
 
     # Members of buckets with several classes.
+    chosen = F.xxhash64("bucket", "rep")
     several = buckets.groupBy("bucket").agg(
-        F.min_by("rep", F.xxhash64("bucket", "rep")).alias("centre"), F.min("rep").alias("first"), F.max("rep").alias("last")
-    )
-    members = buckets.join(several.where("first <> last").select("bucket", "centre"), "bucket")
+        F.min_by("rep", chosen).alias("centre"), F.min_by("n", chosen).alias("centre_n"),
+        F.min("rep").alias("first"), F.max("rep").alias("last"),
+    )
+    members = buckets.join(several.where("first <> last").select("bucket", "centre", "centre_n"), "bucket")
     members = materialize(members, "members")
 
     # Full sets of those members only.
     wanted = members.select(F.col("rep").alias("doc_id")).distinct()
     sets = materialize(_sets(narrowed.join(wanted, "doc_id", "left_semi"), size), "sets")
-    sizes = members.select("rep", "n").distinct()
 
-    stars = members.where("rep <> centre").select(F.least("centre", "rep").alias("a"), F.greatest("centre", "rep").alias("b"))
-    tested = materialize(_of_like_size(stars.distinct(), sizes, percent), "stars")
+    stars = members.where("rep <> centre").where(_could_link("n", "centre_n", percent))
+    stars = stars.select(F.least("centre", "rep").alias("a"), F.greatest("centre", "rep").alias("b"))
+    tested = materialize(stars.distinct(), "stars")
     links = materialize(_confirmed(tested, sets, percent), "links")
     found = components(links)
 
