@@ -5,7 +5,8 @@ presentations (tag, class, id) are one node of the host's tree. For each node th
 many pages it occurs, how its presentation varies (the sequence of its children's presentations) and
 how its content varies (the text below it). Variation is measured as entropy, from 0 if all pages have
 the same to 1 if no two have; the importance of a node is a weighted mean of the two. A branch that
-occurs in ``least_pages`` pages and has an importance below ``low`` is left out of each of its pages.
+occurs in ``least_pages`` pages and has an importance below ``low`` is left out of each of its pages, unless it lies
+in an article or main or holds one. Pages of a host with the same text count once, so copies are no evidence.
 
 Some presentations tell what a branch is before any counting, and keep or lose it on every page:
 ``article`` and ``main`` hold the text where a page has them, while menus, page headers, footers, side
@@ -156,9 +157,17 @@ class Page(HTMLParser):
             keys.append(xxhash.xxh3_64_intdigest(f"{keys[self.parent[e]]:x}/{self.style[e]}") - (1 << 63))
         return keys
 
+    def _plain(self) -> list[bool]:
+        """Which elements may go for a low importance: plain ones that neither lie in an article or main nor hold one."""
+        holds = list(self.root)
+        for e in range(len(self.parent) - 1, 0, -1):
+            if holds[e]:
+                holds[self.parent[e]] = True
+        return [t in PLAIN and not (n or i or h) for t, n, i, h in zip(self.tag, self.never, self.inside, holds)]
+
     def branches(self) -> list[tuple[int, int, int]]:
-        """``(node, presentation, content)`` hashes of the plain branches, one for each node."""
-        plain = [t in PLAIN and not n for t, n in zip(self.tag, self.never)]
+        """``(node, presentation, content)`` hashes of the plain branches that may go, one for each node."""
+        plain = self._plain()
         if not any(plain):
             return []
         shapes: list[list[str]] = [[] for _ in self.parent]
@@ -188,10 +197,10 @@ class Page(HTMLParser):
     def text(self, low: set[int]) -> str:
         """The blocks of the text, without the branches whose node is in ``low``."""
         rooted = any(self.root)
-        keys = self.keys() if low else []
+        keys, plain = (self.keys(), self._plain()) if low else ([], [])
         out = [False] * len(self.parent)
         for e in range(1, len(self.parent)):
-            out[e] = out[self.parent[e]] or self.never[e] or bool(low and self.tag[e] in PLAIN and keys[e] in low)
+            out[e] = out[self.parent[e]] or self.never[e] or bool(low and plain[e] and keys[e] in low)
         blocks: list[str] = []
         parts: list[str] = []
         for e, text in [*self.items, (0, None)]:
@@ -213,25 +222,28 @@ def host_of(url: str | None) -> str | None:
 
 
 def _branches(pages: DataFrame) -> DataFrame:
-    """``(page_id, host, node, presentation, content)`` of the plain branches of every page."""
+    """``(page_id, host, page, node, presentation, content)`` of the plain branches of every page; ``page`` is a hash of its text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at, hosts, rows = [], [], []
             for i, (url, html) in enumerate(zip(batch.column("url").to_pylist(), batch.column("html").to_pylist())):
                 host = host_of(url)
-                found = Page(html).branches() if host and html else []
-                at += [i] * len(found)
-                hosts += [host] * len(found)
-                rows += found
-            columns = list(zip(*rows)) if rows else [(), (), ()]
+                page = Page(html) if host and html else None
+                found = page.branches() if page else []
+                if found:
+                    whole = xxhash.xxh3_64_intdigest(page.text(set())) - (1 << 63)
+                    at += [i] * len(found)
+                    hosts += [host] * len(found)
+                    rows += [(whole, *f) for f in found]
+            columns = list(zip(*rows)) if rows else [(), (), (), ()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("page_id").take(pa.array(at, pa.int64())), pa.array(hosts, pa.string()), *[pa.array(c, pa.int64()) for c in columns]],
-                ["page_id", "host", "node", "presentation", "content"],
+                ["page_id", "host", "page", "node", "presentation", "content"],
             )
 
     kind = dict(pages.dtypes)["page_id"]
-    return pages.mapInArrow(run, f"page_id {kind}, host string, node long, presentation long, content long")
+    return pages.mapInArrow(run, f"page_id {kind}, host string, page long, node long, presentation long, content long")
 
 
 def importance(branches: DataFrame) -> DataFrame:
@@ -253,7 +265,10 @@ def main_text(pages: DataFrame, least_pages: int = LEAST_PAGES, low: float = LOW
     """``(page_id, url, text, n_chars)`` of every page."""
     rows = narrow(pages, page_id=key, url=url, html=html)
     branches = _branches(rows)
-    unimportant = importance(branches).where((F.col("pages") >= least_pages) & (F.col("importance") < low)).select("host", "node")
+    # Copies may still differ in adverts and the like: the least of their hashes stands for all.
+    least = branches.groupBy("host", "page", "node").agg(F.min(F.struct("presentation", "content")).alias("least"))
+    distinct = least.select("host", "node", "least.presentation", "least.content")
+    unimportant = importance(distinct).where((F.col("pages") >= least_pages) & (F.col("importance") < low)).select("host", "node")
     own = branches.select("page_id", "host", "node").join(unimportant, ["host", "node"], "left_semi")
     lows = own.groupBy(F.col("page_id").alias("_id")).agg(F.collect_set("node").alias("_low"))
 

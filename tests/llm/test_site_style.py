@@ -67,6 +67,27 @@ def test_copied_articles_stay(spark):
     assert {r["text"] for r in found.collect()} == {"Title\n\nOne text on all pages"}
 
 
+PARTS = "<div class=body><p>In a div</p></div><ul><li>In a list</ul><table><tr><td>In a table</table>"
+
+
+@pytest.mark.parametrize("body", [f"<article>{PARTS}</article>", f"<div class=wrap><main>{PARTS}</main></div>", PARTS])
+def test_copies_lose_no_text(spark, body):
+    found = site_style.main_text(spark.createDataFrame([(i, "http://a.example/", body) for i in range(20)], SCHEMA))
+    assert {r["text"] for r in found.collect()} == {"In a div\n\nIn a list\n\nIn a table"}
+
+
+def test_copies_do_not_outvote_other_pages(spark):
+    made = [(i, "http://a.example/", page(0, f"<div class=post><p>Text {max(i, 80)}</p></div>")) for i in range(100)]
+    found = {r["page_id"]: r["text"] for r in site_style.main_text(spark.createDataFrame(made, SCHEMA)).collect()}
+    assert all(found[i] == f"Text {max(i, 80)}" for i in range(100))
+
+
+def test_parts_alike_in_articles_stay(spark):
+    made = [(i, "http://a.example/", f"<article><p>Own {i}</p><ul><li>Same list</ul></article>") for i in range(8)]
+    found = {r["page_id"]: r["text"] for r in site_style.main_text(spark.createDataFrame(made, SCHEMA)).collect()}
+    assert all(found[i] == f"Own {i}\n\nSame list" for i in range(8))
+
+
 def test_awkward_rows(spark):
     made = [*rows(6), (6, None, "<p>x</p>"), (7, "http://[bad", "<p>y</p>"), (8, "http://a/", None), (9, "http://a/", ""), (None, "http://a/", "<p>z</p>"), rows(1)[0]]
     pages = spark.createDataFrame(made, SCHEMA).withColumn("text", F.lit("clash")).withColumn("host", F.lit("clash")).withColumn("_low", F.lit(1))
