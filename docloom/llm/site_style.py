@@ -9,10 +9,12 @@ occurs in ``least_pages`` pages and has an importance below ``low`` is left out
 in an article or main or holds one. Pages of a host with the same text count once, so copies are no evidence.
 
 Some presentations tell what a branch is before any counting, and keep or lose it on every page:
-``article`` and ``main`` hold the text where a page has them, while menus, page headers, footers, side
-bars, notices, adverts, forms and reader comments are never text. That matters because adverts and
+``main`` holds the text where a page has one, and so do articles that hold most of what is left of a page, while
+menus, page headers, footers, side bars, notices, adverts, forms and reader comments are never text. That matters because adverts and
 menus that differ from page to page are as varied as articles, and a copied article as uniform as a
-footer. Paragraphs, headings and lists of the text are never dropped for being alike.
+footer. Classes and ids are read by whole names, or compounds of names and words of form (``ad-box``, but not
+``no-ads``). They never take a heading or paragraph of an article, nor a branch with a main, or whose articles hold more
+text than those outside of such branches. Paragraphs, headings and lists of the text are never dropped for being alike.
 
 Statistics are counted by host, node and hash with partial sums, so a host with a third of all pages is
 counted by all tasks. A page meets only the low nodes that it contains itself.
@@ -27,6 +29,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 from html.parser import HTMLParser
 from urllib.parse import urlsplit
 
@@ -70,6 +73,13 @@ NEVER_TEXT_NAMES = frozenset(
     "promo promoted related replies reply share sharing sidebar signup skip social sponsor sponsored subscribe subscription "
     "toolbar widget widgets".split()
 )
+# What may stand beside such a name in a compound: where or in which form, not what else there is.
+FORM_NAMES = frozenset(
+    "area bar block body bottom box btn button buttons col column container div form group head holder icon icons inner item items "
+    "left link links list outer pane panel right row section slot small text title top unit wrap wrapper".split()
+)
+REMARKS = frozenset("comment comments disqus replies reply".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 p".split())
 # Containers that carry no meaning of their own: only these are dropped for a low importance.
 PLAIN = frozenset("div section span table ul ol dl figure center details fieldset".split())
 
@@ -77,6 +87,19 @@ _NAME = re.compile(r"[A-Za-z][a-z]*|[A-Z]+")
 _DIGITS = re.compile(r"\d+")
 
 
+@lru_cache(maxsize=100_000)
+def _named(names: str) -> frozenset[str]:
+    """The names of what is never text among a list of classes: whole ones, or in compounds with words of form."""
+    found = set()
+    for token in names.split():
+        words = [token.lower()]
+        if words[0] not in NEVER_TEXT_NAMES:
+            words = [w.lower() for w in _NAME.findall(token)]
+        if all(w in NEVER_TEXT_NAMES or w in FORM_NAMES for w in words):
+            found.update(NEVER_TEXT_NAMES.intersection(words))
+    return frozenset(found)
+
+
 class Page(HTMLParser):
     """The elements of a page, in order: parents, tags, presentations, verdicts and text."""
 
@@ -85,10 +108,13 @@ class Page(HTMLParser):
         self.parent, self.tag, self.style, self.never = [-1], ["#page"], ["#page"], [False]
         self.root = [False]  # article or main, outside of what is never text
         self.inside = [False]  # within such a root
+        self.named = [False]  # never text by its own class or id alone
+        self._remarks = [False]  # within what is named as readers' comments
         self.items: list[tuple[int, str | None]] = []  # (element, text), or (element, None) where a block begins or ends
         self._open = [0]
         self.feed(html)
         self.close()
+        self._judge_names()
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if tag == "br":
@@ -107,21 +133,23 @@ class Page(HTMLParser):
             or tag in NEVER_TEXT
             or "hidden" in given
             or (given.get("role") or "").lower() in NEVER_TEXT_ROLES
-            or tag not in ("html", "body", "article", "main")
-            and not NEVER_TEXT_NAMES.isdisjoint(w.lower() for w in _NAME.findall(names))
             or tag == "header"
             and not inside
         )
-        if tag == "article" and not never and not NEVER_TEXT_NAMES.isdisjoint(w.lower() for w in _NAME.findall(names)):
-            never = True  # each reader's comment may be an article
+        found = _named(names) if names != " " and tag not in ("html", "body", "main") else frozenset()
+        remarks = self._remarks[up] or not REMARKS.isdisjoint(found)
+        main = tag == "main" or given.get("role") == "main"
         me = len(self.parent)
-        root = not never and (tag in ("article", "main") or given.get("role") == "main")
+        # Each reader's comment may be an article.
+        root = not never and (main or tag == "article" and not found and not remarks)
         self.parent.append(up)
         self.tag.append(tag)
         self.style.append(f"{tag}.{_DIGITS.sub('0', names.strip())}")
         self.never.append(never)
         self.root.append(root)
         self.inside.append(inside or root)
+        self.named.append(bool(found) and not main and not (inside and tag in HEADINGS))
+        self._remarks.append(remarks)
         if tag in BLOCKS:
             self.items.append((me, None))
         if tag not in VOID:
@@ -157,12 +185,41 @@ class Page(HTMLParser):
             keys.append(xxhash.xxh3_64_intdigest(f"{keys[self.parent[e]]:x}/{self.style[e]}") - (1 << 63))
         return keys
 
-    def _plain(self) -> list[bool]:
-        """Which elements may go for a low importance: plain ones that neither lie in an article or main nor hold one."""
-        holds = list(self.root)
+    def _holding(self, roots: list[bool]) -> list[bool]:
+        """Which elements are one of ``roots`` or hold one."""
+        holds = list(roots)
         for e in range(len(self.parent) - 1, 0, -1):
             if holds[e]:
                 holds[self.parent[e]] = True
+        return holds
+
+    def _judge_names(self) -> None:
+        """Lose the named branches, but not what holds a main, or articles with more text than there is in those outside."""
+        if not any(self.named):
+            return
+        holds = self._holding(self.root)
+        spared = set()
+        if any(n and h for n, h in zip(self.named, holds)):
+            mains = self._holding([r and t != "article" for r, t in zip(self.root, self.tag)])
+            top = [0] * len(self.parent)  # the outermost named branch around
+            for e in range(1, len(self.parent)):
+                top[e] = top[self.parent[e]] or (e if self.named[e] else 0)
+            held = [0] * len(self.parent)
+            for e, text in self.items:
+                if text is not None and self.inside[e] and not self.never[e]:
+                    held[top[e]] += len(text.strip())
+            spared = {e for e, h in enumerate(holds) if h and (mains[e] or held[top[e]] > held[0])}
+        for e in range(1, len(self.parent)):
+            if self.named[e] and e not in spared:
+                self.never[e] = True
+            if self.never[self.parent[e]]:
+                self.never[e] = True
+            if self.never[e]:
+                self.root[e] = self.inside[e] = False
+
+    def _plain(self) -> list[bool]:
+        """Which elements may go for a low importance: plain ones that neither lie in an article or main nor hold one."""
+        holds = self._holding(self.root)
         return [t in PLAIN and not (n or i or h) for t, n, i, h in zip(self.tag, self.never, self.inside, holds)]
 
     def branches(self) -> list[tuple[int, int, int]]:
@@ -194,13 +251,31 @@ class Page(HTMLParser):
             (k, xxhash.xxh3_64_intdigest(s) - (1 << 63), xxhash.xxh3_64_intdigest(t) - (1 << 63)) for k, (s, t) in found.items()
         ]
 
+    def _rooted(self, out: list[bool]) -> bool:
+        """Whether the articles hold the text: a main with any, or most of what is not ``out``."""
+        if not any(self.root):
+            return False
+        main = list(self.root)  # within a main, or an element with its role
+        for e in range(1, len(main)):
+            main[e] = main[self.parent[e]] or main[e] and self.tag[e] != "article"
+        within = beside = 0
+        for e, text in self.items:
+            if text is not None and not out[e] and not text.isspace():
+                if main[e]:
+                    return True
+                if self.inside[e]:
+                    within += len(text.strip())
+                else:
+                    beside += len(text.strip())
+        return within > beside
+
     def text(self, low: set[int]) -> str:
         """The blocks of the text, without the branches whose node is in ``low``."""
-        rooted = any(self.root)
         keys, plain = (self.keys(), self._plain()) if low else ([], [])
         out = [False] * len(self.parent)
         for e in range(1, len(self.parent)):
             out[e] = out[self.parent[e]] or self.never[e] or bool(low and plain[e] and keys[e] in low)
+        rooted = self._rooted(out)
         blocks: list[str] = []
         parts: list[str] = []
         for e, text in [*self.items, (0, None)]:

@@ -40,6 +40,27 @@ def test_blocks(page, expected):
     assert text(page) == expected
 
 
+@pytest.mark.parametrize(
+    "page, expected",
+    [
+        ("<div class='layout has-sidebar'><article>a</article></div>", "a"),
+        ("<div class='widget'><div class=menu>m</div><article>a</article></div>", "a"),
+        ("<div class='content no-ads'>Text of the page</div>", "Text of the page"),
+        ("<article><h2 id='related-work'>R</h2><h2 id='social-policy'>S</h2><h2 id=notice>N</h2><p class='notice'>p</article>", "R\n\nS\n\nN\n\np"),
+        ("<div class=post><p>A long text of its own</div><article>Teaser</article>", "A long text of its own\n\nTeaser"),
+        ("<article>Long text</article><div class=related><article>Card</article></div>", "Long text"),
+        ("<article>Teaser</article><div class=social><article>A long text</article></div>", "Teaser\n\nA long text"),
+        ("<article>x<div id=comments><article>A long remark</article></div></article>", "x"),
+        ("<div class=ad-box>a</div><div class=share_buttons>s</div><div class=navBar>n</div><p>x", "x"),
+        ("<article>A long teaser</article><div class=social><main>x</main></div>", "A long teaser\n\nx"),
+        ("<main> </main><div class=post>x</div>", "x"),
+        ("<main>x</main><div class=post>More text beside</div>", "x"),
+    ],
+)
+def test_names_take_no_text(page, expected):
+    assert text(page) == expected
+
+
 def page(i: int, body: str) -> str:
     return f"<html><body><div class=top>Same words at every page</div>{body}<div class=end>Share this page</div></body></html>"
 
