@@ -35,7 +35,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every piece of every document with its sequence and its place there."""
-    return packing.pack_documents(docs, WORD_BPE)
+    return packing.pack_documents(docs, WORD_BPE, added_tokens=True)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

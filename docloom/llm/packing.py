@@ -20,6 +20,7 @@ any other. Only the two named columns are read. An empty table gives an empty ta
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -51,11 +52,20 @@ class WordEncoder:
     So a text is cut at ASCII white space and each part is encoded once. Marks at the end of a part,
     after a letter, begin a pre-token of their own and are looked up apart: ``word,`` is ``word``
     and ``,``. The normaliser lower-cases, so A-Z are lower-cased before the look-up.
+
+    With ``added_tokens`` the exact name of an added token, such as ``<|endoftext|>``, is that token, as
+    the library has it by default. Otherwise it is ordinary text.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, added_tokens: bool = False):
         self._tokenizer = Tokenizer.from_file(path)
-        self._tokenizer.encode_special_tokens = True  # their names in a text are ordinary text
+        added = self._tokenizer.get_added_tokens_decoder() if added_tokens else {}
+        if any(t.single_word or t.lstrip or t.rstrip or t.normalized for t in added.values()):
+            raise ValueError("only added tokens that are found by their exact name are supported")
+        self._added = {t.content.encode(): np.array([i], "<u4").tobytes() for i, t in added.items()}
+        names = b"|".join(re.escape(name) for name in sorted(self._added, key=len, reverse=True))
+        self._cut = re.compile(b"(" + names + b")").split if names else lambda text: [text]
+        self._tokenizer.encode_special_tokens = True  # what is left of their names after the cut is ordinary text
         self._model = self._tokenizer.model
         self._parts: dict[bytes, bytes] = {}
         self._older: dict[bytes, bytes] = {}
@@ -87,20 +97,25 @@ class WordEncoder:
 
     def encode(self, text: bytes) -> bytes:
         """The ids as little-endian unsigned 32-bit integers."""
-        known, part = self._parts.get, self._part
-        return b"".join([known(p) or part(p) for p in text.lower().split()])
+        known, part, added = self._parts.get, self._part, self._added
+        cut = self._cut(text)
+        if len(cut) == 1:
+            return b"".join([known(p) or part(p) for p in text.lower().split()])
+        return b"".join([b"".join([part(p) for p in c.lower().split()]) if i % 2 == 0 else added[c] for i, c in enumerate(cut)])
 
 
 @lru_cache(maxsize=4)
-def encoder(path: str) -> WordEncoder:
-    return WordEncoder(path)
+def encoder(path: str, added_tokens: bool = False) -> WordEncoder:
+    return WordEncoder(path, added_tokens)
 
 
-def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end: int = END, key: str = "doc_id", text: str = "text") -> DataFrame:
+def pieces(
+    docs: DataFrame, path: str, capacity: int = CAPACITY, end: int = END, key: str = "doc_id", text: str = "text", added_tokens: bool = False
+) -> DataFrame:
     """``(doc_id, piece, start, length, ids)``: every document's ids and the end mark, cut at ``capacity``.
 
     ``ids`` are packed as little-endian unsigned 32-bit integers. ``path`` is a tokenizer file that
-    every executor can open.
+    every executor can open, ``added_tokens`` as in ``WordEncoder``.
     """
     rows = narrow(docs, doc_id=key, text=text)
     mark = np.array([end], "<u4").tobytes()
@@ -110,7 +125,7 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end: int = END,
         for batch in batches:
             at, piece, start, ids = [], [], [], []
             for row, t in enumerate(column_bytes(batch, "text")):
-                whole = encoder(path).encode(t or b"") + mark
+                whole = encoder(path, added_tokens).encode(t or b"") + mark
                 for number, begin in enumerate(range(0, len(whole), step)):
                     at.append(row)
                     piece.append(number)
@@ -198,7 +213,9 @@ def pack(rows: DataFrame, capacity: int = CAPACITY, most_open: int = OPEN, rows_
     return dealt.mapInArrow(run, T.StructType(rows.schema.fields + added))
 
 
-def pack_documents(docs: DataFrame, path: str, capacity: int = CAPACITY, most_open: int = OPEN, key: str = "doc_id", text: str = "text") -> DataFrame:
+def pack_documents(
+    docs: DataFrame, path: str, capacity: int = CAPACITY, most_open: int = OPEN, key: str = "doc_id", text: str = "text", added_tokens: bool = False
+) -> DataFrame:
     """``(doc_id, piece, start, length, ids_crc32, sequence_id, offset)`` of all pieces of all documents."""
-    cut = pieces(docs, path, capacity, key=key, text=text).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    cut = pieces(docs, path, capacity, key=key, text=text, added_tokens=added_tokens).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
     return pack(materialize(cut, "pieces"), capacity, most_open)

@@ -44,7 +44,7 @@ def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack_documents(table(spark, sf_dir, "documents"), WORD_BPE)
+    return packing.pack_documents(table(spark, sf_dir, "documents"), WORD_BPE, added_tokens=True)
 
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -101,3 +101,26 @@ def test_query(spark, library):
         held[r["doc_id"]] += r["length"]
     assert held == lengths
     assert check_places(rows, 4096) <= sum(lengths.values()) / 4096 * 1.03 + 1
+
+
+NAMES = ["a <|endoftext|> b", "<|startoftext|><|endoftext|>", "x<|ENDOFTEXT|> É<|endoftext|>́ y", "<|endoftext|", "<|<|endoftext|>|>"]
+
+
+def test_names_of_added_tokens_as_the_unmodified_library():
+    plain, encoder = Tokenizer.from_file(WORD_BPE), packing.WordEncoder(WORD_BPE, added_tokens=True)
+    random.seed(3)
+    bits = ["a", "B's", " ", "\n", "é", "E", "́", "!", "<|", "|>", "<|endoftext|>", "<|startoftext|>", "<|EndOfText|>"]
+    for text in [*NAMES, *("".join(random.choice(bits) for _ in range(random.randint(0, 12))) for _ in range(3000))]:
+        found = np.frombuffer(encoder.encode(text.encode()), "<u4").tolist()
+        assert found == plain.encode(text, add_special_tokens=False).ids, repr(text)
+
+
+def test_query_and_stage_take_names_as_the_unmodified_library(spark, tmp_path):
+    import corpus_pipeline
+
+    plain = Tokenizer.from_file(WORD_BPE)
+    docs = spark.createDataFrame(list(enumerate(NAMES)), "doc_id long, text string")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    expected = {i: np.array(plain.encode(t, add_special_tokens=False).ids + [1], "<u4") for i, t in enumerate(NAMES)}
+    for rows in (QUERIES["op6_packing"](spark, str(tmp_path)), corpus_pipeline.best_fit_packing(spark, docs, str(tmp_path))):
+        assert {r["doc_id"]: (r["length"], r["ids_crc32"]) for r in rows.collect()} == {i: (len(e), zlib.crc32(e.tobytes())) for i, e in expected.items()}
