@@ -8,8 +8,9 @@ sequence is opened, and if too many are open the fullest is closed, that of the
 Pieces arrive in windows of four times the number of open sequences, the longest of a window first:
 in windows much larger than that, sequences would close before the short pieces come.
 
-Pieces are packed by tasks of about ``rows_per_task`` narrow rows each, so one task sees enough
-pieces to fill its sequences whatever the number of files. Only (id, piece, start, length) and the
+Pieces are packed by tasks of about ``rows_per_task`` narrow rows each, a hundred times the open
+sequences: one task sees enough pieces to fill its sequences whatever the number of files, and the
+number of tasks follows the table. Only (id, piece, start, length) and the
 checksum move; a task holds the open sequences and nothing else.
 
 Defined cases: a null text is an empty text, which is one piece of one token, the end mark.
@@ -36,7 +37,7 @@ from docloom.session import materialize
 
 CAPACITY = 4096
 OPEN = 1024
-ROWS_PER_TASK = 1_000_000
+ROWS_PER_TASK = 100_000
 END = 1
 
 # Words found in many texts are encoded once; a table of words does not grow beyond this.

@@ -74,6 +74,12 @@ def test_tasks_do_not_share_sequences(spark):
     assert check_places(packed, 100) <= 5000 * 25.5 / 100 * 1.1
 
 
+def test_more_tasks_for_more_rows(spark):
+    rows = packing.pack(spark.range(250_000).selectExpr("id", "id % 1000 + 1 AS length"))
+    tasks = {r["task"]: r["count"] for r in rows.selectExpr("sequence_id >> 40 AS task").groupBy("task").count().collect()}
+    assert sum(tasks.values()) == 250_000 and len(tasks) == 3 and max(tasks.values()) < 100_000
+
+
 def test_awkward_rows(awkward, empty, library):
     rows = packing.pack_documents(awkward, WORD_BPE).collect()
     check_places(rows, 4096)
