@@ -1,0 +1,124 @@
+from __future__ import annotations
+
+import zlib
+from hashlib import sha256
+
+import pytest
+from conftest import DOCUMENTS
+from pyspark.sql import functions as F
+
+from docloom.llm import merkle
+from docloom.llm.queries import QUERIES
+
+
+def hashed(*parts: str) -> str:
+    return sha256("".join(parts).encode()).hexdigest()
+
+
+def leaf_of(row) -> str:
+    return hashed(*["-" if v is None else f"{len(str(v).encode())}:{v}" for v in row])
+
+
+def climb(nodes: list[str]) -> tuple[str, list[list[tuple[int, list[str]]]]]:
+    """The root, and for each leaf its place and siblings on every level."""
+    paths, at = [[] for _ in nodes], list(range(len(nodes)))
+    while len(nodes) > 1:
+        for leaf, i in enumerate(at):
+            first = i - i % 3
+            run = nodes[first : first + 3]
+            paths[leaf].append((i - first, run[: i - first] + run[i - first + 1 :]))
+            at[leaf] = i // 3
+        nodes = [hashed(*nodes[i : i + 3]) for i in range(0, len(nodes), 3)]
+    return nodes[0], paths
+
+
+def brute(rows: list[tuple]) -> list[tuple]:
+    """``rows``: (doc_id, source, lang, n_chars, text)."""
+    sources: dict = {}
+    for row in rows:
+        sources.setdefault(row[1], []).append(row)
+    order = sorted(sources, key=lambda s: (s is not None, (s or "").encode()))
+    trees = {}
+    for s in order:
+        own = sorted(sources[s], key=lambda r: (r[0] is not None, r[0] or 0, leaf_of(r)))
+        trees[s] = (own, *climb([leaf_of(r) for r in own]))
+    root, tops = climb([trees[s][1] for s in order])
+    out = []
+    for s, above in zip(order, tops):
+        own, subroot, paths = trees[s]
+        for row, path in zip(own, paths):
+            whole = path + above
+            text = row[4]
+            if row[0] is not None and text is not None and zlib.crc32(str(row[0]).encode()) % 2 == 0:
+                text = text.replace("\n", "")
+            folded = leaf_of((*row[:4], text))
+            for i, others in whole:
+                folded = hashed(*others[:i], folded, *others[i:])
+            proof = hashed(*[d for _, others in whole for d in others])
+            out.append((row[0], leaf_of(row), subroot, root, proof, folded, folded == root))
+    return out
+
+
+def rows_of(df):
+    return [(r["doc_id"], r["source"], r["lang"], r["n_chars"], r["text"]) for r in df.collect()]
+
+
+def same(df, rows) -> None:
+    columns = ["doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"]
+    assert df.columns == columns
+    key = lambda r: (r[0] is None, r[0] or 0, r[1], r[2])
+    assert sorted([tuple(r) for r in df.collect()], key=key) == sorted(brute(rows), key=key)
+
+
+def audited(df, levels=merkle.LEVELS):
+    without_breaks = F.replace(F.col("f4"), F.lit("\n"), F.lit(""))
+    return merkle.audit(df, without_breaks, F.expr("crc32(encode(cast(id AS string), 'UTF-8')) % 2 = 0"), levels)
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 4, 8, 9, 10, 26, 27, 28, 100])
+def test_places_are_the_order_of_completion(n):
+    digests = [sha256(str(i).encode()).digest() for i in range(n)]
+    top = merkle.height(n)
+    log = merkle.append_log(digests, top)
+    nodes, level = list(digests), 0
+    while True:
+        for i, d in enumerate(nodes):
+            at = 32 * merkle.place(level, i, n, top)
+            assert log[at : at + 32] == d
+        if len(nodes) == 1:
+            break
+        nodes = [merkle.join_hash(b"".join(nodes[i : i + 3])) for i in range(0, len(nodes), 3)]
+        level += 1
+    assert log[-32:] == nodes[0]
+    for i in range(n):
+        assert merkle.fold(digests[i], merkle.siblings(log, i, n, top)) == nodes[0]
+
+
+@pytest.mark.parametrize("levels", [1, 2, 6])
+def test_trees_of_all_shapes(spark, levels):
+    rows = [(i, source, "en", i, f"text {i}\nof {source}") for source, n in (("a", 1), ("b", 2), (None, 3), ("é", 4), ("z", 82), ("", 27), ("B", 28)) for i in range(1000, 1000 + n)]
+    df = spark.createDataFrame([(i, t, l, s, n) for i, s, l, n, t in rows], DOCUMENTS).repartition(7)
+    same(audited(df, levels), rows)
+
+
+def test_one_log_for_each_tree(spark):
+    rows = [(i, None, "en", "s" if i % 5 else "t", None) for i in range(200)]
+    made = merkle.Manifest.build(spark.createDataFrame(rows, DOCUMENTS), levels=2)
+    logs = {}
+    for r in made.sources.log().collect():
+        logs.setdefault(r["tree"], {})[r["position"]] = bytes(r["digest"])
+    for source in "st":
+        leaves = [bytes.fromhex(leaf_of((r[0], r[3], r[2], r[4], r[1]))) for r in rows if r[3] == source]
+        whole = merkle.append_log(leaves, merkle.height(len(leaves)))
+        found = logs["=" + source]
+        assert b"".join(found[i] for i in range(len(found))) == whole
+
+
+def test_awkward_rows(awkward, empty):
+    same(audited(awkward), rows_of(awkward))
+    assert audited(empty).count() == 0
+
+
+def test_query(spark):
+    sf_dir = "/root/testdata/sf0.001"
+    same(QUERIES["op12_merkle"](spark, sf_dir), rows_of(spark.read.parquet(f"{sf_dir}/documents.parquet")))
