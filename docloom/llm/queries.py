@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docloom.llm import bpe, chat, lines, merkle, minhash, neighbours, packing, quality, sharding, site_style, token_counts
+from docloom.llm import bpe, chat, collocations, lines, merkle, minhash, neighbours, packing, quality, sharding, site_style, token_counts
 from docloom.llm.common import table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -66,6 +66,10 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     without_breaks = F.replace(F.col("f4"), F.lit("\n"), F.lit(""))
     tampered = F.crc32(F.encode(F.col("id").cast("string"), "UTF-8")) % 2 == 0
@@ -76,6 +80,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_byte_bpe, op2_token_counts, op3_minhash, op4_sharding, op5_chat, op6_packing, op7_line_dedup, op8_site_style,
-        op9_neighbours, op10_quality, op12_merkle,
+        op9_neighbours, op10_quality, op11_collocations, op12_merkle,
     )
 }
