@@ -1,6 +1,6 @@
 """Phrases of words that occur together more than alone, by tries of candidates walked by all positions at once.
 
-1. Texts are cut into pieces and words once. Each slice of about a megabyte becomes an array of 64-bit word codes
+1. Texts are cut into pieces and words once. Each slice of about a quarter of a megabyte becomes an array of 64-bit word codes
    with a zero between pieces, and the counts of its words. The corpus of codes and all that follows are written tables.
 2. Level by level, the phrases of k words that are frequent enough (the Apriori property: all their parts are) become
    double-array tries, built in tasks and cut by hash so that none holds more than ``trie_phrases`` phrases; a trie is
@@ -24,28 +24,30 @@ phrase's UTF-8 bytes. Only the two named columns are read. An empty table gives
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from docloom.llm.common import column_bytes, narrow
-from docloom.session import materialize
+from docloom.llm.common import narrow
+from docloom.session import materialize, settings
 
 LONGEST = 4
 LEAST = 30
 TOP = 2000
-SLICE = 1 << 20
+SLICE = 1 << 18
 TRIE_PHRASES = 400_000
 
 _BREAK = b"\xff"  # in no UTF-8 text
 # What ends a piece, [.,;:!?\x0A-\x0D]. A tab parts words as a space does.
 _ENDS = b".,;:!?\n\x0b\x0c\r"
 _CODES = ["w1", "w2", "w3", "w4"]
-_HELD = 1 << 20  # distinct candidates that a task gathers before it hands them on
+_HELD = 1 << 18  # distinct candidates that a task gathers before it hands them on
+_ROWS = 1 << 16  # rows in a batch that a task hands on
 
 
 def _table() -> bytes:
@@ -78,34 +80,44 @@ def encoded(docs: DataFrame, seed: int = 0, size: int = SLICE) -> DataFrame:
     ``words`` are the slice's distinct words with their codes and counts.
     """
 
+    def cut(lang: str, texts: list[bytes]) -> Iterator[pa.RecordBatch]:
+        tail = np.zeros(0, np.int64)
+        for part in slices(texts, size):
+            words = part.replace(_BREAK, b" \xff ").split()
+            codes = np.fromiter(map(xxhash.xxh3_64_intdigest, words, repeat(seed)), np.uint64, len(words)).view(np.int64)
+            distinct, first, counts = np.unique(codes, return_index=True, return_counts=True)
+            named = [words[i] for i in first.tolist()]
+            if _BREAK in named:
+                at = named.index(_BREAK)
+                codes[codes == distinct[at]] = 0
+                named.pop(at)
+                distinct, counts = np.delete(distinct, at), np.delete(counts, at)
+            codes = np.concatenate([tail, codes])
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([lang]), pa.array([codes.tobytes()], pa.binary()), pa.array([len(tail)], pa.int32()),
+                    pa.array([named], pa.list_(pa.binary())).cast(pa.list_(pa.string())),
+                    pa.array([distinct], pa.list_(pa.int64())), pa.array([counts], pa.list_(pa.int64())),
+                ],
+                ["lang", "codes", "skip", "words", "own", "counts"],
+            )
+            tail = codes[-(LONGEST - 1) :]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            by_lang: dict[str, list[bytes]] = {}
-            for lang, text in zip(batch.column("lang").to_pylist(), column_bytes(batch, "text")):
-                if text:
-                    by_lang.setdefault(lang, []).append(text)
-            for lang, texts in by_lang.items():
-                tail = np.zeros(0, np.int64)
-                for part in slices(texts, size):
-                    words = part.replace(_BREAK, b" \xff ").split()
-                    codes = np.fromiter(map(xxhash.xxh3_64_intdigest, words, repeat(seed)), np.uint64, len(words)).view(np.int64)
-                    distinct, first, counts = np.unique(codes, return_index=True, return_counts=True)
-                    named = [words[i] for i in first.tolist()]
-                    if _BREAK in named:
-                        at = named.index(_BREAK)
-                        codes[codes == distinct[at]] = 0
-                        named.pop(at)
-                        distinct, counts = np.delete(distinct, at), np.delete(counts, at)
-                    codes = np.concatenate([tail, codes])
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array([lang]), pa.array([codes.tobytes()], pa.binary()), pa.array([len(tail)], pa.int32()),
-                            pa.array([named], pa.list_(pa.binary())).cast(pa.list_(pa.string())),
-                            pa.array([distinct], pa.list_(pa.int64())), pa.array([counts], pa.list_(pa.int64())),
-                        ],
-                        ["lang", "codes", "skip", "words", "own", "counts"],
-                    )
-                    tail = codes[-(LONGEST - 1) :]
+            waiting: dict[str, list[bytes]] = {}
+            held: dict[str, int] = {}
+            langs = batch.column("lang").to_pylist()
+            for i, text in enumerate(batch.column("text").cast(pa.binary())):
+                if body := text.as_py():
+                    lang = langs[i]
+                    waiting.setdefault(lang, []).append(body)
+                    held[lang] = held.get(lang, 0) + len(body)
+                    if held[lang] >= size:
+                        held[lang] = 0
+                        yield from cut(lang, waiting.pop(lang))
+            for lang, texts in waiting.items():
+                yield from cut(lang, texts)
 
     return docs.mapInArrow(run, "lang string, codes binary, skip int, words array<string>, own array<long>, counts array<long>")
 
@@ -188,23 +200,26 @@ class Trie:
         return place, self.phrase[state]
 
 
-def _gathered(found: dict, lang: str) -> list[pa.RecordBatch]:
+def _gathered(found: dict, lang: str) -> Iterator[pa.RecordBatch]:
     """Rows of a task's counts of phrases and of candidates, one longer."""
     phrases, counts, keys, seen, least = found["phrases"], found["counts"], found["keys"], found["seen"], found["least"]
-    out, depth = [], phrases.shape[1]
+    depth = phrases.shape[1]
 
-    def rows(length: int, columns: list[np.ndarray], values: np.ndarray) -> None:
-        if len(values):
-            columns = columns + [np.zeros(len(values), np.int64)] * (LONGEST - length)
-            arrays = [pa.array([lang] * len(values)), pa.array(np.full(len(values), length, np.int32)), *map(pa.array, columns), pa.array(values)]
-            out.append(pa.RecordBatch.from_arrays(arrays, ["lang", "k", *_CODES, "c"]))
+    def rows(length: int, columns: list[np.ndarray], values: np.ndarray) -> pa.RecordBatch:
+        n = len(values)
+        columns = columns + [np.zeros(n, np.int64)] * (LONGEST - length)
+        arrays = [pa.array([lang] * n, pa.string()), pa.array(np.full(n, length, np.int32)), *map(pa.array, columns), pa.array(values)]
+        return pa.RecordBatch.from_arrays(arrays, ["lang", "k", *_CODES, "c"])
 
     held = np.flatnonzero(counts)
-    rows(depth, list(phrases[held].T), counts[held])
-    rows(depth + 1, [*phrases[keys[:, 0]].T, keys[:, 1]], np.minimum(seen, least)) if depth < LONGEST else None
-    found["counts"] = np.zeros_like(counts)
+    for begin in range(0, len(held), _ROWS):
+        some = held[begin : begin + _ROWS]
+        yield rows(depth, list(phrases[some].T), counts[some])
+    for begin in range(0, len(keys), _ROWS):
+        some = keys[begin : begin + _ROWS]
+        yield rows(depth + 1, [*phrases[some[:, 0]].T, some[:, 1]], np.minimum(seen[begin : begin + _ROWS], least))
+    counts[:] = 0
     found["keys"], found["seen"] = np.zeros((0, 2), np.int64), np.zeros(0, np.int64)
-    return out
 
 
 def _merged(keys: np.ndarray, seen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -223,10 +238,11 @@ def _walked(corpus: DataFrame, tries: dict, shards: dict[str, int], least: int)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: dict[str, dict] = {}
         for batch in batches:
-            for lang, body, skip in zip(batch.column("lang").to_pylist(), batch.column("codes").to_pylist(), batch.column("skip").to_pylist()):
+            langs, skips = batch.column("lang").to_pylist(), batch.column("skip").to_pylist()
+            for lang, body, skip in zip(langs, batch.column("codes"), skips):
                 if lang not in tries:
                     continue
-                trie, codes = tries[lang].value, np.frombuffer(body, np.int64)
+                trie, codes = tries[lang].value, np.frombuffer(body.as_buffer(), np.int64)
                 own = found.setdefault(lang, {
                     "phrases": trie.phrases, "counts": np.zeros(len(trie.phrases), np.int64),
                     "keys": np.zeros((0, 2), np.int64), "seen": np.zeros(0, np.int64), "least": least,
@@ -349,6 +365,13 @@ def _named(length: int, first: int) -> Column:
     return F.struct(*[c.alias(n) for c, n in zip(_part(first, length), _CODES)])
 
 
+@contextmanager
+def _small_batches(spark: SparkSession):
+    """Arrow batches of texts and codes stay near the size of what is made of them at once."""
+    with settings(spark, {"spark.sql.execution.arrow.maxBytesPerBatch": "8m"}):
+        yield
+
+
 def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP, trie_phrases: int = TRIE_PHRASES, text: str = "text",
                  lang: str = "lang", size: int = SLICE, shares: int = 64) -> DataFrame:
     """``(lang, rank, phrase, a, l, r, n, score)``: each language's ``top`` phrases of 2 to 4 words.
@@ -356,7 +379,8 @@ def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP, trie_phras
     ``a`` occurrences of the phrase, ``l`` and ``r`` of its parts at the lowest-scoring cut, ``n`` of all words; ``score`` is
     2,000,000 a / (l + r), rounded down. Phrases within a longer one that occurs at least 0.8 times as often are left out.
     """
-    phrases, words, totals = counted_phrases(docs, least, trie_phrases, text, lang, size)
+    with _small_batches(docs.sparkSession):
+        phrases, words, totals = counted_phrases(docs, least, trie_phrases, text, lang, size)
     phrases = materialize(phrases.withColumn("key", F.struct(*_CODES)).select("lang", "k", "key", "a"), "phrases")
     several = phrases.where("k > 1").select("lang", "k", "key", "a", *[F.col("key")[c].alias(c) for c in _CODES])
 
