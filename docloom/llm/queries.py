@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docloom.llm import bpe, chat, collocations, lines, merkle, minhash, neighbours, packing, quality, sharding, site_style, token_counts
+from docloom.llm import bpe, chat, collocations, lines, merkle, minhash, neighbours, packing, quality, sharding, site_style, token_counts, vector_dedup
 from docloom.llm.common import table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -76,10 +76,15 @@ def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.audit(table(spark, sf_dir, "documents"), without_breaks, tampered)
 
 
+def op13_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_byte_bpe, op2_token_counts, op3_minhash, op4_sharding, op5_chat, op6_packing, op7_line_dedup, op8_site_style,
         op9_neighbours, op10_quality, op11_collocations, op12_merkle,
+        op13_vector_dedup,
     )
 }

@@ -1,0 +1,125 @@
+from __future__ import annotations
+
+import math
+
+import numpy as np
+import pytest
+from pyspark.sql import types as T
+
+from docloom.llm import vector_dedup as vd
+from docloom.llm.queries import QUERIES
+
+SCHEMA = T.StructType(
+    [T.StructField("vec_id", T.LongType()), T.StructField("embedding", T.ArrayType(T.FloatType())), T.StructField("label", T.IntegerType())]
+)
+
+
+def brute(rows, cosine=0.98) -> list[tuple]:
+    """``rows``: (vec_id, vector, label), ids distinct."""
+    good = []
+    for i, v, label in rows:
+        if i is not None and v and None not in v and label is not None:
+            x = np.array(v, np.float32).astype(float)
+            if np.isfinite(x).all() and x.any():
+                good.append((i, x / np.linalg.norm(x), (label, len(x))))
+    links = {i: 0 for i, _, _ in good}
+    root = {i: i for i, _, _ in good}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for group in {g for _, _, g in good}:
+        own = [(i, x) for i, x, g in good if g == group]
+        m = np.array([x for _, x in own]) @ np.array([x for _, x in own]).T >= cosine
+        for a, b in zip(*np.nonzero(np.triu(m, 1))):
+            a, b = own[a][0], own[b][0]
+            links[a] += 1
+            links[b] += 1
+            p, q = find(a), find(b)
+            root[max(p, q)] = min(p, q)
+    return sorted((i, links.get(i, 0), find(i) if i in root else i, find(i) == i if i in root else True) for i, _, _ in rows if i is not None)
+
+
+def found(df) -> list[tuple]:
+    assert df.columns == ["vec_id", "n_links", "component_id", "kept"]
+    return sorted(tuple(r) for r in df.collect() if r["vec_id"] is not None)
+
+
+def families(seed: int, sizes, spread: float, alone: int, dim: int = 16):
+    random = np.random.default_rng(seed)
+    rows = [random.normal(size=dim) for _ in range(alone)]
+    for n in sizes:
+        base = random.normal(size=dim)
+        base /= np.linalg.norm(base)
+        rows += [base + random.normal(size=dim) * spread / math.sqrt(dim) for _ in range(n)]
+    order = random.permutation(len(rows))
+    return [(int(p) * 3, rows[i].tolist(), int(i) % 2 if i < alone else 0) for p, i in enumerate(order)]
+
+
+def recall(got, expected) -> float:
+    return sum(min(a[1], b[1]) for a, b in zip(got, expected)) / max(1, sum(b[1] for b in expected))
+
+
+@pytest.mark.parametrize("spread", [0.01, 0.05, 0.12])
+def test_families_of_all_widths(spark, spread):
+    """Tight families are balls, wide ones are partly linked; small shards make trees of several levels."""
+    rows = families(int(spread * 100), [2, 3, 9, 40, 150], spread, 500)
+    df = spark.createDataFrame(rows, SCHEMA).repartition(4)
+    got = found(vd.near_duplicates(df, shard_rows=120, branch=4, sample=200, dense=8))
+    expected = brute(rows)
+    assert [r[0] for r in got] == [r[0] for r in expected]
+    assert all(a[1] <= b[1] for a, b in zip(got, expected))  # no link that is none
+    assert recall(got, expected) >= 0.95
+    if spread < 0.05:
+        assert got == expected
+
+
+def test_graph_search_finds_ranges():
+    random = np.random.default_rng(4)
+    base = random.normal(size=(30, 24))
+    unit = vd._unit(np.concatenate([np.repeat(base, 12, axis=0) + 0.03 * random.normal(size=(360, 24)), random.normal(size=(600, 24))]))
+    graph = vd.both_ways(vd.robust_pruned(unit), vd.DEGREE)
+    a, b = vd.range_search(unit, graph, np.full(len(unit), 0.98), 16)
+    exact = np.argwhere(np.triu(unit @ unit.T >= 0.98, 1))
+    assert len(exact) > 1500 and set(zip(a.tolist(), b.tolist())) <= set(map(tuple, exact.tolist()))
+    assert len(a) >= 0.98 * len(exact)
+
+
+def test_pruned_lists_keep_the_nearest():
+    random = np.random.default_rng(5)
+    unit = vd._unit(random.normal(size=(200, 8)))
+    score = unit @ unit.T
+    np.fill_diagonal(score, -1)
+    lists = vd.robust_pruned(unit)
+    assert (lists[:, 0] == score.argmax(axis=1)).all()
+    assert all(len(set(row[row >= 0])) == (row >= 0).sum() and i not in row for i, row in enumerate(lists))
+
+
+def test_awkward_vectors(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [
+        (1, [1.0, 0.0], 1), (2, [2.0, 0.0], 1), (3, [1.0, 0.0], 2), (4, [1.0, 0.0], None), (5, None, 1), (6, [0.0, 0.0], 1), (7, [nan, 1.0], 1),
+        (8, [inf, 1.0], 1), (9, [1.0, None], 1), (10, [1.0, 0.0, 0.0], 1), (11, [], 1), (12, [1.0, 0.0], 1), (13, [1e-30, 0.0], 1), (14, [-1.0, 0.0], 1),
+        (15, [1.0, 0.1], 1), (16, [1.0, 0.3], 1), (None, [1.0, 0.0], 1), (17, [-0.0, 3.0], 1), (18, [0.0, 3.0], 1),
+    ]
+    df = spark.createDataFrame(rows, SCHEMA)
+    for name in ("grp", "rep", "vector", "rows", "component_id", "kept", "unit"):
+        df = df.withColumn(name, df.vec_id.cast("string"))
+    assert found(vd.near_duplicates(df)) == brute(rows)
+    extra = [tuple(r) for r in vd.near_duplicates(df).collect() if r["vec_id"] is None]
+    assert extra == [(None, 0, None, True)]
+    assert vd.near_duplicates(spark.createDataFrame([], SCHEMA)).count() == 0
+    assert found(vd.near_duplicates(spark.createDataFrame([(1, None, 1), (2, [0.0], 1)], SCHEMA))) == [(1, 0, 1, True), (2, 0, 2, True)]
+
+
+def test_repeated_rows(spark):
+    rows = [(1, [1.0, 0.0], 1), (1, [1.0, 0.0], 1), (2, [1.0, 0.01], 1)]
+    assert found(vd.near_duplicates(spark.createDataFrame(rows, SCHEMA))) == [(1, 2, 1, True), (1, 2, 1, True), (2, 2, 1, False)]
+
+
+def test_query(spark):
+    sf_dir = "/root/testdata/sf0.1"
+    table = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    assert found(QUERIES["op13_vector_dedup"](spark, sf_dir)) == brute([tuple(r) for r in table.collect()])
