@@ -5,17 +5,17 @@ Vectors are compared only within a group: equal labels and lengths.
 1. Equal vectors of a group are one class. A tree of clusters is grown level by level: each node with more than
    ``shard_rows`` rows is cut by centres learned from a bounded sample of it, and its rows go to the nearest centre. A row
    goes into the second-nearest as well, as a copy, so shards overlap.
-2. In every node, before it is cut, dense spots of the sample become balls: the node's rows within a small angle of a
-   pivot. Any two members of a ball are near enough to be linked, whatever their number, so they are counted without
-   being compared, and only the pivot goes further down. A family of near copies with a third of all
-   rows ends in one ball instead of filling a shard.
+2. In every node, before it is cut, dense spots of the sample become balls: the node's rows that are linked with a pivot. They
+   are counted against each other in blocks, which give counts and not pairs, and only the pivot goes further down. A
+   family of near copies with a third of all rows ends in one ball instead of filling a shard.
 3. In each shard every row gets a robust-pruned list of neighbours: the nearest first, and none that is much nearer
    to a neighbour taken already. Lists of a row from all its shards are united.
 4. All rows of a shard search the united graph at once, greedily from medoids and their own list with a beam; where rows in range
    are found the search goes on from each of them until there are no new ones. A ball's range is wider by
-   its radius.
-5. Pairs of single vectors in range are links, by the cosine of the vectors themselves. Pairs with balls are certain by their
-   angle or verified member by member, in blocks that give counts, not pairs.
+   its radius, the angle of a link.
+5. Pairs of single vectors in range are links, by the cosine of the vectors themselves. The members of a ball, and those of two
+   units that are near each other of which one is a ball, are verified block by block. That is the work of all their
+   pairs, as their exact counts demand, dealt over tasks of bounded size.
 6. The links of up to ``audit_rows`` vectors, those least by the hash of their id, are counted by brute force over all rows. While the graph
    has found less than ``recall`` of them, the search is done again with twice the beam.
 
@@ -40,11 +40,11 @@ from docloom.llm.components import components
 from docloom.session import materialize
 
 COSINE = 0.98
-SHARD_ROWS = 1500
-BRANCH = 32
+SHARD_ROWS = 400
+BRANCH = 64
 SAMPLE = 1024  # rows of a node from which centres and pivots are taken
 DENSE = 16  # rows of the sample near a pivot
-BLOCK = 512
+BLOCK = 1024
 DEGREE = 20
 POOL = 48
 SLACK = 1.2
@@ -223,7 +223,8 @@ def _grown(classes: DataFrame, near: float, shard_rows: int, branch: int, sample
         others = np.ones(len(unit), bool)
         if len(pivots):
             others &= (unit @ unit[pivots].T < near).all(axis=1)
-        count = min(branch, -(-size // shard_rows)) if size > shard_rows else 0
+        # Every row goes to two of the new nodes, and these are not all equally large.
+        count = min(branch, -(-5 * size // (2 * shard_rows))) if size > shard_rows else 0
         centres = centres_of(unit[others], count) if count and others.any() else np.zeros((0, unit.shape[1]))
         reps = group.column("rep").to_numpy()[pivots]
         return pa.table({
@@ -316,8 +317,9 @@ def _graph(shards: DataFrame) -> DataFrame:
     return lists.groupBy("rep").agg(F.array_distinct(F.flatten(F.collect_list("around"))).alias("around"))
 
 
-def _found(shards: DataFrame, graph: DataFrame, angle: float, radius: float, beam: int) -> DataFrame:
+def _found(shards: DataFrame, graph: DataFrame, cosine_least: float, beam: int) -> DataFrame:
     """``(grp, a, b, cosine)``: pairs of single vectors and balls in range of each other."""
+    angle = math.acos(cosine_least)
 
     def search(group: pa.Table) -> pa.Table:
         group = group.sort_by("rep")
@@ -329,11 +331,11 @@ def _found(shards: DataFrame, graph: DataFrame, angle: float, radius: float, bea
         graph[np.repeat(np.arange(len(rep)), lengths), np.concatenate([np.arange(x) for x in lengths])] = np.concatenate(lists).astype(np.int64)
         at = np.minimum(np.searchsorted(rep, graph), len(rep) - 1)
         graph = np.where((rep[at] == graph) & (graph >= 0), at, -1)  # neighbours outside of the shard are met in theirs
-        reach = np.cos(angle + 2 * radius * ball)  # wide enough for two balls
+        reach = np.cos(angle + 2 * angle * ball)  # wide enough for two balls
         a, b = range_search(unit, graph, reach, beam)
         cosine = np.einsum("ij,ij->i", unit[a], unit[b])
-        good = cosine >= np.cos(angle + radius * (ball[a].astype(float) + ball[b]))
-        good |= cosine >= math.cos(angle)
+        good = cosine >= np.cos(angle * (1.0 + ball[a] + ball[b]))
+        good |= cosine >= cosine_least
         a, b, cosine = a[good], b[good], cosine[good]
         grp = pa.array([group.column("grp")[0].as_py()] * len(a), pa.string())
         return pa.table({"grp": grp, "a": rep[a], "b": rep[b], "cosine": cosine})
@@ -344,7 +346,7 @@ def _found(shards: DataFrame, graph: DataFrame, angle: float, radius: float, bea
 
 
 def _verified(pairs: DataFrame, members: DataFrame, cosine: float) -> DataFrame:
-    """``(rep, other, links)``: for members of uncertain pairs ``(a, b)`` of units, how many rows of the other they link with.
+    """``(rep, other, links)``: for members of pairs ``(a, b)`` of units, or of one unit, how many rows of the other they link with.
 
     ``other`` is one of those. ``members`` has ``(unit, block, rep, rows, vector)``; blocks meet, in one task each, and give counts.
     """
@@ -352,7 +354,7 @@ def _verified(pairs: DataFrame, members: DataFrame, cosine: float) -> DataFrame:
     for side in "ab":
         pairs = pairs.join(blocks.select(F.col("unit").alias(side), F.col("blocks").alias(f"n{side}")), side)
         pairs = pairs.withColumn(f"b{side}", F.explode(F.sequence(F.lit(0), F.col(f"n{side}") - 1)))
-    pairs = materialize(pairs.select("a", "b", "ba", "bb"), "meetings")
+    pairs = materialize(pairs.where("a <> b or ba <= bb").select("a", "b", "ba", "bb"), "meetings")
     keys = ["a", "b", "ba", "bb"]
 
     def side(name: str) -> DataFrame:
@@ -362,8 +364,9 @@ def _verified(pairs: DataFrame, members: DataFrame, cosine: float) -> DataFrame:
     def meet(left: pa.Table, right: pa.Table) -> pa.Table:
         x, y = _unit(_matrix(left.column("vector"))), _unit(_matrix(right.column("vector")))
         linked = x @ y.T >= cosine
-        out = []
-        for rows, other, how in ((left, right, linked), (right, left, linked.T)):
+        linked &= left.column("rep").to_numpy()[:, None] != right.column("rep").to_numpy()
+        out, within = [], all(left.column(n)[0].as_py() == left.column(m)[0].as_py() for n, m in (("a", "b"), ("ba", "bb")))
+        for rows, other, how in ((left, right, linked), (right, left, linked.T))[: 1 if within else 2]:
             some = np.flatnonzero(how.any(axis=1))
             first = other.column("rep").to_numpy()[how[some].argmax(axis=1)]
             out.append((rows.column("rep").to_numpy()[some], first, how[some].astype(np.int64) @ other.column("rows").to_numpy()))
@@ -402,9 +405,6 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, shard_rows: int
                     dense: int = DENSE, beam: int = BEAM, recall: float = RECALL, audit_rows: int = AUDIT,
                     key: str = "vec_id", vector: str = "embedding", label: str = "label") -> DataFrame:
     """``(vec_id, n_links, component_id, kept)`` of every row; ``kept`` tells the one with the smallest id of its component."""
-    angle = math.acos(cosine)
-    # Two members of a ball are at most two radii apart, and two thirds of the angle is enough below it.
-    radius = angle / 3
     rows = narrow(vectors, vec_id=key, vector=vector, label=label)
     rows = rows.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("label").cast("string").alias("label"), "vector")
     good = materialize(usable(rows), "usable")
@@ -413,7 +413,7 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, shard_rows: int
     if classes.isEmpty():
         return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
 
-    shards, inside = _grown(classes, math.cos(radius), shard_rows, branch, sample, dense)
+    shards, inside = _grown(classes, cosine, shard_rows, branch, sample, dense)
     shards, inside = materialize(shards.distinct(), "shards"), materialize(inside.distinct(), "inside")
     graph = materialize(_graph(shards), "graph")
     # A row's unit: the ball that took its home row, or itself.
@@ -424,8 +424,8 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, shard_rows: int
     copies = inside.where("not home").select("grp", F.col("rep").alias("a"), F.col("of").alias("b"))
 
     for attempt in range(ATTEMPTS):
-        found = _found(shards, graph, angle, radius, beam << attempt)
-        links, edges = _links(found, copies, units, weight, angle, radius, cosine)
+        found = _found(shards, graph, cosine, beam << attempt)
+        links, edges = _links(found, copies, units, weight, cosine)
         links = materialize(links, "links")
         if _audited(classes, links, cosine, audit_rows) >= recall:
             break
@@ -446,7 +446,7 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, shard_rows: int
     )
 
 
-def _links(found: DataFrame, copies: DataFrame, units: DataFrame, weight: DataFrame, angle: float, radius: float, cosine: float) -> tuple[DataFrame, DataFrame]:
+def _links(found: DataFrame, copies: DataFrame, units: DataFrame, weight: DataFrame, cosine: float) -> tuple[DataFrame, DataFrame]:
     """``(rep, links)``, rows linked with each class but its own, and edges ``(a, b)`` that connect the same classes."""
     unit = units.select("rep", "unit")
     # Pairs of a copy that a ball took in another node have no cosine yet.
@@ -458,27 +458,18 @@ def _links(found: DataFrame, copies: DataFrame, units: DataFrame, weight: DataFr
     pairs = pairs.groupBy(F.least("ua", "ub").alias("a"), F.greatest("ua", "ub").alias("b")).agg(F.max("cosine").alias("cosine"))
     for side in "ab":
         pairs = pairs.join(weight.select(F.col("unit").alias(side), F.col("rows").alias(f"r{side}"), F.col("members").alias(f"m{side}")), side)
-    balls = (F.col("ma") > 1).cast("int") + (F.col("mb") > 1).cast("int")
-    # Near enough for any two members, with room for rounding.
-    sure = F.when(balls == 0, F.col("cosine") >= cosine).otherwise(F.acos(F.least(F.col("cosine"), F.lit(1.0))) + balls * radius <= angle - 1e-6)
-    pairs = materialize(pairs.withColumn("sure", F.coalesce(sure, F.lit(False))).withColumn("balls", balls), "pairs")
-
-    certain = pairs.where("sure")
-    certain = certain.select(F.col("a").alias("unit"), F.col("b").alias("other"), F.col("rb").alias("rows")).union(certain.select("b", "a", "ra"))
-    by_unit = certain.groupBy("unit").agg(F.sum("rows").alias("links"))
-    own = weight.where("members > 1").select("unit", F.col("rows").alias("own"))
-    of_units = units.join(by_unit, "unit", "left").join(own, "unit", "left")
-    of_units = of_units.select("rep", (F.coalesce("links", F.lit(0)) + F.coalesce(F.col("own") - F.col("rows"), F.lit(0))).alias("links"))
-
-    # A single vector without a cosine was not scored with the other end: it is verified like a member.
-    unsure = pairs.where("not sure and (balls > 0 or cosine is null)").select("a", "b")
-    touched = unsure.select(F.col("a").alias("unit")).union(unsure.select("b")).distinct()
+    pairs = materialize(pairs.withColumn("single", F.expr("ma = 1 and mb = 1 and cosine is not null")), "pairs")
+
+    certain = pairs.where(F.col("single") & (F.col("cosine") >= cosine))
+    certain = certain.select(F.col("a").alias("rep"), F.col("b").alias("other"), F.col("rb").alias("links")).union(certain.select("b", "a", "ra"))
+    met = pairs.where("not single").select("a", "b").union(weight.where("members > 1").select("unit", "unit"))
+    touched = met.select(F.col("a").alias("unit")).union(met.select("b")).distinct()
     members = units.join(touched, "unit", "left_semi").join(weight.select("unit", "members"), "unit")
     parts = F.ceil(F.col("members") / BLOCK)
     members = materialize(members.select("unit", F.pmod(F.xxhash64("rep"), parts).cast("int").alias("block"), "rep", "rows", "vector"), "members")
-    verified = materialize(_verified(unsure, members, cosine), "verified")
+    linked = materialize(certain.union(_verified(met, members, cosine)), "linked")
 
-    links = of_units.union(verified.select("rep", "links")).groupBy("rep").agg(F.sum("links").alias("links"))
-    edges = certain.select(F.col("unit").alias("a"), F.col("other").alias("b"))
-    edges = edges.union(units.where("rep <> unit").select("rep", "unit")).union(verified.select("rep", "other"))
+    links = linked.groupBy("rep").agg(F.sum("links").alias("links"))
+    # Members of a ball are linked with its pivot.
+    edges = linked.select(F.col("rep").alias("a"), F.col("other").alias("b")).union(units.where("rep <> unit").select("rep", "unit"))
     return links, edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
