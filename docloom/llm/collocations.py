@@ -1,14 +1,15 @@
 """Phrases of words that occur together more than alone, by tries of candidates walked by all positions at once.
 
-1. Texts are cut into pieces and words once. Each slice of about a quarter of a megabyte becomes an array of 64-bit word codes
+1. Texts are cut into pieces and words once. Each slice of about half a megabyte becomes an array of 64-bit word codes
    with a zero between pieces, and the counts of its words. The corpus of codes and all that follows are written tables.
 2. Level by level, the phrases of k words that are frequent enough (the Apriori property: all their parts are) become
    double-array tries, built in tasks and cut by hash so that none holds more than ``trie_phrases`` phrases; a trie is
    broadcast, and only that much at a time. numpy moves the states of all positions of a slice one level
    on together; a bincount over accepting states counts a task's phrases, and the counts are summed over tasks.
 3. The same walk finds the candidates of k + 1 words: a word behind an accepted phrase (where one trie holds a
-   language's level, only if the phrase that begins a word later is accepted as well). They are gathered as counts up to the
-   minimum, which tell whether a phrase is frequent, not how often; that is counted by the next level's trie.
+   language's level, only if the phrase that begins a word later is accepted as well). A task gathers them with counts up to
+   the minimum, which tell whether a phrase is frequent, not how often; that is counted by the next level's trie. They meet by
+   parts, as arrays, and the number of parts follows the number of words.
 4. Scores, cuts and inclusion are joins and sums over the counted phrases, in decimals of 38 digits.
 
 Word codes are hashes of the words. That no two of a language's words share one is checked over all words, and another
@@ -33,20 +34,21 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from docloom.llm.common import narrow
+from docloom.llm.common import mix, narrow
 from docloom.session import materialize, settings
 
 LONGEST = 4
 LEAST = 30
 TOP = 2000
-SLICE = 1 << 18
+SLICE = 1 << 19
 TRIE_PHRASES = 400_000
+PART_WORDS = 1_000_000  # words of the corpus for each part of the candidates
 
 _BREAK = b"\xff"  # in no UTF-8 text
 # What ends a piece, [.,;:!?\x0A-\x0D]. A tab parts words as a space does.
 _ENDS = b".,;:!?\n\x0b\x0c\r"
 _CODES = ["w1", "w2", "w3", "w4"]
-_HELD = 1 << 18  # distinct candidates that a task gathers before it hands them on
+_HELD = 1 << 20  # distinct candidates that a task gathers before it hands them on
 _ROWS = 1 << 16  # rows in a batch that a task hands on
 
 
@@ -200,112 +202,162 @@ class Trie:
         return place, self.phrase[state]
 
 
-def _gathered(found: dict, lang: str) -> Iterator[pa.RecordBatch]:
-    """Rows of a task's counts of phrases and of candidates, one longer."""
-    phrases, counts, keys, seen, least = found["phrases"], found["counts"], found["keys"], found["seen"], found["least"]
-    depth = phrases.shape[1]
-
-    def rows(length: int, columns: list[np.ndarray], values: np.ndarray) -> pa.RecordBatch:
-        n = len(values)
-        columns = columns + [np.zeros(n, np.int64)] * (LONGEST - length)
-        arrays = [pa.array([lang] * n, pa.string()), pa.array(np.full(n, length, np.int32)), *map(pa.array, columns), pa.array(values)]
-        return pa.RecordBatch.from_arrays(arrays, ["lang", "k", *_CODES, "c"])
-
-    held = np.flatnonzero(counts)
-    for begin in range(0, len(held), _ROWS):
-        some = held[begin : begin + _ROWS]
-        yield rows(depth, list(phrases[some].T), counts[some])
-    for begin in range(0, len(keys), _ROWS):
-        some = keys[begin : begin + _ROWS]
-        yield rows(depth + 1, [*phrases[some[:, 0]].T, some[:, 1]], np.minimum(seen[begin : begin + _ROWS], least))
-    counts[:] = 0
-    found["keys"], found["seen"] = np.zeros((0, 2), np.int64), np.zeros(0, np.int64)
-
-
-def _merged(keys: np.ndarray, seen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct keys, rows of two numbers, and the sums of ``seen``."""
-    order = np.lexsort(keys.T)
-    keys, seen = keys[order], seen[order]
-    new = np.ones(len(keys), bool)
-    new[1:] = (keys[1:] != keys[:-1]).any(axis=1)
+def _merged(phrase: np.ndarray, code: np.ndarray, seen: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct candidates, each a phrase and the word behind it, and the sums of ``seen``."""
+    with np.errstate(over="ignore"):
+        key = mix(code.view(np.uint64) + phrase.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    order = np.argsort(key, kind="stable")
+    new = np.diff(key[order].view(np.int64), prepend=0) != 0
+    new[:1] = True
+    other = (np.diff(code[order], prepend=0) != 0) | (np.diff(phrase[order], prepend=0) != 0)
+    if (other & ~new).any():  # two candidates with one key
+        order = np.lexsort([phrase, code])
+        new = (np.diff(code[order], prepend=0) != 0) | (np.diff(phrase[order], prepend=0) != 0)
+        new[:1] = True
     first = np.flatnonzero(new)
-    return keys[first], np.add.reduceat(seen, first) if len(first) else seen[:0]
+    return phrase[order][first], code[order][first], np.add.reduceat(seen[order], first) if len(first) else seen[:0]
 
 
-def _walked(corpus: DataFrame, tries: dict, shards: dict[str, int], least: int) -> DataFrame:
-    """``(lang, k, w1.., c)``: counts of the phrases of broadcast ``tries``, by language, and of the candidates behind them."""
+class _Gathered:
+    """What a task has found of a language: counts of phrases, and the candidates behind them."""
+
+    def __init__(self, phrases: int):
+        self.counts = np.zeros(phrases, np.int64)
+        self.candidates = (np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64))
+
+    def add(self, phrase: np.ndarray, code: np.ndarray) -> None:
+        found = _merged(phrase, code, np.ones(len(code), np.int64))
+        self.candidates = tuple(np.concatenate(pair) for pair in zip(self.candidates, found))
+
+    def hand_on(self, lang: str, parts: int, least: int, counts: bool) -> Iterator[pa.RecordBatch]:
+        """Candidates by parts of all candidates, as bytes; counts a row each."""
+        phrase, code, seen = _merged(*self.candidates)
+        part = (mix(code.view(np.uint64) ^ mix(phrase.astype(np.uint64))) % np.uint64(parts)).astype(np.int32)
+        order = np.argsort(part, kind="stable")
+        seen = np.minimum(seen, least).astype(np.int64)
+        begins = np.flatnonzero(np.diff(part[order], prepend=-1))
+        for some in np.split(order, begins[1:]) if len(order) else []:
+            blobs = [pa.array([a[some].tobytes()], pa.binary()) for a in (phrase, code, seen)]
+            yield _row([lang], [None], [None], [int(part[some[0]])], *blobs)
+        self.candidates = tuple(a[:0] for a in self.candidates)
+        held = np.flatnonzero(self.counts) if counts else []
+        for begin in range(0, len(held), _ROWS):
+            some = held[begin : begin + _ROWS]
+            nothing = pa.nulls(len(some), pa.binary())
+            yield _row([lang] * len(some), some, self.counts[some], [None] * len(some), nothing, nothing, nothing)
+
+
+_WALKED = "lang string, phrase long, c long, part int, phrases binary, codes binary, seen binary"
+_COUNTED = "lang string, k int, w1 long, w2 long, w3 long, w4 long, c long"
+
+
+def _row(lang, phrase, c, part, *blobs) -> pa.RecordBatch:
+    arrays = [pa.array(lang, pa.string()), pa.array(phrase, pa.int64()), pa.array(c, pa.int64()), pa.array(part, pa.int32()), *blobs]
+    return pa.RecordBatch.from_arrays(arrays, ["lang", "phrase", "c", "part", "phrases", "codes", "seen"])
+
+
+def _walked(corpus: DataFrame, tries: dict, alone: set[str], parts: dict[str, int], least: int) -> DataFrame:
+    """Counts of the phrases of broadcast ``tries``, by language, and the candidates behind them.
+
+    Languages in ``alone`` have all their phrases in one trie.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: dict[str, dict] = {}
+        found: dict[str, _Gathered] = {}
         for batch in batches:
             langs, skips = batch.column("lang").to_pylist(), batch.column("skip").to_pylist()
             for lang, body, skip in zip(langs, batch.column("codes"), skips):
                 if lang not in tries:
                     continue
                 trie, codes = tries[lang].value, np.frombuffer(body.as_buffer(), np.int64)
-                own = found.setdefault(lang, {
-                    "phrases": trie.phrases, "counts": np.zeros(len(trie.phrases), np.int64),
-                    "keys": np.zeros((0, 2), np.int64), "seen": np.zeros(0, np.int64), "least": least,
-                })
+                own = found.setdefault(lang, _Gathered(len(trie.phrases)))
                 depth = trie.phrases.shape[1]
                 place, phrase = trie.walk(codes)
                 inside = place + depth - 1 >= skip  # a phrase belongs to the slice that has its last word
-                own["counts"] += np.bincount(phrase[inside], minlength=len(trie.phrases))
+                own.counts += np.bincount(phrase[inside], minlength=len(trie.phrases))
                 if depth == LONGEST:
                     continue
                 behind = place + depth
                 further = (behind < len(codes)) & (behind >= skip)
-                if shards[lang] == 1:
+                if lang in alone:
                     begins = np.zeros(len(codes) + 1, bool)
                     begins[place] = True
                     further &= begins[place + 1]
                 next_code = codes[behind[further]]
-                pairs = np.column_stack([phrase[further], next_code])[next_code != 0].astype(np.int64)
-                keys, seen = _merged(pairs, np.ones(len(pairs), np.int64))
-                own["keys"], own["seen"] = np.concatenate([own["keys"], keys]), np.concatenate([own["seen"], seen])
-                if len(own["keys"]) > _HELD:
-                    own["keys"], own["seen"] = _merged(own["keys"], own["seen"])
-                    if len(own["keys"]) > _HELD // 2:
-                        yield from _gathered(own, lang)
+                own.add(phrase[further][next_code != 0], next_code[next_code != 0])
+                if len(own.candidates[0]) > _HELD:
+                    own.candidates = _merged(*own.candidates)
+                    if len(own.candidates[0]) > _HELD // 2:
+                        yield from own.hand_on(lang, parts[lang], least, False)
         for lang, own in found.items():
-            own["keys"], own["seen"] = _merged(own["keys"], own["seen"])
-            yield from _gathered(own, lang)
+            yield from own.hand_on(lang, parts[lang], least, True)
+
+    return corpus.mapInArrow(run, _WALKED)
+
 
-    return corpus.mapInArrow(run, "lang string, k int, w1 long, w2 long, w3 long, w4 long, c long")
+def _codes_of(lang: pa.Array, phrases: np.ndarray, more: list[np.ndarray], values: np.ndarray) -> pa.RecordBatch:
+    """Rows of ``_COUNTED``: phrases, and words behind them if there are ``more``."""
+    columns = [*phrases.T, *more]
+    k = np.full(len(values), len(columns), np.int32)
+    columns += [np.zeros(len(values), np.int64)] * (LONGEST - len(columns))
+    return pa.RecordBatch.from_arrays([lang, pa.array(k), *map(pa.array, columns), pa.array(values)], ["lang", "k", *_CODES, "c"])
 
 
-def _level(corpus: DataFrame, phrases: DataFrame, k: int, least: int, trie_phrases: int) -> DataFrame:
-    """The exact counts of ``phrases`` ``(lang, w1..)`` of ``k`` words and the candidates of ``k + 1``, in rows as of ``_walked``."""
+def _level(corpus: DataFrame, phrases: DataFrame, k: int, least: int, trie_phrases: int, parts: dict[str, int]) -> DataFrame:
+    """``(lang, k, w1.., c)``: the exact counts of ``phrases`` ``(lang, w1..)`` of ``k`` words, and the phrases of ``k + 1``
+    words that occur ``least`` times, without exact counts."""
     spark = corpus.sparkSession
     # One row for each language, and for each trie.
     held = {r["lang"]: r["n"] for r in phrases.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     shards = {lang: -(-n // trie_phrases) for lang, n in held.items()}
     if not held:
-        return spark.createDataFrame([], "lang string, k int, w1 long, w2 long, w3 long, w4 long, c long")
-    parts = F.create_map(*[F.lit(x) for pair in shards.items() for x in pair])
-    shard = F.pmod(F.xxhash64(*_CODES[:k]), F.element_at(parts, F.col("lang"))).cast("int")
+        return spark.createDataFrame([], _COUNTED)
+    number = F.create_map(*[F.lit(x) for pair in shards.items() for x in pair])
+    shard = F.pmod(F.xxhash64(*_CODES[:k]), F.element_at(number, F.col("lang"))).cast("int")
 
-    def rows(group: pa.Table) -> pa.Table:
+    def built(group: pa.Table) -> pa.Table:
         codes = np.column_stack([group.column(c).to_numpy() for c in _CODES[:k]])
         return pa.table({"lang": group.column("lang").slice(0, 1), "shard": group.column("shard").slice(0, 1), "trie": pa.array([_packed(Trie(codes))], pa.binary())})
 
-    made = phrases.withColumn("shard", shard).groupBy("lang", "shard").applyInArrow(rows, "lang string, shard int, trie binary")
+    made = phrases.withColumn("shard", shard).groupBy("lang", "shard").applyInArrow(built, "lang string, shard int, trie binary")
     made = materialize(made, "tries")
-    counted = None
+    alone, counted = {x for x in shards if shards[x] == 1}, None
     for turn in range(max(shards.values())):
         tries = {}
         for lang in [x for x in shards if shards[x] > turn]:
             row = made.where((F.col("lang") == lang) & (F.col("shard") == turn)).first()
             if row is not None:  # a shard may be empty
                 tries[lang] = spark.sparkContext.broadcast(_unpacked(row["trie"]))
-        counts = _walked(corpus, tries, shards, least).groupBy("lang", "k", *_CODES).agg(F.sum("c").alias("c"))
-        counts = materialize(counts.where((F.col("k") == k) | (F.col("c") >= least)), "phrases")
+        counts = materialize(_summed(materialize(_walked(corpus, tries, alone, parts, least), "walked"), tries, least), "phrases")
         for trie in tries.values():
             trie.unpersist()
         counted = counts if counted is None else counted.union(counts)
     return counted
 
 
+def _summed(walked: DataFrame, tries: dict, least: int) -> DataFrame:
+    """The sums over all tasks: counts phrase by phrase, candidates part by part."""
+
+    def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            langs, phrase, c = np.array(batch.column("lang").to_pylist(), object), batch.column("phrase").to_numpy(), batch.column("c").to_numpy()
+            for lang in set(langs.tolist()):
+                own = langs == lang
+                yield _codes_of(pa.array(langs[own], pa.string()), tries[lang].value.phrases[phrase[own]], [], c[own])
+
+    def frequent(group: pa.Table) -> pa.Table:
+        phrase, code, seen = [np.frombuffer(b"".join(group.column(c).to_pylist()), t) for c, t in (("phrases", np.int32), ("codes", np.int64), ("seen", np.int64))]
+        phrase, code, seen = _merged(phrase, code, seen)
+        good = seen >= least
+        lang = group.column("lang")[0].as_py()
+        rows = _codes_of(pa.array([lang] * int(good.sum()), pa.string()), tries[lang].value.phrases[phrase[good]], [code[good]], seen[good])
+        return pa.Table.from_batches([rows])
+
+    counts = walked.where("part is null").groupBy("lang", "phrase").agg(F.sum("c").alias("c")).mapInArrow(named, _COUNTED)
+    candidates = walked.where("part is not null").select("lang", "part", "phrases", "codes", "seen")
+    return counts.union(candidates.groupBy("lang", "part").applyInArrow(frequent, _COUNTED))
+
+
 def _packed(trie: Trie) -> bytes:
     sink = pa.BufferOutputStream()
     values = [trie.phrases.ravel(), trie.symbols, trie.base, trie.check, trie.phrase, np.array(trie.phrases.shape)]
@@ -339,11 +391,13 @@ def counted_phrases(docs: DataFrame, least: int = LEAST, trie_phrases: int = TRI
     totals = words.groupBy("lang").agg(F.sum("a").alias("n"))
     frequent = materialize(words.where(F.col("a") >= least), "frequent")
     corpus = corpus.select("lang", "codes", "skip")
+    # One row for each language.
+    parts = {r["lang"]: 1 + r["n"] // PART_WORDS for r in totals.collect()}
     nothing = F.lit(0).cast("long")
     candidates = frequent.select("lang", F.col("code").alias("w1"), *[nothing.alias(c) for c in _CODES[1:]])
     found = []
     for k in range(1, LONGEST + 1):
-        counted = _level(corpus, candidates, k, least, trie_phrases)
+        counted = _level(corpus, candidates, k, least, trie_phrases, parts)
         found.append(counted.where(F.col("k") == k))
         candidates = counted.where(F.col("k") == k + 1).select("lang", *_CODES)
     whole = found[0]
