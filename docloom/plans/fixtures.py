@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import io
+import uuid
 import zipfile
 from collections.abc import Iterator
 
@@ -13,7 +14,8 @@ from pyspark.sql import functions as F
 from docloom.operators.index import Index, index_documents
 from docloom.operators.language import LanguageModel
 from docloom.operators.parse import with_file_facts
-from docloom.session import scratch_path
+from docloom.session import materialize, scratch_path
+from docloom.sources.archives import store_of
 
 _kept: dict[tuple[str, str, str], object] = {}
 
@@ -146,3 +148,36 @@ def _zip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(
             [pa.array(paths), pa.array([""] * len(paths)), pa.array(bodies, pa.binary())], names=["path", "lang", "body"]
         )
+
+
+def _groups(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[list[tuple[str, str]]]:
+    """The rows in groups of about ``size`` characters."""
+    rows, held = [], 0
+    for batch in batches:
+        for path, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            rows.append((path, body))
+            held += len(body)
+            if held >= size:
+                yield rows
+                rows, held = [], 0
+    if rows:
+        yield rows
+
+
+def archived(spark: SparkSession, sf_dir: str, archive_bytes: int = 32 * 1024 * 1024) -> DataFrame:
+    """``(path, length)`` of archives of all documents in the shared folder, each made by a task as it comes to it."""
+    folder = scratch_path(spark, "archives")
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, inside = store_of(folder)
+        store.create_dir(inside)
+        for rows in _groups(batches, archive_bytes):
+            name = f"{uuid.uuid4().hex}.zip"
+            with store.open_output_stream(f"{inside}/{name}") as out, zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as archive:
+                for path, body in rows:
+                    archive.writestr(path.removeprefix("/"), body)
+            length = store.get_file_info(f"{inside}/{name}").size
+            yield pa.RecordBatch.from_pydict({"path": [f"{folder}/{name}"], "length": [length]})
+
+    # Written: a task that is run again makes other archives, and only those of the one that counts are listed.
+    return materialize(texts(spark, sf_dir).mapInArrow(write, "path string, length long"), "archives")

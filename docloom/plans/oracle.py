@@ -181,6 +181,12 @@ def _clause(terms: list[str], slop: int = 0) -> str:
             f"AND s{i}.start BETWEEN s.start AND s.start + {slop})"
             for i in range(len(terms))
         )
+        for term in {t for t in terms if slop and terms.count(t) > 1}:
+            at = [i for i, t in enumerate(terms) if t == term]
+            reached += (
+                f" AND (SELECT count(DISTINCT x.start + x.i) FROM s x WHERE x.id = s.id AND x.field = s.field "
+                f"AND x.i IN ({', '.join(map(str, at))}) AND x.start BETWEEN s.start AND s.start + {slop}) >= {len(at)}"
+            )
         tf = f"""SELECT id, field, dl, count(DISTINCT start) AS tf
                  FROM (WITH s AS MATERIALIZED ({starts}) SELECT * FROM s WHERE {reached}) GROUP BY ALL"""
     return f"""SELECT id, field, {len(terms)} AS words,
@@ -269,6 +275,8 @@ ORACLE: dict[str, str] = {
         SELECT path || unnest(['.ZIP/folder/text.txt', '.ZIP/inner.zip/copy.md']) AS path, '' AS lang, 'ok' AS status,
           CAST(strlen(body) AS INTEGER) AS bytes, sha256(body) AS sha FROM {DOCS}
         UNION ALL SELECT path, '', 'ok', CAST(strlen(body) AS INTEGER), sha256(body) FROM {PAGES}""",
+    "large_archives": f"""
+        SELECT path, 'ok' AS status, CAST(strlen(body) AS INTEGER) AS bytes, sha256(body) AS sha FROM {DOCS}""",
     "pack_files": f"""
         SELECT path, '' AS lang, CAST(strlen(body) AS INTEGER) AS bytes, sha256(body) AS sha FROM {DOCS}
         UNION ALL SELECT path, '', CAST(strlen(body) AS INTEGER), sha256(body) FROM {PAGES}""",
@@ -387,7 +395,7 @@ ORACLE: dict[str, str] = {
     "search_phrase": f"""
         WITH {TOKENS} SELECT id, round(raw, 6) AS score FROM {_scores((["of", "the"],), (["de", "la"],))}""",
     "search_proximity": f"""
-        WITH {TOKENS} SELECT id, round(raw, 6) AS score FROM {_scores((["the", "of"], 3))}""",
+        WITH {TOKENS} SELECT id, round(raw, 6) AS score FROM {_scores((["the", "of"], 3), (["the", "of", "the"], 3))}""",
     "search_page": f"""
         WITH {TOKENS} SELECT id, round(raw, 6) AS score, path, lang FROM {SEARCH} JOIN docs USING (id)
         ORDER BY score DESC, id LIMIT 30 OFFSET 20""",

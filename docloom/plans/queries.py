@@ -17,6 +17,7 @@ from docloom.plans import fixtures as X
 from docloom.session import scratch_path
 from docloom.functions.sql import register_sql_functions
 from docloom.sinks.tables import pack_files, save_table
+from docloom.sources.archives import read_archives
 from docloom.sources.files import drop_blacklisted, expand_archives, scan_files
 from docloom.sources.tables import read_table, register_tables
 
@@ -26,7 +27,7 @@ QUERIES: dict[str, Query] = {}
 # Words that the search queries look for, and a misspelt one.
 TERMS = "le of der"
 PHRASE = '"of the" "de la"'
-NEAR = '"the of"~3'
+NEAR = '"the of"~3 "the of the"~3'
 MISSPELT = ["thes", "oderr", "ndd", "quee", "the", "xyzzyx"]
 
 CENTER = (48.85, 2.35)
@@ -76,6 +77,13 @@ def expand_archives_(spark, sf_dir):
     )
 
 
+@query
+def large_archives(spark, sf_dir):
+    """Archives of many documents each, read by ranges of a megabyte."""
+    found = read_archives(X.archived(spark, sf_dir), range_bytes=1024 * 1024)
+    return found.select(F.regexp_extract("path", r"\.zip(/.*)", 1).alias("path"), "status", F.length("body").alias("bytes"), F.sha2("body", 256).alias("sha"))
+
+
 @query
 def pack_files_(spark, sf_dir):
     path = scratch_path(spark, "packed")

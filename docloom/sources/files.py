@@ -7,6 +7,7 @@ import struct
 import zipfile
 import zlib
 from collections.abc import Iterator
+from hashlib import sha256
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -24,6 +25,8 @@ EXPANDED_SCHEMA = "path string, lang string, body binary, status string"
 # unpacked than packed never sits in memory as a whole.
 _BATCH_BYTES = 16 * 1024 * 1024
 
+_CHUNK_BYTES = 64 * 1024
+
 # A Spark value cannot be larger; such an entry is reported with its size, not dropped.
 MAX_BODY_BYTES = 2**31 - 1 - 1024
 
@@ -109,14 +112,23 @@ Entry = tuple[str, bytes | None, str]
 
 
 def _entries(path: str, body: bytes) -> Iterator[Entry]:
-    """``(path, body, status)`` of every entry, those of archives in the archive included, however deep."""
-    waiting = [_opened(path, body)]
+    """``(path, body, status)`` of every entry, those of archives in the archive included, however deep.
+
+    An archive met again within itself has no end and is ``corrupt``.
+    """
+    waiting, digests = [_opened(path, body)], [sha256(body).digest()]
     while waiting:
         row = next(waiting[-1], None)
         if row is None:
             waiting.pop()
+            digests.pop()
         elif row[2] == "ok" and row[0].lower().endswith(".zip"):
-            waiting.append(_opened(row[0], row[1]))
+            digest = sha256(row[1]).digest()
+            if digest in digests:
+                yield row[0], None, "corrupt"
+            else:
+                waiting.append(_opened(row[0], row[1]))
+                digests.append(digest)
         else:
             yield row
 
@@ -147,7 +159,7 @@ def _streamed(path: str, body: bytes) -> Iterator[Entry]:
 
     The archive itself is reported as ``corrupt`` after them.
     """
-    at = body.find(_LOCAL_HEADER)
+    whole, at = memoryview(body), body.find(_LOCAL_HEADER)
     while at >= 0:
         try:
             start = at + len(_LOCAL_HEADER)
@@ -160,11 +172,15 @@ def _streamed(path: str, body: bytes) -> Iterator[Entry]:
             if method == _STORED:
                 found, end = body[start : start + packed], start + packed
             else:
-                reader = zlib.decompressobj(-15)
-                found = reader.decompress(body[start:], MAX_BODY_BYTES)
-                end = len(body) - len(reader.unused_data)
+                # In chunks: handing over all that follows would copy the rest of the archive for each entry.
+                reader, parts, end = zlib.decompressobj(-15), [], start
+                while not reader.eof and end < len(body):
+                    chunk = whole[end : end + _CHUNK_BYTES]
+                    parts.append(reader.decompress(chunk))
+                    end += len(chunk)
                 if not reader.eof:
                     raise zipfile.BadZipFile("cut off")
+                found, end = b"".join(parts), end - len(reader.unused_data)
             if not flags & _SIZES_FOLLOW and (len(found) != size or zlib.crc32(found) != check):
                 raise zipfile.BadZipFile("does not match its checksum")
             if not name.endswith("/"):
