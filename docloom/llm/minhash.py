@@ -4,9 +4,11 @@
    hash. An empty bin borrows from the first non-empty one in a random sequence of bins of its
    own, the same for all documents. Bands of bins are hashed into bucket keys.
 2. Documents with equal sets are one class, represented by its smallest id.
-3. Every bucket gives star-shaped candidates: one member, chosen by hash and so another one in each
-   bucket, against each other member; as many pairs as members. Pairs whose sizes rule out the
-   threshold go; the others are confirmed on the full sets, and links make components.
+3. Every bucket gives star-shaped candidates: one member against each other member, as many pairs as members. First
+   each member is confirmed, on the full sets, against the one centre that is least by the hash of its id among those of its
+   buckets, which is the same in all buckets of a family; links make components. Then every bucket gets a
+   centre of its own, and those pairs are confirmed whose ends are in different components by then. Pairs whose sizes rule
+   out the threshold go. Later links connect components, not documents.
 4. Stars can miss a link between two members that are both unlike the centres. So all members of
    buckets that still hold several components are compared exactly, by the rarest shingles: of
    two linked sets, each has one of the other's among its own ``n - ceil(0.8 n) + 1`` rarest, in
@@ -209,33 +211,45 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, bands: in
     buckets = classes.select("rep", "n", F.explode("keys").alias("bucket"))
 
     # Members of buckets with several classes.
-    chosen = F.xxhash64("bucket", "rep")
+    chosen, same = F.xxhash64("bucket", "rep"), F.xxhash64("rep")
     several = buckets.groupBy("bucket").agg(
         F.min_by("rep", chosen).alias("centre"), F.min_by("n", chosen).alias("centre_n"),
+        F.min_by("rep", same).alias("lead"), F.min_by("n", same).alias("lead_n"),
         F.min("rep").alias("first"), F.max("rep").alias("last"),
     )
-    members = buckets.join(several.where("first <> last").select("bucket", "centre", "centre_n"), "bucket")
+    members = buckets.join(several.where("first <> last").drop("first", "last"), "bucket")
     members = materialize(members, "members")
 
     # Full sets of those members only.
     wanted = members.select(F.col("rep").alias("doc_id")).distinct()
     sets = materialize(_sets(narrowed.join(wanted, "doc_id", "left_semi"), size), "sets")
 
+    # One pair for each member.
+    leads = members.where("rep <> lead").where(_could_link("n", "lead_n", percent))
+    leads = leads.groupBy("rep").agg(F.min_by("lead", F.xxhash64("lead")).alias("lead"))
+    leads = leads.select(F.least("lead", "rep").alias("a"), F.greatest("lead", "rep").alias("b")).distinct()
+    leads = materialize(leads, "leads")
+    found = components(_confirmed(leads, sets, percent))
+
+    # Pairs with the buckets' own centres that would connect components.
     stars = members.where("rep <> centre").where(_could_link("n", "centre_n", percent))
-    stars = stars.select(F.least("centre", "rep").alias("a"), F.greatest("centre", "rep").alias("b"))
-    tested = materialize(stars.distinct(), "stars")
-    links = materialize(_confirmed(tested, sets, percent), "links")
-    found = components(links)
+    stars = stars.select(F.least("centre", "rep").alias("a"), F.greatest("centre", "rep").alias("b")).distinct()
+    for side in "ab":
+        stars = stars.join(found.select(F.col("id").alias(side), F.col("component").alias(f"c{side}")), side, "left")
+    stars = stars.where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b").join(leads, ["a", "b"], "left_anti")
+    stars = materialize(stars, "stars")
+    links = materialize(_confirmed(stars, sets, percent), "links")
+    found = found if links.isEmpty() else _contracted(found, links)
 
     # What stars leave open: members of one bucket in different components.
     placed = members.join(found.select(F.col("id").alias("rep"), "component"), "rep", "left")
     placed = placed.select("bucket", "rep", "n", F.coalesce("component", "rep").alias("c"))
     parts = placed.groupBy("bucket").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low <> high")
     mixed = materialize(placed.join(parts, "bucket", "left_semi").select("rep", "n", "c").distinct(), "mixed")
-    left = _sharing_rare(mixed, sets, percent).join(tested, ["a", "b"], "left_anti")
+    left = _sharing_rare(mixed, sets, percent).join(leads.union(stars), ["a", "b"], "left_anti")
     more = materialize(_confirmed(left, sets, percent), "links")
 
-    reached = found if more.isEmpty() else components(links.union(more))
+    reached = found if more.isEmpty() else _contracted(found, more)
     reps = classes.select(F.col("digest").alias("_digest"), "rep")
     reps = reps.join(reached.select(F.col("id").alias("rep"), "component"), "rep", "left")
     reps = reps.select("_digest", F.coalesce("component", "rep").alias("component"))
@@ -246,6 +260,18 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, bands: in
     )
 
 
+def _contracted(found: DataFrame, links: DataFrame) -> DataFrame:
+    """``(id, component)`` after more links ``(a, b)``, worked out over the components found so far."""
+    named = links
+    for side in "ab":
+        named = named.join(found.select(F.col("id").alias(side), F.col("component").alias(f"c{side}")), side, "left")
+    over = components(named.select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")).distinct())
+    after = over.select(F.col("id").alias("component"), F.col("component").alias("to"))
+    moved = found.join(after, "component", "left").select("id", F.coalesce("to", "component").alias("component"))
+    fresh = over.join(found.select("id"), "id", "left_anti").select("id", "component")
+    return materialize(moved.union(fresh), "components")
+
+
 def keep_one(docs: DataFrame, key: str = "doc_id", **options) -> DataFrame:
     """The rows of ``docs``, all columns, whose document is the one kept of its component."""
     gone = near_duplicates(docs, key=key, **options).where("not kept").select(F.col("doc_id").alias("_gone")).distinct()
