@@ -49,7 +49,7 @@ _BREAK = b"\xff"  # in no UTF-8 text
 _ENDS = b".,;:!?\n\x0b\x0c\r"
 _CODES = ["w1", "w2", "w3", "w4"]
 _HELD = 1 << 20  # distinct candidates that a task gathers before it hands them on
-_ROWS = 1 << 16  # rows in a batch that a task hands on
+_BLOCK = 1 << 12  # phrases whose counts are handed on and summed together
 
 
 def _table() -> bytes:
@@ -230,30 +230,27 @@ class _Gathered:
         self.candidates = tuple(np.concatenate(pair) for pair in zip(self.candidates, found))
 
     def hand_on(self, lang: str, parts: int, least: int, counts: bool) -> Iterator[pa.RecordBatch]:
-        """Candidates by parts of all candidates, as bytes; counts a row each."""
+        """Candidates by parts of all candidates, and counts by blocks of phrases, as bytes."""
         phrase, code, seen = _merged(*self.candidates)
         part = (mix(code.view(np.uint64) ^ mix(phrase.astype(np.uint64))) % np.uint64(parts)).astype(np.int32)
         order = np.argsort(part, kind="stable")
-        seen = np.minimum(seen, least).astype(np.int64)
         begins = np.flatnonzero(np.diff(part[order], prepend=-1))
         for some in np.split(order, begins[1:]) if len(order) else []:
-            blobs = [pa.array([a[some].tobytes()], pa.binary()) for a in (phrase, code, seen)]
-            yield _row([lang], [None], [None], [int(part[some[0]])], *blobs)
+            yield _row(lang, int(part[some[0]]), phrase[some], code[some], np.minimum(seen[some], least).astype(np.uint8))
         self.candidates = tuple(a[:0] for a in self.candidates)
-        held = np.flatnonzero(self.counts) if counts else []
-        for begin in range(0, len(held), _ROWS):
-            some = held[begin : begin + _ROWS]
-            nothing = pa.nulls(len(some), pa.binary())
-            yield _row([lang] * len(some), some, self.counts[some], [None] * len(some), nothing, nothing, nothing)
+        for begin in range(0, len(self.counts) if counts else 0, _BLOCK):
+            held = np.flatnonzero(self.counts[begin : begin + _BLOCK])
+            if len(held):
+                yield _row(lang, -1 - begin // _BLOCK, held.astype(np.int32), self.counts[begin + held], np.zeros(0, np.uint8))
 
 
-_WALKED = "lang string, phrase long, c long, part int, phrases binary, codes binary, seen binary"
+_WALKED = "lang string, part int, phrases binary, codes binary, seen binary"
 _COUNTED = "lang string, k int, w1 long, w2 long, w3 long, w4 long, c long"
 
 
-def _row(lang, phrase, c, part, *blobs) -> pa.RecordBatch:
-    arrays = [pa.array(lang, pa.string()), pa.array(phrase, pa.int64()), pa.array(c, pa.int64()), pa.array(part, pa.int32()), *blobs]
-    return pa.RecordBatch.from_arrays(arrays, ["lang", "phrase", "c", "part", "phrases", "codes", "seen"])
+def _row(lang: str, part: int, *arrays: np.ndarray) -> pa.RecordBatch:
+    blobs = [pa.array([a.tobytes()], pa.binary()) for a in arrays]
+    return pa.RecordBatch.from_arrays([pa.array([lang], pa.string()), pa.array([part], pa.int32()), *blobs], ["lang", "part", "phrases", "codes", "seen"])
 
 
 def _walked(corpus: DataFrame, tries: dict, alone: set[str], parts: dict[str, int], least: int) -> DataFrame:
@@ -338,23 +335,27 @@ def _level(corpus: DataFrame, phrases: DataFrame, k: int, least: int, trie_phras
 def _summed(walked: DataFrame, tries: dict, least: int) -> DataFrame:
     """The sums over all tasks: counts phrase by phrase, candidates part by part."""
 
-    def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # A block for each that this task was dealt, however many tasks counted it.
+        held: dict[tuple[str, int], np.ndarray] = {}
         for batch in batches:
-            langs, phrase, c = np.array(batch.column("lang").to_pylist(), object), batch.column("phrase").to_numpy(), batch.column("c").to_numpy()
-            for lang in set(langs.tolist()):
-                own = langs == lang
-                yield _codes_of(pa.array(langs[own], pa.string()), tries[lang].value.phrases[phrase[own]], [], c[own])
+            for row in batch.to_pylist():
+                own = held.setdefault((row["lang"], -1 - row["part"]), np.zeros(_BLOCK, np.int64))
+                own[np.frombuffer(row["phrases"], np.int32)] += np.frombuffer(row["codes"], np.int64)
+        for (lang, block), own in held.items():
+            some = np.flatnonzero(own)
+            yield _codes_of(pa.array([lang] * len(some), pa.string()), tries[lang].value.phrases[block * _BLOCK + some], [], own[some])
 
     def frequent(group: pa.Table) -> pa.Table:
-        phrase, code, seen = [np.frombuffer(b"".join(group.column(c).to_pylist()), t) for c, t in (("phrases", np.int32), ("codes", np.int64), ("seen", np.int64))]
-        phrase, code, seen = _merged(phrase, code, seen)
+        phrase, code, seen = [np.frombuffer(b"".join(group.column(c).to_pylist()), t) for c, t in (("phrases", np.int32), ("codes", np.int64), ("seen", np.uint8))]
+        phrase, code, seen = _merged(phrase, code, seen.astype(np.int64))
         good = seen >= least
         lang = group.column("lang")[0].as_py()
         rows = _codes_of(pa.array([lang] * int(good.sum()), pa.string()), tries[lang].value.phrases[phrase[good]], [code[good]], seen[good])
         return pa.Table.from_batches([rows])
 
-    counts = walked.where("part is null").groupBy("lang", "phrase").agg(F.sum("c").alias("c")).mapInArrow(named, _COUNTED)
-    candidates = walked.where("part is not null").select("lang", "part", "phrases", "codes", "seen")
+    counts = walked.where("part < 0").select("lang", "part", "phrases", "codes").repartition("lang", "part").mapInArrow(summed, _COUNTED)
+    candidates = walked.where("part >= 0")
     return counts.union(candidates.groupBy("lang", "part").applyInArrow(frequent, _COUNTED))
 
 
