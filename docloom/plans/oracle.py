@@ -151,12 +151,12 @@ TOKENS = _tokens(
     f"""SELECT sha256(path) AS id, path, body, lang, {_extension('path')} AS extension, coalesce(cluster, -1) AS cluster
         FROM {DOCS} LEFT JOIN {CLUSTERS} c USING (path)"""
 )
-# Labelled documents with another word for "the", and every tenth document once more as a new one.
+# Labelled documents with another word for "the", and every document once more as a new one.
 UPDATED = _tokens(
     rf"""SELECT sha256(path) AS id, path, body FROM (
           SELECT path, CASE WHEN doc_id IN (SELECT doc_id FROM labels) THEN replace(body, ' the ', ' updated ')
                        ELSE body END AS body FROM {DOCS}
-          UNION ALL SELECT path || '.new', 'updated of' FROM {DOCS} WHERE doc_id % 10 = 0)"""
+          UNION ALL SELECT path || '.new', body FROM {DOCS})"""
 )
 
 

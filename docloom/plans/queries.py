@@ -515,12 +515,12 @@ def search_page(spark, sf_dir):
 
 @query
 def search_after_update(spark, sf_dir):
-    """Labelled documents get other words, some documents are new; then the index is searched."""
+    """Labelled documents get other words, and every document comes once more under a new path; then the index is searched."""
     built = index.Index.build(X.index_rows(spark, sf_dir), scratch_path(spark, "updated"), 8, 1)
     labels = X.table(spark, sf_dir, "labels").select("doc_id").distinct()
     docs = X.docs(spark, sf_dir).select("doc_id", "path", "body", "lang")
     changed = docs.join(labels, "doc_id").withColumn("body", F.replace("body", F.lit(" the "), F.lit(" updated ")))
-    new = docs.filter(F.col("doc_id") % 10 == 0).select("doc_id", F.concat("path", F.lit(".new")).alias("path"), F.lit("updated of").alias("body"), "lang")
+    new = docs.select("doc_id", F.concat("path", F.lit(".new")).alias("path"), "body", "lang")
     batch = changed.unionByName(new).select("path", "body", "lang")
     rows = index.index_documents(parse.with_file_facts(batch), use_parsed_lang=True)
     return search.hits(built.update(rows), "updated the of")
