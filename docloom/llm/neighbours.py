@@ -1,6 +1,6 @@
 """Approximate nearest neighbours by learned partitions.
 
-Fitting takes at most ``sample`` vectors, those least by the hash of their id. Their graph of nearest
+Fitting takes at most ``sample`` usable vectors, those least by the hash of their id. Their graph of nearest
 neighbours is cut into partitions of equal size with few edges between them: halves along principal
 directions, then moves of vertices to the partition of most of their neighbours while sizes stay
 balanced. A small network learns, from a vector, in which partitions its neighbours lie. It indexes every row
@@ -12,8 +12,9 @@ vector that holds a third of all rows is searched by many tasks. Scores are sums
 precision over the original vectors, added up in the order of the dimensions, so equal vectors have equal scores. Each
 block gives the best of its rows to the query, and these are merged.
 
-Defined cases: vectors that are null, zero, of another length than the sample's most frequent one, or hold null or
-non-finite components take no part, as queries or as candidates; nor do rows with a null id. Equal scores are
+Defined cases: vectors that are null, zero, of another length than the table's, or hold null or
+non-finite components take no part, as queries or as candidates; nor do rows with a null id. The length is the
+most frequent one of all usable vectors, the smallest among equals. A sample of fewer than 128 makes one partition. Equal scores are
 ordered by id. Repeated rows are candidates as often as they occur, but never of their own id. A query whose
 partitions hold too few candidates is routed to further ones, so it gets ``k`` if the table has them. Only the two
 named columns are read. An empty table gives an empty table.
@@ -209,9 +210,17 @@ def best(queries: np.ndarray, query_ids: np.ndarray, vectors: np.ndarray, ids: n
 
 def fit(vectors: DataFrame, sample: int = SAMPLE, partitions: int = PARTITIONS, recall: float = RECALL, k: int = 20, key: str = "vec_id", vector: str = "embedding") -> Router | None:
     """Learn partitions from at most ``sample`` vectors; None without a usable vector."""
-    rows = narrow(vectors, vec_id=key, vector=vector).dropna()
-    chosen = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample).toArrow()
-    matrix, _ = _matrix(chosen.column("vector").combine_chunks())
+    values = F.col("vector").cast("array<double>")
+    finite = F.forall(values, lambda x: F.coalesce(F.abs(x) < float("inf"), F.lit(False)))  # nan is above infinity
+    usable = finite & F.exists(values, lambda x: x != 0)
+    rows = narrow(vectors, vec_id=key, vector=vector).dropna().where(usable)
+    # Rows that cannot be used go before the sample is drawn, so they never take its places.
+    lengths = rows.groupBy(F.size("vector").alias("dim")).agg(F.count("*").alias("n"))
+    usual = lengths.orderBy(F.desc("n"), "dim").first()
+    if usual is None:
+        return None
+    chosen = rows.where(F.size("vector") == usual["dim"]).orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample).toArrow()
+    matrix, _ = _matrix(chosen.column("vector").combine_chunks(), usual["dim"])
     return Router.fit(matrix, partitions, recall, k) if len(matrix) > 1 else None
 
 

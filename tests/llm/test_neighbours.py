@@ -81,6 +81,18 @@ def test_awkward_rows(spark):
     assert neighbours.search(one, F.col("vec_id") % 20 == 0, neighbours.fit(one)).count() == 0
 
 
+def test_unusable_rows_take_no_places_of_the_sample(spark):
+    random = np.random.default_rng(3)
+    good = {i: random.normal(size=4).astype(np.float32).astype(float) for i in range(3000, 3020)}
+    bad = [[0.0] * 4, [float("nan"), 1.0, 1.0, 1.0], [None, 1.0, 1.0, 1.0], [1.0, float("-inf"), 0.0, 0.0], []]
+    rows = [(i, bad[i % 5]) for i in range(3000)] + [(i, v.tolist()) for i, v in good.items()]
+    df = spark.createDataFrame(rows, SCHEMA)
+    router = neighbours.fit(df, sample=10)
+    assert len(router.mean) == 4
+    a = found(neighbours.search(df, F.col("vec_id") % 5 == 0, router, k=20))
+    assert a == brute(good, [3000, 3005, 3010, 3015], 20)
+
+
 def test_query_reaches_the_recall(spark):
     sf_dir = "/root/testdata/sf0.1"
     rows = {r["vec_id"]: np.array(r["embedding"], float) for r in spark.read.parquet(f"{sf_dir}/embeddings.parquet").collect()}
