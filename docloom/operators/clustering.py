@@ -12,10 +12,12 @@ from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import IDF, HashingTF, Normalizer, SQLTransformer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from docloom.functions import text as T
 from docloom.functions.text import words_sql
+from docloom.operators.words import doc_freq, idf
 from docloom.session import materialize
 
 # Fixed values of the recipe.
@@ -128,6 +130,24 @@ def centers(model: PipelineModel, docs: DataFrame) -> DataFrame:
     return wide.select("cluster", F.posexplode("center").alias("dim", "weight"))
 
 
+def top_terms(words: DataFrame, clusters: DataFrame, n: int = 10) -> DataFrame:
+    """``(cluster, rank, w, c, weight)``: the ``n`` words of the largest TF-IDF sum in each cluster.
+
+    Takes ``(path, words)`` and ``(path, cluster)``. The sum over a cluster is the word's count ``c``
+    there times its IDF over all documents, so counts are added as integers, partly before the
+    shuffle, and a word meets its IDF once a cluster. Weights are compared to six places, equal
+    ones in the order of the words. The rank filter cuts each task's words before they move.
+    """
+    documents = words.agg(F.count(F.lit(1))).scalar()
+    own = T.each(words.join(clusters.select("path", "cluster"), "path"), "words", "cluster", name="w")
+    counts = own.groupBy("cluster", "w").agg(F.count(F.lit(1)).alias("c"))
+    weights = counts.join(idf(doc_freq(words), documents), "w")
+    weights = weights.select("cluster", "w", "c", F.round(F.col("c") * F.col("idf"), 6).alias("weight"))
+    order = Window.partitionBy("cluster").orderBy(F.desc("weight"), "w")
+    ranked = weights.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= n)
+    return ranked.select("cluster", "rank", "w", "c", "weight")
+
+
 def mean_centers(vectors: DataFrame, vector: str, label: str) -> DataFrame:
     """``(cluster, center)``: the mean vector of each label."""
     dense = vectors.select(F.col(label).alias("cluster"), array_to_vector(F.col(vector).cast("array<double>")).alias("x"))

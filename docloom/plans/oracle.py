@@ -379,6 +379,14 @@ ORACLE: dict[str, str] = {
     "cluster_documents": f"SELECT path, true AS nearest FROM {DOCS}",
     "cluster_sizes": "SELECT count(*) AS documents, 0::BIGINT AS unknown, true AS several FROM documents",
     "cluster_centers": "SELECT CAST(unnest(range(20)) AS INTEGER) AS cluster, 1000::BIGINT AS dims, true AS finite",
+    "cluster_terms": f"""
+        WITH wc AS MATERIALIZED (SELECT f, w, count(*) AS n
+          FROM (SELECT path AS f, unnest(regexp_extract_all(body, '{WORD}')) AS w FROM {DOCS}) GROUP BY f, w),
+        dfs AS (SELECT w, count(*) AS df FROM wc GROUP BY w), docs AS (SELECT count(*) AS docs FROM documents),
+        own AS (SELECT cluster, w, CAST(sum(n) AS BIGINT) AS c FROM wc JOIN {CLUSTERS} ON path = f GROUP BY cluster, w),
+        scored AS (SELECT cluster, w, c, round(c * ln((docs + 1::DOUBLE) / (df + 1::DOUBLE)), 6) AS weight FROM own JOIN dfs USING (w), docs)
+        SELECT cluster, CAST(row_number() OVER (PARTITION BY cluster ORDER BY weight DESC, w) AS INTEGER) AS rank, w, c, weight
+        FROM scored QUALIFY rank <= 10""",
     "model_reload": f"SELECT path, true AS same FROM {DOCS}",
     "assign_cluster": """
         WITH parts AS (SELECT vec_id, label, unnest(embedding) AS x, unnest(range(len(embedding))) AS dim FROM embeddings),

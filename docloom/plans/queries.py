@@ -459,6 +459,11 @@ def cluster_centers(spark, sf_dir):
     return weights.groupBy("cluster").agg(F.count_distinct("dim").alias("dims"), finite.alias("finite"))
 
 
+@query
+def cluster_terms(spark, sf_dir):
+    return clustering.top_terms(words.tokenize(X.texts(spark, sf_dir)), X.cluster_table(spark, sf_dir))
+
+
 @query
 def model_reload(spark, sf_dir):
     """A model saved and loaded gives every document the cluster it had."""

@@ -25,6 +25,17 @@ def test_hashed_counts_add_up_to_the_words(spark, docs):
     assert all(n == t for n, t in counted.select(F.size("words"), total).collect())
 
 
+def test_top_terms_of_given_clusters(spark):
+    rows = [("/a", "red red sun"), ("/b", "red sun all"), ("/c", "sea all"), ("/d", ""), ("/e", None), ("/f", "sea far")]
+    words = tokenize(spark.createDataFrame(rows, "path string, body string"))
+    labels = spark.createDataFrame([("/a", 1), ("/b", 1), ("/c", 2), ("/d", 3), ("/x", 4)], "path string, cluster int")
+    found = [tuple(r) for r in C.top_terms(words, labels, 2).orderBy("cluster", "rank").collect()]
+    one = round(float(np.log(7 / 3)), 6)
+    assert found == [(1, 1, "red", 3, round(3 * float(np.log(7 / 3)), 6)), (1, 2, "sun", 2, round(2 * float(np.log(7 / 3)), 6)),
+                     (2, 1, "all", 1, one), (2, 2, "sea", 1, one)]
+    assert C.top_terms(words.limit(0), labels).count() == 0
+
+
 def test_every_document_gets_one_cluster(spark, docs):
     model = C.fit_clusters(docs, k=4)
     found = C.assign(model, docs)
