@@ -8,11 +8,12 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from docloom.functions import charset as C
 from docloom.functions import text as T
 from docloom.functions.paths import date_text, file_extension, file_name, has_extension
 
-# Extensions read as HTML and as plain text. A name without any
-# extension counts as plain text too.
+# Extensions read as HTML and as plain text. What has a name without any
+# extension is told by its content.
 HTML_EXTENSIONS = ["html", "htm", "xhtml"]
 TEXT_EXTENSIONS = ["", "txt", "text", "md", "log", "csv", "json", "xml"]
 
@@ -29,13 +30,8 @@ def with_file_facts(df: DataFrame, path: str = "path") -> DataFrame:
     return df.withColumns({"fileName": file_name(F.col(path)), "extension": file_extension(F.col(path))})
 
 
-def plain_text(body: Column) -> Column:
-    """Bytes as UTF-8 text; broken sequences become the replacement character."""
-    return F.make_valid_utf8(body.cast("string"))
-
-
 def route(path: Column) -> Column:
-    """Which reader a file goes to: ``html``, ``text`` or ``other``."""
+    """Which reader a file goes to by its name: ``html``, ``text`` or ``other``."""
     return (
         F.when(has_extension(path, *HTML_EXTENSIONS), "html")
         .when(has_extension(path, *TEXT_EXTENSIONS), "text")
@@ -64,7 +60,8 @@ def with_dates(text: Column, *dates: Column) -> Column:
 def extract_text(df: DataFrame, handlers: HandlerFactory | None = None) -> DataFrame:
     """``(path, body binary)`` to ``(path, body string, fileName, extension, status)``.
 
-    The files are read once. Pages and plain text are done in the JVM; only the bodies of
+    Text is read in the charset that its bytes tell, and a file whose name has no extension goes to the reader
+    for its content (``functions.charset``). The files are read once. Pages and plain text are done in the JVM; only the bodies of
     other formats enter Python, for the handler of their extension. ``status`` is ``ok``,
     ``unsupported`` (no handler), ``error`` (the handler failed) or ``empty`` (no body, or a
     handler that found no text);
@@ -72,11 +69,16 @@ def extract_text(df: DataFrame, handlers: HandlerFactory | None = None) -> DataF
     """
     routed = with_file_facts(df.select("path", F.col("body").alias("_bytes"))).withColumn("_route", route(F.col("path")))
     is_html, is_other = F.col("_route") == "html", F.col("_route") == "other"
-    read = routed.withColumn("body", F.when(~is_other, plain_text(F.col("_bytes"))))
+    read = routed.withColumn("_charset", F.when(~is_other, C.charset(F.col("_bytes"))))
+    read = read.withColumn("body", F.when(~is_other, C.decoded(F.col("_bytes"), F.col("_charset"))))
+    unnamed = (F.col("extension") == "") & F.col("_bytes").isNotNull()
+    read = read.withColumn("_kind", F.when(unnamed, C.content_type(F.col("_bytes"), F.col("body"))).otherwise(F.col("extension")))
+    told = F.when(F.col("_kind") == "html", "html").when(F.col("_kind").isin("txt", "xml"), "text").otherwise("other")
+    read = read.withColumn("_route", F.when(unnamed, told).otherwise(F.col("_route")))
     if handlers is None:
         outcome = F.struct(F.lit("").alias("text"), F.lit("unsupported").alias("status"))
     else:
-        outcome = _handled(handlers)("path", "extension", F.when(is_other, F.col("_bytes")), is_other)
+        outcome = _handled(handlers)("path", "_kind", F.when(is_other, F.col("_bytes")), is_other)
     read = read.withColumn("_other", outcome)
     read = read.withColumn("_visible", F.when(is_html, T.without_tags(F.col("body"))))
     facts = _with_facts(read, F.when(is_html, F.col("body")))

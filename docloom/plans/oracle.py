@@ -349,6 +349,12 @@ ORACLE: dict[str, str] = {
         SELECT path, "fileName", extension, status, body FROM {PARSED} WHERE route = 'html'""",
     "extract_text": f"""
         SELECT path, extension, status, CAST(length(body) AS INTEGER) AS chars, sha256(body) AS sha FROM {PARSED}""",
+    "charset_documents": rf"""
+        SELECT regexp_replace(path, '\.\w+$', '') || '/' || c AS path, 'ok' AS status, CAST(length(body) AS INTEGER) AS chars, sha256(body) AS sha
+        FROM {DOCS}, unnest(['utf-8', 'utf-16le', 'utf-16be']) AS u(c)""",
+    "charset_pages": rf"""
+        SELECT regexp_replace(path, '\.\w+$', '') || '/' || c AS path, status, CAST(length(body) AS INTEGER) AS chars, sha256(body) AS sha
+        FROM {PARSED}, unnest(['utf-8', 'iso-8859-1', 'utf-16le', 'utf-16be']) AS u(c) WHERE route = 'html'""",
     "extract_hard": """
         SELECT page_id, page_id || ' a > b é ü ß € 漢 & &unknown; &lt; x caf' || chr(233) || ' end ' || page_id AS body,
           'Tom & Jerry' AS title, 'A. B.' AS author, 'k1, k2' AS keywords, NULL AS description FROM pages""",

@@ -301,6 +301,47 @@ def extract_text(spark, sf_dir):
     )
 
 
+@query
+def charset_documents(spark, sf_dir):
+    """Every document in three encodings, under a name without extension and without a declaration."""
+    text = F.col("body")
+    written = {
+        "utf-8": F.encode(text, "UTF-8"),
+        "utf-16le": F.encode(text, "UTF-16LE"),
+        "utf-16be": F.concat(F.lit(b"\xfe\xff"), F.encode(text, "UTF-16BE")),
+    }
+    return _read_back(X.docs(spark, sf_dir).select("path", "body"), written)
+
+
+@query
+def charset_pages(spark, sf_dir):
+    """Every page in four charsets, under a name without extension."""
+    declared = F.regexp_replace(F.col("body"), r"(?i)<meta charset=[^>]*>", '<meta charset="iso-8859-1">')
+    written = {
+        "utf-8": F.encode(F.col("body"), "UTF-8"),
+        "iso-8859-1": _narrow(declared, F.col("body")),
+        "utf-16le": F.concat(F.lit(b"\xff\xfe"), F.encode(F.col("body"), "UTF-16LE")),
+        "utf-16be": F.encode(F.col("body"), "UTF-16BE"),
+    }
+    return _read_back(X.pages(spark, sf_dir), written)
+
+
+def _narrow(text, given):
+    """``text`` in a byte a character, or ``given`` in UTF-8 if it has characters that windows-1252 has not or elsewhere."""
+    return F.when(F.rlike(text, F.lit(r"[^\x{0}-\x{7F}\x{A0}-\x{FF}]")), F.encode(given, "UTF-8")).otherwise(F.encode(text, "ISO-8859-1"))
+
+
+def _read_back(files, written):
+    """``(path, status, chars, sha)`` of the texts of ``(path, body)`` written in each charset."""
+    kinds = F.array(*[F.struct(F.lit(name).alias("charset"), body.alias("bytes")) for name, body in written.items()])
+    bare = F.regexp_replace("path", r"\.\w+$", "")
+    raw = files.select(bare.alias("file"), F.explode(kinds).alias("k")).select(
+        F.concat("file", F.lit("/"), F.replace("k.charset", F.lit("."), F.lit(""))).alias("path"), F.col("k.bytes").alias("body")
+    )
+    read = parse.extract_text(raw)
+    return read.select("path", "status", F.length("body").alias("chars"), F.sha2("body", 256).alias("sha"))
+
+
 # Spellings that the given pages do not have; %d stands for the page.
 HARD_PAGE = (
     "<html><head><script>var s = '</head><meta name=\"author\" content=\"no\">';</script><!-- <title>no</title> -->"
