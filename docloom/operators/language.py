@@ -31,6 +31,11 @@ from docloom.functions import text as T
 PROFILE_SIZE = 1000
 MILLION = 1_000_000
 
+# Characters scored at a time: memory depends neither on the rows of a batch nor on the length of a text.
+PIECE = 1 << 18
+# Rows of a batch that are Python strings at a time.
+ROWS = 500
+
 # Squared distance by which the best language must lead to count as reasonably certain.
 # Measured on labelled text: nearly all texts of a few words or more lead by more, and
 # most wrong answers by less.
@@ -73,26 +78,11 @@ class Weights:
     def decide(self, texts: Sequence[str | None], min_margin: float | None = None) -> list[str]:
         """The language of each text, by the rules of ``LanguageModel.detect``."""
         rows, languages = len(texts), len(self.names)
-        padded = [f" {t.lower()} ".encode("utf-32-le", "replace") if t else b"" for t in texts]
-        points = np.frombuffer(b"".join(padded), dtype=np.uint32).astype(np.int64)
-        if not len(points) or not languages:
+        if not rows or not languages:
             return [""] * rows
-        row = np.repeat(np.arange(rows), np.array([len(p) // 4 for p in padded]))
-        letter = _is_letter()[points]
-        letters = np.bincount(row[letter], minlength=rows)
-        # Each run of other characters becomes one "_", as do the blanks between two texts. A
-        # trigram around a letter is then one of the padded words' own.
-        kept = letter.copy()
-        kept[0] = True
-        kept[1:] |= letter[:-1]
-        points, row = np.where(letter, points, ord("_"))[kept], row[kept]
-        middle = np.flatnonzero(points[1:-1] != ord("_")) + 1
-        grams = points[middle - 1] << 42 | points[middle] << 21 | points[middle + 1]
-        place = np.minimum(np.searchsorted(self.codes, grams), len(self.codes) - 1)
-        known = self.codes[place] == grams
-        place, row = place[known], row[middle][known]
-        # Sums of whole numbers far below 2**53, so exact.
-        sums = np.stack([np.bincount(row, self.values[place, i], rows) for i in range(languages)], 1)
+        letters, sums = np.zeros(rows, np.int64), np.zeros((rows, languages))
+        for first, pieces in _pieces(texts):
+            self._add(pieces, letters[first:], sums[first:])
         with np.errstate(divide="ignore", invalid="ignore"):
             distances = self.norms - 2.0 * MILLION * sums / letters[:, None]
         certain = letters > 0
@@ -102,6 +92,29 @@ class Weights:
             certain &= second - first >= min_margin * MILLION**2
         return [self.names[b] if c else "" for b, c in zip(best, certain)]
 
+    def _add(self, pieces: list[tuple[int, str]], letters: np.ndarray, sums: np.ndarray) -> None:
+        """Add the letters and the weights of the trigrams of ``(row, piece)``, but for those round a piece's two ends."""
+        coded = [piece.encode("utf-32-le", "replace") for _, piece in pieces]
+        lengths = np.array([len(c) // 4 for c in coded])
+        points = np.frombuffer(b"".join(coded), dtype=np.uint32).astype(np.int64)
+        row = np.repeat(np.array([r for r, _ in pieces]), lengths)
+        letter = _is_letter()[points]
+        inner, ends = letter.copy(), np.cumsum(lengths)
+        inner[ends - lengths] = inner[ends - 1] = False
+        rows = int(row[-1]) + 1
+        letters[:rows] += np.bincount(row[inner], minlength=rows)
+        # Any other character is "_", as are the blanks at both ends of a text. A trigram around a letter is then
+        # one of the padded words' own.
+        points = np.where(letter, points, ord("_"))
+        middle = np.flatnonzero(inner)
+        grams = points[middle - 1] << 42 | points[middle] << 21 | points[middle + 1]
+        place = np.minimum(np.searchsorted(self.codes, grams), len(self.codes) - 1)
+        known = self.codes[place] == grams
+        place, row = place[known], row[middle][known]
+        # Sums of whole numbers far below 2**53, so exact.
+        for i in range(len(self.names)):
+            sums[:rows, i] += np.bincount(row, self.values[place, i], rows)
+
 
 @dataclass(frozen=True)
 class LanguageModel:
@@ -142,8 +155,9 @@ class LanguageModel:
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                found = weights.value.decide(batch.column(1).to_pylist(), min_margin)
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.string())], [key, "lang"])
+                for part in (batch.slice(i, ROWS) for i in range(0, len(batch), ROWS)):
+                    found = weights.value.decide(part.column(1).to_pylist(), min_margin)
+                    yield pa.RecordBatch.from_arrays([part.column(0), pa.array(found, pa.string())], [key, "lang"])
 
         kind = df.schema[key].dataType.simpleString()
         return df.select(F.col(key), F.col(text).alias("_text")).mapInArrow(run, f"`{key}` {kind}, lang string")
@@ -166,6 +180,27 @@ class LanguageModel:
         spark.udf.register(name, self.udf(min_margin))
 
 
+def _pieces(texts: Sequence[str | None], size: int = PIECE) -> Iterator[tuple[int, list[tuple[int, str]]]]:
+    """The first row and the pieces ``(row, piece)``, rows counted from it, of about ``size`` characters of the texts.
+
+    Texts are in lower case between two blanks. A longer one is in several pieces, each with the character
+    before and the character after its own.
+    """
+    first, pieces, held = 0, [], 0
+    for number, text in enumerate(texts):
+        padded = f" {text.lower()} " if text else ""
+        for start in range(1, len(padded) - 1, size):
+            if not pieces:
+                first = number
+            pieces.append((number - first, padded[start - 1 : start + size + 1]))
+            held += len(pieces[-1][1])
+            if held >= size:
+                yield first, pieces
+                pieces, held = [], 0
+    if pieces:
+        yield first, pieces
+
+
 def _code(gram: str) -> int:
     a, b, c = (ord(ch) for ch in gram)
     return a << 42 | b << 21 | c

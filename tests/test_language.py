@@ -97,3 +97,41 @@ def test_a_hundred_languages(spark):
     model = LanguageModel.fit(df, size=5000)
     assert model.languages == sorted(vocabulary)
     assert all(r["path"] == f"/{r['lang']}" for r in model.detect(df).collect())
+
+
+def test_memory_does_not_grow_with_the_batch():
+    """Whole batches used to be scored at once: some 200 bytes for each of their characters."""
+    import tracemalloc
+
+    import numpy as np
+
+    from docloom.operators import language as L
+
+    codes = np.array(sorted(L._code(g) for g in ("_ab", "abc", "bc_", "_xy", "xyz", "yz_")))
+    values = np.arange(12).reshape(6, 2)
+    weights = L.Weights(codes, values, np.array([7.0, 9.0]), ["a", "b"])
+    texts = ["abc xyz, " * 2000, None, "", "1 2"] * 150 + ["abc-xyz " * 300_000]
+    weights.decide(["abc"])
+    tracemalloc.start()
+    found = weights.decide(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 120_000_000
+    assert found == [weights.decide([t])[0] for t in texts]
+
+
+def test_pieces_of_a_text_give_what_the_text_gives():
+    import re
+
+    from docloom.operators import language as L
+
+    texts = ["Über den Wolken", None, "a", "", "x1y  zzß\U0001d400q", "word " * 7]
+    for size in (1, 2, 3, 5, 100):
+        grams = {}
+        for first, pieces in L._pieces(texts, size):
+            for row, piece in pieces:
+                shown = re.sub(r"[\W\d_]", "_", piece)
+                grams.setdefault(first + row, []).extend(shown[i - 1 : i + 2] for i in range(1, len(shown) - 1) if shown[i] != "_")
+        for number, text in enumerate(texts):
+            words = [f"_{w}_" for w in re.findall(r"[^\W\d_]+", (text or "").lower())]
+            assert grams.get(number, []) == [w[i : i + 3] for w in words for i in range(len(w) - 2)]
