@@ -96,3 +96,31 @@ def test_an_update_reaches_search(spark, tmp_path):
     terms = lambda i: {(r["field"], r["term"], r["df"]) for r in i.terms.collect()}
     assert terms(after) == terms(final) and after.documents.count() == 4
     assert sorted(map(tuple, after.stats.collect())) == sorted(map(tuple, final.stats.collect()))
+
+
+def test_blocks_hold_what_a_loop_finds(spark):
+    """Every place of every word, in blocks of bounded size and in numbers instead of ids."""
+    from docloom.operators import index as I
+
+    texts = {i: " ".join(["all", "all", f"w{i % 3}", f"only{i}"][: i % 5]) for i in range(100)}
+    docs = spark.createDataFrame([(i, t, f"/p{i % 2}") for i, t in texts.items()], "num long, text string, path string").coalesce(2)
+    made = I.blocks(docs, 4)
+    assert made.agg(F.max("n")).first()[0] == I.BLOCK
+    got = Counter((r["field"], r["term"], r["doc"], r["tf"], r["dl"], tuple(r["positions"])) for r in I.entries(made).collect())
+    expected = Counter()
+    for i, t in texts.items():
+        for field, words in (("text", t.split()), ("path", [f"p{i % 2}"])):
+            for w in set(words):
+                at = tuple(p for p, x in enumerate(words) if x == w)
+                expected[field, w, i, len(at), len(words), at] += 1
+    assert got == expected
+
+
+def test_postings_are_stored_without_ids(spark, tmp_path):
+    """32 bytes a posting were most of what was shuffled and written; unique rows are not shuffled to find repeated ids."""
+    rows = [(f"/d{i}.txt", " ".join(f"w{(i * 7 + j) % 600}" for j in range(40)), "en") for i in range(50)]
+    docs = with_file_facts(spark.createDataFrame(rows, "path string, body string, lang string"))
+    built = Index.build(index_documents(docs), str(tmp_path / "index"), buckets=2, shard_chars=1)
+    assert dict(built.postings.dtypes)["doc"] == "bigint"
+    assert built.postings.join(built.documents, F.col("doc") == F.col("num")).where("field = 'text'").count() == 50 * 40
+    assert built.documents.select("num").distinct().count() == 50
