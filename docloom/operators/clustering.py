@@ -183,18 +183,19 @@ def nearest_center(vector: Column, center_table: DataFrame) -> Column:
 def is_nearest(model: PipelineModel, docs: DataFrame, clusters: DataFrame) -> DataFrame:
     """``(path, nearest)``: whether no centre is nearer to a document than that of its cluster.
 
-    Distances are sums over the coordinates, worked out apart from the fitted model's own rule.
+    Distances are sums over the coordinates, worked out apart from the fitted model's own rule, where the words are
+    cut: the nearest clusters of a document, mostly one, go to the join instead of its coordinates.
     """
     points = np.stack(model.stages[-1].clusterCenters())
     features = PipelineModel(stages=model.stages[:-1]).transform(docs.select("path", "body"))
-    rows = features.select("path", vector_to_array("features").alias("x")).join(clusters, "path")
 
-    @F.pandas_udf("boolean")
-    def check(x: pd.Series, cluster: pd.Series) -> pd.Series:
-        own = []
-        for vector, c in zip(x, cluster):
+    @F.pandas_udf("array<int>")
+    def nearest(x: pd.Series) -> pd.Series:
+        found = []
+        for vector in x:
             distances = ((points - np.asarray(vector)) ** 2).sum(axis=1)
-            own.append(0 <= c < len(points) and distances[c] <= distances.min() * (1 + 1e-9) + 1e-9)
-        return pd.Series(own)
+            found.append(np.flatnonzero(distances <= distances.min() * (1 + 1e-9) + 1e-9).astype(np.int32))
+        return pd.Series(found)
 
-    return rows.select("path", check("x", "cluster").alias("nearest"))
+    rows = features.select("path", nearest(vector_to_array("features")).alias("_nearest")).join(clusters, "path")
+    return rows.select("path", F.coalesce(F.array_contains("_nearest", F.col("cluster")), F.lit(False)).alias("nearest"))

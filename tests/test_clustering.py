@@ -92,3 +92,17 @@ def test_nearest_center_against_a_loop(spark):
     found = {r["id"]: r["c"] for r in df.select("id", C.nearest_center(F.col("v"), means).alias("c")).collect()}
     for i, v, _ in vectors:
         assert found[i] == min(points, key=lambda c: (((np.array(v) - points[c]) ** 2).sum(), c))
+
+
+def test_coordinates_do_not_move_for_the_check(spark, plan):
+    docs = spark.createDataFrame([(f"/{i}", f"{'cat dog' if i % 2 else 'red blue'} w{i % 3}") for i in range(40)], "path string, body string")
+    model, clusters = C.fit_assign(docs, k=2, num_features=50)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(C.is_nearest(model, docs, clusters))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    moved = [line for part in text.split("Exchange\n")[1:] for line in part.splitlines()[:1]]
+    assert moved and not any("features" in line or "x#" in line for line in moved)
+    wrong = clusters.withColumn("cluster", F.when(F.col("path") == "/0", 1 - F.col("cluster")).when(F.col("path") == "/1", 7).otherwise(F.col("cluster")))
+    assert {r["path"] for r in C.is_nearest(model, docs, wrong).collect() if not r["nearest"]} == {"/0", "/1"}
