@@ -15,17 +15,14 @@ def lookup_join(rows: DataFrame, dimension: DataFrame, key: str, weight: str, he
 
     ``weight`` is the dimension's column saying how often a key occurs in ``rows``. The
     ``heavy`` most frequent keys are answered from a broadcast of exactly that many rows.
-    Rows so answered get a key that is in no dimension row and differs from row to row,
-    so the shuffle join that answers the others spreads them over all tasks.
+    Rows so answered stay where they are: only the others go to the shuffle join. ``rows`` is
+    read for each of the two, so it is best a stored table.
     """
     values = [c for c in dimension.columns if c != key]
     top = dimension.orderBy(F.desc(weight), key).limit(heavy)
-    top = top.select(F.col(key).alias("_k"), F.struct(*values).alias("_top"))
-    answered = rows.join(F.broadcast(top), F.col(key) == F.col("_k"), "left").drop("_k")
-
-    spread = F.concat(F.lit("\u0000"), F.xxhash64(*rows.columns).cast("string"))
-    probe = F.when(F.col("_top").isNull(), F.col(key)).otherwise(spread)
-    rest = dimension.select(F.col(key).alias("_k"), F.struct(*values).alias("_rest"))
-    joined = answered.withColumn("_probe", probe).join(rest, F.col("_probe") == F.col("_k"), "left")
-    found = F.coalesce("_top", "_rest")
-    return joined.select(*rows.columns, *[found[v].alias(v) for v in values])
+    top = F.broadcast(top.select(F.col(key).alias("_k"), *[F.col(v).alias(f"_{v}") for v in values]))
+    rest = dimension.select(F.col(key).alias("_k"), *[F.col(v).alias(f"_{v}") for v in values])
+    same = F.col(key) == F.col("_k")
+    others = rows.join(top, same, "left_anti").join(rest, same, "left")
+    joined = rows.join(top, same).unionByName(others)
+    return joined.select(*rows.columns, *[F.col(f"_{v}").alias(v) for v in values])

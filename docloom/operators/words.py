@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from docloom.functions import text as T
 from docloom.operators.joins import lookup_join
+from docloom.session import materialize
 
 
 def tokenize(df: DataFrame, ngrams: Sequence[int] = ()) -> DataFrame:
@@ -49,12 +50,14 @@ def tfidf(words: DataFrame, counts: DataFrame | None = None) -> DataFrame:
     """``(f, w, c, df, tfidf)`` for every word of every file.
 
     Give ``counts``, the stored result of ``wordcount``, to keep the texts from being cut up
-    again: the words' document frequency then comes from that table as well.
+    again: the words' document frequency then comes from that table as well. Both are stored on the way if
+    they are not given.
     """
     documents = words.agg(F.count(F.lit(1))).scalar()
     if counts is None:
-        counts, frequency = wordcount(words), doc_freq(words)
+        counts, frequency = materialize(wordcount(words), "wordcount"), doc_freq(words)
     else:
         frequency = counts.groupBy("w").agg(F.count(F.lit(1)).alias("df"))
+    frequency = materialize(frequency, "frequency")
     weighted = lookup_join(counts, idf(frequency, documents), key="w", weight="df")
     return weighted.select("f", "w", "c", "df", (F.col("c") * F.col("idf")).alias("tfidf"))

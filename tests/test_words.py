@@ -86,6 +86,20 @@ def test_lookup_join_with_heavy_and_missing_keys(spark, heavy):
     assert Counter(map(tuple, joined.collect())) == expected
 
 
+def test_answered_rows_are_not_shuffled(spark, plan):
+    """They used to go through the shuffle join too, under keys that met nothing."""
+    left = spark.range(2_000).select(F.lit("hot").alias("k"), "id").unionByName(spark.range(3).select(F.lit("cold").alias("k"), "id"))
+    dimension = spark.createDataFrame([("hot", 2_000, 1.0), ("cold", 3, 2.0)], "k string, n long, v double")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = lookup_join(left, dimension, "k", "n", heavy=1)
+        text = plan(joined)
+        assert joined.count() == 2_003
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "LeftAnti" in text and "xxhash64" not in text
+
+
 def test_heavy_keys_do_not_meet_in_one_task(spark):
     left = spark.range(20_000).select(F.lit("hot").alias("k"), "id")
     dimension = spark.createDataFrame([("hot", 20_000, 1.0), ("cold", 1, 2.0)], "k string, n long, v double")
