@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docloom.llm.common import WHITE, column_bytes, mix, narrow
+from docloom.llm.common import WHITE, column_bytes, mix, narrow, parts
 from docloom.session import materialize
 
 LEAST_CHARS = 10
@@ -58,6 +58,31 @@ def _hashed(keys: list[bytes]) -> np.ndarray:
     return np.fromiter(map(xxhash.xxh3_64_intdigest, keys), np.uint64, len(keys))
 
 
+class Bits:
+    """A filter's bits, eight to a byte, read and set by arrays of positions like an array of booleans."""
+
+    def __init__(self, bits: int):
+        self._bits, self._bytes = bits, np.zeros(-(-bits // 8), np.uint8)
+
+    def __len__(self) -> int:
+        return self._bits
+
+    def __getitem__(self, positions: np.ndarray) -> np.ndarray:
+        return (self._bytes[positions >> 3] >> (7 - (positions & 7)).astype(np.uint8) & 1).astype(bool)
+
+    def __setitem__(self, positions: np.ndarray, value: bool) -> None:
+        if not value:
+            raise ValueError("bits are only set")
+        positions = np.unique(positions)
+        if len(positions):
+            places, first = np.unique(positions >> 3, return_index=True)
+            self._bytes[places] |= np.bitwise_or.reduceat(np.left_shift(1, 7 - (positions & 7)).astype(np.uint8), first)
+
+    def packed(self, begin: int, end: int) -> np.ndarray:
+        """The bytes of the bits from ``begin`` to before ``end``, both multiples of eight."""
+        return self._bytes[begin // 8 : end // 8]
+
+
 def _positions(hashed: np.ndarray, bits: int) -> np.ndarray:
     """The bits of each hash in a filter: a row per hash function."""
     return np.stack([mix(hashed + np.uint64(i)) & np.uint64(bits - 1) for i in range(_HASHES)]).astype(np.int64)
@@ -77,15 +102,15 @@ def _filters(docs: DataFrame, bits: int, least: int) -> DataFrame:
     segment = min(bits, SEGMENT_BITS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        once, twice = np.zeros(bits, bool), np.zeros(bits, bool)
-        for batch in batches:
+        once, twice = Bits(bits), Bits(bits)
+        for batch in parts(batches):
             keys = [k for t, i in zip(column_bytes(batch, "text"), batch.column("doc_id").is_valid().to_pylist()) if i for k in _keys(t, least)]
             if keys:
                 _fold(once, twice, _hashed(keys))
         for s in range(bits // segment):
-            part = slice(s * segment, (s + 1) * segment)
-            if once[part].any():
-                packed = [zlib.compress(np.packbits(f[part]).tobytes(), 1) for f in (once, twice)]
+            bounds = s * segment, (s + 1) * segment
+            if once.packed(*bounds).any():
+                packed = [zlib.compress(f.packed(*bounds).tobytes(), 1) for f in (once, twice)]
                 yield pa.RecordBatch.from_pydict(
                     {"segment": pa.array([s], pa.int32()), "once": [packed[0]], "twice": [packed[1]]}
                 )
@@ -170,7 +195,7 @@ class LineDedup:
         suspects = self._suspects()
 
         def run(batches):
-            for batch in batches:
+            for batch in parts(batches):
                 batch = batch.filter(batch.column("doc_id").is_valid())
                 found = suspects(column_bytes(batch, "text"))
                 at = [i for i, ks in enumerate(found) for _ in ks]
@@ -228,16 +253,16 @@ class LineDedup:
             return pa.array([bool(s) and k for s, k in zip(suspects(texts(batch)), known)], pa.bool_())
 
         def clear(batches):
-            for batch in batches:
+            for batch in parts(batches):
                 batch = batch.filter(pc.invert(suspected(batch)))
                 yield finish(batch, [None] * batch.num_rows)
 
         def unclear(batches):
-            for batch in batches:
+            for batch in parts(batches):
                 yield batch.filter(suspected(batch))
 
         def rewrite(batches):
-            for batch in batches:
+            for batch in parts(batches):
                 yield finish(batch, batch.column(batch.num_columns - 1).to_pylist())
 
         # Under a name that no column has; it is told apart by its place afterwards.

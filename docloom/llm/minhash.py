@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from docloom.llm.common import column_bytes, map_batches, mix, narrow, signed
+from docloom.llm.common import column_bytes, map_batches, mix, narrow, parts, signed
 from docloom.llm.components import components
 from docloom.session import materialize
 
@@ -141,7 +141,7 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs ``(a, b)`` whose full sets reach the similarity."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in parts(batches):
             keep = []
             for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist()):
                 x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
@@ -161,12 +161,13 @@ def _sharing_rare(members: DataFrame, sets: DataFrame, percent: int) -> DataFram
     """The pairs ``(a, b)`` of members ``(rep, n, c)`` of different ``c`` that can be linked, by their rarest shingles."""
 
     def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in parts(batches):
             found = [np.frombuffer(h, np.int64) for h in batch.column("hashes").to_pylist()]
             rep = np.repeat(batch.column("doc_id").to_numpy(), [len(f) for f in found])
+            tokens = np.concatenate(found)
             for begin in range(0, len(rep), 100_000):
-                tokens = np.concatenate(found)[begin : begin + 100_000]
-                yield pa.RecordBatch.from_arrays([pa.array(rep[begin : begin + 100_000]), pa.array(tokens)], ["rep", "token"])
+                made = [pa.array(rep[begin : begin + 100_000]), pa.array(tokens[begin : begin + 100_000])]
+                yield pa.RecordBatch.from_arrays(made, ["rep", "token"])
 
     own = sets.join(members.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
     tokens = own.mapInArrow(explode, "rep long, token long").distinct()

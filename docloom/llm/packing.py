@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
-from docloom.llm.common import column_bytes, narrow
+from docloom.llm.common import column_bytes, narrow, parts
 from docloom.session import materialize
 
 CAPACITY = 4096
@@ -40,9 +40,10 @@ OPEN = 1024
 ROWS_PER_TASK = 100_000
 END = 1
 
-# Words found in many texts are encoded once; a table of words does not grow beyond this.
+# Words found in many texts are encoded once; neither of the two tables of words grows beyond this. A worker
+# keeps them from task to task, about 300 bytes an entry.
 KEPT_LENGTH = 40
-KEPT_ENTRIES = 400_000
+KEPT_ENTRIES = 200_000
 
 _MARKS = b"".join(bytes([c]) for c in range(33, 127) if not chr(c).isalnum())
 
@@ -123,7 +124,7 @@ def pieces(
     step = 4 * capacity
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in parts(batches):
             at, piece, start, ids = [], [], [], []
             for row, t in enumerate(column_bytes(batch, "text")):
                 whole = encoder(path, added_tokens).encode(t or b"") + mark

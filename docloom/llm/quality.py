@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docloom.llm.common import column_bytes, map_batches, narrow
+from docloom.llm.common import column_bytes, map_batches, narrow, parts
 
 # Fixed values of the base rules.
 SYMBOLS = b"#*$%&|<>"
@@ -307,8 +307,7 @@ def keep(docs: DataFrame, model: QualityModel, accept: float = ACCEPT, text: str
     """The rows of ``docs``, all columns, whose text is kept."""
 
     def run(batches):
-        for batch in batches:
-            if batch.num_rows:
-                yield batch.filter(pa.array(_judge(model, column_bytes(batch, text), accept)[3]))
+        for batch in parts(batches):
+            yield batch.filter(pa.array(_judge(model, column_bytes(batch, text), accept)[3]))
 
     return docs.mapInArrow(run, docs.schema)

@@ -1,0 +1,42 @@
+from __future__ import annotations
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import functions as F
+
+from docloom.llm import common, lines, packing
+from docloom.llm.queries import WORD_BPE
+
+
+def test_parts_are_bounded_and_lose_nothing():
+    texts = ["x" * n for n in [10, 0, 5000, 1, 1, 300, 20, 9000, 3] * 40]
+    batch = pa.RecordBatch.from_pydict({"i": list(range(len(texts))), "text": texts})
+    made = list(common.parts(iter([batch, batch.slice(0, 0), batch.slice(5, 7)]), most=4000))
+    assert [i for p in made for i in p.column("i").to_pylist()] == [*range(len(texts)), *range(5, 12)]
+    assert [t for p in made for t in p.column("text").to_pylist()] == texts + texts[5:12]
+    assert all(p.num_rows == 1 or p.nbytes <= 4000 for p in made) and len(made) < len(texts)
+
+
+def test_a_task_takes_a_batch_in_parts(spark):
+    docs = spark.range(20_000, numPartitions=1).select(F.repeat(F.lit("many words "), 100).alias("text"))
+    seen = common.map_batches(docs, lambda b: {"n": pa.array([b.nbytes] * b.num_rows, pa.int64())}, "n long").collect()
+    assert len(seen) == 20_000 and max(r["n"] for r in seen) <= common.PART_BYTES
+
+
+def test_filter_bits_are_packed():
+    rng = np.random.default_rng(3)
+    plain, bits = np.zeros(1 << 16, bool), lines.Bits(1 << 16)
+    for n in (0, 1, 3000, 40_000):
+        positions = rng.integers(0, 1 << 16, (2, n))
+        assert (bits[positions] == plain[positions]).all()
+        plain[positions] = bits[positions] = True
+        assert (bits.packed(0, 1 << 15) == np.packbits(plain[: 1 << 15])).all()
+        assert (bits.packed(1 << 15, 1 << 16) == np.packbits(plain[1 << 15 :])).all()
+    assert lines.Bits(lines.MAX_BITS).packed(0, lines.MAX_BITS).nbytes == 16 << 20
+
+
+def test_a_worker_keeps_few_words():
+    encoder = packing.WordEncoder(WORD_BPE)
+    for i in range(0, 600_000, 10_000):
+        encoder.encode(b" ".join(b"%d" % n for n in range(i, i + 10_000)))
+    assert len(encoder._parts) <= 200_000 and len(encoder._older) <= 200_000
