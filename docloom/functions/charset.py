@@ -75,29 +75,44 @@ def _single(chars: Column, name: str) -> Column:
     return F.translate(chars, "".join(h for h, _ in changed), "".join(m for _, m in changed))
 
 
-def _mark(chars: Column) -> Column:
-    return (
-        F.when(F.startswith(chars, F.lit("\xef\xbb\xbf")), "utf-8")
-        .when(F.startswith(chars, F.lit("\xff\xfe")), "utf-16le")
-        .when(F.startswith(chars, F.lit("\xfe\xff")), "utf-16be")
-    )
+# Byte-order marks, and the charsets they stand for.
+_MARKS = {"utf-8": b"\xef\xbb\xbf", "utf-16le": b"\xff\xfe", "utf-16be": b"\xfe\xff"}
+
+
+def _mark(body: Column) -> Column:
+    marks = [(F.startswith(body, F.lit(mark)), name) for name, mark in _MARKS.items()]
+    return F.coalesce(*[F.when(found, name) for found, name in marks])
+
 
+def _without_mark(body: Column, name: str) -> Column:
+    mark = _MARKS[name]
+    return F.when(F.startswith(body, F.lit(mark)), F.substring(body, F.lit(len(mark) + 1), F.octet_length(body))).otherwise(body)
 
-def _declared(chars: Column) -> Column:
+
+def _declared(body: Column) -> Column:
+    chars = byte_text(body)
+    names = {alias: name for name, aliases in [*SINGLE_BYTE.items(), ("utf-8", UTF_8_NAMES)] for alias in aliases}
+    # Looked up in a map, as the text would be searched again for every branch of a choice.
+    known = F.create_map(*[F.lit(x) for item in names.items() for x in item])
     found = F.lower(F.concat(F.regexp_extract(chars, _DECLARED, 1), F.regexp_extract(chars, _DECLARED, 2)))
-    known = reduce(lambda w, item: w.when(found.isin(*item[1]), item[0]), SINGLE_BYTE.items(), F.when(found.isin(*UTF_8_NAMES), "utf-8"))
-    return F.when(F.contains(chars, F.lit("<")), known)
+    # Texts without the begin of a declaration, which are most, are searched for that only.
+    possible = F.contains(body, F.lit(b"<")) & F.rlike(chars, F.lit(r"(?i)<(?:meta|\?xml)\b"))
+    return F.when(possible, F.try_element_at(known, found))
 
 
-def _zeros(chars: Column) -> Column:
+def _zeros(body: Column) -> Column:
     """UTF-16 by the zeros among the first and among the second bytes of the pairs."""
+    chars, size = byte_text(body), F.octet_length(body)
+    # A last byte without a partner counts on both sides.
+    last = F.when((size % 2 == 1) & F.endswith(body, F.lit(b"\0")), 1).otherwise(0)
 
-    def zeros(kept: str) -> Column:
-        side = F.regexp_replace(chars, r"(?s)(.)(.)", kept)
-        return F.length(side) - F.length(F.replace(side, F.lit("\0"), F.lit("")))
+    def zeros(other: str, zero: str) -> Column:
+        # Runs of pairs with a zero go, one match for a run and those before it.
+        left = F.regexp_replace(chars, rf"(?s)\G((?:{other})*+)(?:{zero})++", "$1")
+        return (size - F.length(left)) / 2 + last
 
-    first, second, pairs = zeros("$1"), zeros("$2"), F.length(chars) / 2
-    zero = F.contains(chars, F.lit("\0"))
+    first, second, pairs = zeros(r"[^\x00].", r"\x00."), zeros(r".[^\x00]", r".\x00"), size / 2
+    zero = F.contains(body, F.lit(b"\0"))
     return F.when(zero & (second >= pairs * 0.5) & (first < pairs * 0.1), "utf-16le").when(
         zero & (first >= pairs * 0.5) & (second < pairs * 0.1), "utf-16be"
     )
@@ -117,26 +132,30 @@ def _guessed(chars: Column) -> Column:
 
 def charset(body: Column) -> Column:
     """The charset of a file by its bytes; null for null."""
-    chars = byte_text(body)
-    found = F.coalesce(_mark(chars), _zeros(chars), _declared(chars), F.when(F.is_valid_utf8(body.cast("string")), "utf-8"), _guessed(chars))
+    valid = F.when(F.is_valid_utf8(body.cast("string")), "utf-8")
+    found = F.coalesce(_mark(body), _zeros(body), _declared(body), valid, _guessed(byte_text(body)))
     return F.when(body.isNotNull(), found)
 
 
-def _sixteen(chars: Column, little: bool) -> Column:
+def _sixteen(body: Column, little: bool) -> Column:
     """UTF-16 with lone surrogates and an odd last byte replaced, as Spark's decoder refuses them."""
+    body = _without_mark(body, "utf-16le" if little else "utf-16be")
+    chars = byte_text(body)
     any_, high, low, plain = ".", r"[\xD8-\xDB]", r"[\xDC-\xDF]", r"[^\xD8-\xDF]"
     unit, lead, trail, alone = [(any_ + x if little else x + any_) for x in (plain, high, low, r"[\xD8-\xDF]")]
     wrong, name = ("\xfd\xff", "UTF-16LE") if little else ("\xff\xfd", "UTF-16BE")
     even = F.when(F.length(chars) % 2 == 1, F.concat(F.substring(chars, F.lit(1), F.length(chars) - 1), F.lit(wrong))).otherwise(chars)
     whole = F.regexp_replace(even, rf"(?s)\G((?:{unit}|{lead}{trail})*+){alone}", f"$1{wrong}")
-    return F.regexp_replace(F.decode(F.encode(whole, "ISO-8859-1"), name), r"^\x{FEFF}", "")
+    # Most texts have no surrogates at all; one fast search tells.
+    clean = (F.octet_length(body) % 2 == 0) & ~F.rlike(chars, F.lit(rf"(?s)\G(?:{unit})*+{alone}"))
+    return F.when(clean, F.decode(body, name)).otherwise(F.decode(F.encode(whole, "ISO-8859-1"), name))
 
 
 def decoded(body: Column, name: Column) -> Column:
     """The text of ``body`` in the charset ``name``, as ``charset`` gives it; without a byte-order mark."""
     chars = byte_text(body)
-    text = F.when(name == "utf-8", F.regexp_replace(F.make_valid_utf8(body.cast("string")), r"^\x{FEFF}", ""))
-    text = text.when(name == "utf-16le", _sixteen(chars, True)).when(name == "utf-16be", _sixteen(chars, False))
+    text = F.when(name == "utf-8", F.make_valid_utf8(_without_mark(body, "utf-8").cast("string")))
+    text = text.when(name == "utf-16le", _sixteen(body, True)).when(name == "utf-16be", _sixteen(body, False))
     return reduce(lambda w, single: w.when(name == single, _single(chars, single)), SINGLE_BYTE, text)
 
 
@@ -148,8 +167,8 @@ def content_type(body: Column, text: Column) -> Column:
         test = reduce(lambda a, b: a | b, [F.startswith(chars, F.lit(s)) for s in starts])
         known = F.when(test, kind) if known is None else known.when(test, kind)
     return (
-        known.when(F.rlike(text, F.lit(_PAGE)), "html")
-        .when(F.rlike(text, F.lit(_XML)), "xml")
+        known.when(F.contains(text, F.lit("<")) & F.rlike(text, F.lit(_PAGE)), "html")
+        .when(F.contains(text, F.lit("<")) & F.rlike(text, F.lit(_XML)), "xml")
         .when(F.contains(text, F.lit("\0")), "bin")
         .otherwise("txt")
     )

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -101,3 +103,49 @@ def test_readers_follow_content_where_the_name_tells_nothing(spark):
     }
     handled = parse.extract_text(df, lambda: {"pdf": lambda path, body: "read"}).where("path = '/c'").first()
     assert (handled["body"], handled["status"]) == ("read", "ok")
+
+
+def _side(body: bytes, first: int) -> int:
+    return body[first : len(body) // 2 * 2 : 2].count(0) + (len(body) % 2 == 1 and body[-1] == 0)
+
+
+def _loop(body: bytes) -> str | None:
+    """UTF-16 by its zeros, counted in a loop."""
+    first, second, pairs = _side(body, 0), _side(body, 1), len(body) / 2
+    if 0 in body and second >= pairs * 0.5 and first < pairs * 0.1:
+        return "utf-16le"
+    return "utf-16be" if 0 in body and first >= pairs * 0.5 and second < pairs * 0.1 else None
+
+
+def test_zeros_and_surrogates_against_loops(spark):
+    rng = random.Random(8)
+    few = [0, 0, 0, 10, 65, 0xD8, 0xDC, 0xDF, 0xFE, 0xFF]
+    bodies = [bytes(rng.choices(few, k=rng.randint(0, 9))) for _ in range(1500)]
+    bodies += [bytes(b for _ in range(rng.randint(1, 40)) for b in rng.choice([(65, 0), (66, 0), (10, 0), (0, 0), (0, 67)])) + rng.choice([b"", b"\0"]) for _ in range(500)]
+    df = spark.createDataFrame(list(enumerate(bodies)), "i int, body binary")
+    rows = df.select("i", C._zeros(F.col("body")).alias("z"), *[C.decoded(F.col("body"), F.lit(n)).alias(n[-2:]) for n in ("utf-16le", "utf-16be")]).collect()
+    for r in rows:
+        body = bodies[r["i"]]
+        assert r["z"] == _loop(body), body
+        for order, kind in (("little", "le"), ("big", "be")):
+            units = [int.from_bytes(body[i : i + 2], order) for i in range(0, len(body) // 2 * 2, 2)]
+            text, i = "", 0
+            while i < len(units):
+                if 0xD800 <= units[i] < 0xDC00 and i + 1 < len(units) and 0xDC00 <= units[i + 1] < 0xE000:
+                    text += chr(0x10000 + (units[i] - 0xD800) * 1024 + units[i + 1] - 0xDC00)
+                    i += 1
+                else:
+                    text += "�" if 0xD800 <= units[i] < 0xE000 else chr(units[i])
+                i += 1
+            assert r[kind] == (text + "�" * (len(body) % 2)).removeprefix("\ufeff"), (body, kind)
+
+
+def test_a_text_is_searched_once_for_its_declaration(spark, plan):
+    df = spark.range(1).select(F.col("id").cast("string").cast("binary").alias("body"))
+    assert plan(df.select(C._declared(F.col("body")))).count("bcharset") <= 4  # two searches, shown at most twice
+
+
+def test_pairs_with_zeros_go_in_runs(spark, plan):
+    df = spark.range(1).select(F.col("id").cast("string").cast("binary").alias("body"))
+    text = plan(df.select(C.decoded(F.col("body"), C.charset(F.col("body")))))
+    assert "(?s)(.)(.)" not in text and "++" in text
