@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from docloom.functions import text as T
 from docloom.functions.text import words_sql
 from docloom.operators.words import doc_freq, idf
-from docloom.session import materialize
+from docloom.session import materialize, settings
 
 # Fixed values of the recipe.
 NUM_FEATURES = 1000
@@ -29,6 +29,9 @@ SEED = 42
 # Distances held at a time while the nearest centre is looked for.
 _DISTANCES = 4_000_000
 
+# Fixed value: bytes of written counts that a task of the fit reads, and so bounds its cached part.
+PART_BYTES = 8 << 20
+
 
 def word_stage(ngrams: Sequence[int] = ()) -> Transformer:
     """Adds ``words``. Being SQL text, it is saved with the pipeline and runs in the JVM."""
@@ -89,17 +92,21 @@ def _fitted(
 ) -> tuple[PipelineModel, DataFrame]:
     """The model and the written table ``(path, rawFeatures)`` of hashed counts it was fitted on.
 
-    Weights, iterations and assignments all start from that table, so texts are read once.
+    Weights, iterations and assignments all start from that table, so texts are read once. What the iterations
+    read again is kept on the executors' disks in small parts: a task holds a few rows of it, and memory does not
+    grow with the documents. The table can make lost parts again.
     """
     words, counts, *weigh = feature_stages(num_features, ngrams, normalize)
     hashed = PipelineModel(stages=[words, counts]).transform(docs.select("path", "body"))
-    counted = materialize(hashed.select("path", "rawFeatures"), "counts")
-    weights = Pipeline(stages=weigh).fit(counted)
-    ready = weights.transform(counted).select("features").persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        means = KMeans(k=k, maxIter=max_iter, seed=seed, featuresCol="features", predictionCol="prediction").fit(ready)
-    finally:
-        ready.unpersist()
+    # Row groups no larger than a part: a task reads whole ones.
+    counted = materialize(hashed.select("path", "rawFeatures"), "counts", **{"parquet.block.size": PART_BYTES})
+    with settings(docs.sparkSession, {"spark.sql.files.maxPartitionBytes": str(PART_BYTES)}):
+        weights = Pipeline(stages=weigh).fit(counted)
+        ready = weights.transform(counted).select("features").persist(StorageLevel.DISK_ONLY)
+        try:
+            means = KMeans(k=k, maxIter=max_iter, seed=seed, featuresCol="features", predictionCol="prediction").fit(ready)
+        finally:
+            ready.unpersist()
     return PipelineModel(stages=[words, counts, *weights.stages, means]), counted
 
 

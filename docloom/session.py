@@ -67,13 +67,13 @@ def settings(spark: SparkSession, values: dict[str, str]):
                 spark.conf.set(key, value)
 
 
-def materialize(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back.
+def materialize(df: DataFrame, name: str, compression: str | None = None, **options) -> DataFrame:
+    """Write ``df`` to the shared folder, with ``options`` of the writer, and read it back.
 
     This cuts the lineage and survives the loss of executors. It also gives Catalyst the
     table's real size, so a join with it is broadcast only when it is under
     ``spark.sql.autoBroadcastJoinThreshold``.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path, compression=compression)
+    df.write.options(**options).parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)

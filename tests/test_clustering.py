@@ -106,3 +106,19 @@ def test_coordinates_do_not_move_for_the_check(spark, plan):
     assert moved and not any("features" in line or "x#" in line for line in moved)
     wrong = clusters.withColumn("cluster", F.when(F.col("path") == "/0", 1 - F.col("cluster")).when(F.col("path") == "/1", 7).otherwise(F.col("cluster")))
     assert {r["path"] for r in C.is_nearest(model, docs, wrong).collect() if not r["nearest"]} == {"/0", "/1"}
+
+
+def test_the_fit_keeps_nothing_in_memory(spark, docs, monkeypatch):
+    """Kept features took all memory that an executor had; a task's part of them is bounded."""
+    seen = []
+
+    def fit(self, dataset, params=None, own=C.KMeans.fit):
+        seen.append((dataset.storageLevel, spark.conf.get("spark.sql.files.maxPartitionBytes")))
+        return own(self, dataset)
+
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    monkeypatch.setattr(C.KMeans, "fit", fit)
+    C.fit_clusters(docs, k=2)
+    [(level, part)] = seen
+    assert level.useDisk and not level.useMemory
+    assert part == str(C.PART_BYTES) and spark.conf.get("spark.sql.files.maxPartitionBytes") == before
