@@ -124,3 +124,62 @@ def test_postings_are_stored_without_ids(spark, tmp_path):
     assert dict(built.postings.dtypes)["doc"] == "bigint"
     assert built.postings.join(built.documents, F.col("doc") == F.col("num")).where("field = 'text'").count() == 50 * 40
     assert built.documents.select("num").distinct().count() == 50
+
+
+def test_a_block_is_one_array(spark):
+    """Of a word in one document, five arrays were most of what was shuffled; values of more than two bytes have a wider one."""
+    from docloom.operators import index as I
+
+    far = " ".join(["x"] * 40_000) + " end"
+    rows = [(1, "a b a", "/p"), (2, far, "/q"), (5 + (1 << 40), "a", None), (7, None, "/r"), (I.NO_NUMBER, "a", "/s")]
+    made = I.blocks(spark.createDataFrame(rows, "num long, text string, path string").coalesce(1), 4)
+    assert made.columns == ["bucket", "field", "term", "n", "first", "packed", "wide"]
+    held = {(r["term"], r["first"]): (r["packed"], r["wide"]) for r in made.where("field = 'text'").collect()}
+    assert held["b", 1] == ([0, 1, 3, 0, 1], None)
+    assert held["end", 2] == (None, [0, 1, 40_001, 0, 40_000])
+    got = {(r["term"], r["doc"], r["tf"], r["dl"], tuple(r["positions"])) for r in I.entries(made).where("field = 'text'").collect()}
+    assert got == {("a", 1, 2, 3, (0, 2)), ("b", 1, 1, 3, (1,)), ("x", 2, 40_000, 40_001, tuple(range(40_000))), ("end", 2, 1, 40_001, (40_000,)),
+                   ("a", 5 + (1 << 40), 1, 1, (0,)), ("a", I.NO_NUMBER, 1, 1, (0,))}
+
+
+def test_words_are_grouped_over_batches(spark):
+    """A batch has few rows beside a group: grouped one by one, words came in more blocks."""
+    from docloom.operators import index as I
+
+    docs = spark.range(90).selectExpr("id AS num", "concat('all w', id) AS text", "null AS path").coalesce(1)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        blocks = I.blocks(docs, 4).where("term = 'all'").collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert sorted(r["n"] for r in blocks) == [90 - 2 * I.BLOCK, I.BLOCK, I.BLOCK]
+
+
+def test_texts_are_stored_once(spark, tmp_path):
+    """The language fields are made as documents are read; in one version and in several."""
+    rows = lambda *given: index_documents(with_file_facts(spark.createDataFrame(list(given), "path string, body string, lang string")), use_parsed_lang=True)
+    first = rows(("/a", "un deux", "FR"), ("/b", "one two", "en"), ("/c", "eins", "de"))
+    built = Index.build(first, str(tmp_path / "i"), buckets=2, shard_chars=1)
+    [folder] = tmp_path.glob("i/*/documents")
+    assert not {"text_fr", "text_en"} & set(spark.read.parquet(str(folder)).columns)
+    assert built.documents.columns == [*first.columns, "num", "shard"]
+    updated = built.update(rows(("/a", "three", "en"), ("/d", "quatre", "fr")))
+    fields = lambda d: {(r["path"], r["text_fr"], r["text_en"]) for r in d.collect()}
+    assert fields(built.documents) == fields(first)
+    assert fields(updated.documents) == {("/a", None, "three"), ("/b", None, "one two"), ("/c", None, None), ("/d", "quatre", None)}
+    plain = Index.build(first.drop("text_fr", "text_en"), str(tmp_path / "j"), buckets=2, shard_chars=1)
+    assert "text_fr" not in plain.documents.columns
+
+
+def test_what_a_batch_replaces_is_counted_without_its_texts(spark, tmp_path, plan, monkeypatch):
+    from docloom.operators import index as I
+
+    rows = lambda n, text: index_documents(with_file_facts(spark.createDataFrame([(f"/{i}", text, "en") for i in range(n)], "path string, body string, lang string")))
+    built = Index.build(rows(40, "old words words"), str(tmp_path / "i"), buckets=2, shard_chars=1)
+    seen = []
+    monkeypatch.setattr(I, "_gone", lambda *given, own=I._gone: seen.append(own(*given)) or seen[-1])
+    after = built.update(rows(15, "new")).update(rows(5, "newer words"))
+    counts = {(r["term"], r["df"]) for r in after.terms.where("field = 'text'").collect()}
+    assert counts == {("old", 25), ("words", 30), ("new", 10), ("newer", 5)}
+    assert {(r["total_len"], r["n_docs"]) for r in after.stats.where("field = 'text'").collect()} == {(25 * 3 + 10 + 5 * 2, 40)}
+    assert len(seen) == 2 and not any("text#" in plan(gone) for gone in seen)
